@@ -1,0 +1,8 @@
+"""Streaming.
+
+The analysed workload has no streaming part: no watermark, window-on-time,
+stateful operator or late-data handling exists in it. Every operator here is
+batch. Feature plans are pure DataFrame transformations, so they also run on
+a micro-batch inside ``foreachBatch`` if a caller wants incremental refresh,
+but no streaming operator is provided.
+"""
