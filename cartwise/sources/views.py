@@ -5,7 +5,7 @@ The analytics work on four retail tables: orders, order lines, products
 TPC-H-like star schema instead, so this module derives the basket tables
 from it with the DataFrame API:
 
-* ``products``     one row per distinct part name; id = 60-bit MD5 prefix of
+* ``products``     one row per distinct part name; id = 52-bit MD5 prefix of
                    the name (no global ranking window, computed per row).
 * ``orders``       one row per order with per-user sequence number,
                    eval_set split, day of week, hour and gap bucket.
@@ -33,8 +33,12 @@ GAP_CAP = 30                   # ... capped at 30, as in the source data
 
 
 def name_id(col) -> F.Column:
-    """Stable 60-bit id of a string: first 15 hex digits of its MD5."""
-    return F.conv(F.substring(F.md5(col), 1, 15), 16, 10).cast("long")
+    """Stable 52-bit id of a string: first 13 hex digits of its MD5.
+
+    52 bits keep every id exact as a double as well (pandas turns nullable
+    integer columns into floats).
+    """
+    return F.conv(F.substring(F.md5(col), 1, 13), 16, 10).cast("long")
 
 
 @dataclass
@@ -141,7 +145,7 @@ def load_basket(spark: SparkSession, sf_dir: str) -> BasketTables:
 # DuckDB text of the same views (oracle side). Keep in step with the above.
 # ---------------------------------------------------------------------------
 
-_NAME_ID = "CAST(('0x' || substr(md5({x}), 1, 15)) AS BIGINT)"
+_NAME_ID = "CAST(('0x' || substr(md5({x}), 1, 13)) AS BIGINT)"
 
 SQL_VIEWS: dict[str, str] = {
     "products_v": f"""
