@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartwise.operators.ranking import average_ranks
+
 
 def _sum0(c: str) -> F.Column:
     # The exploration frames sum an all-null group to 0, not to NULL.
@@ -152,28 +154,19 @@ def corr_pearson(df: DataFrame, x: str, y: str) -> DataFrame:
                  F.round(F.corr(F.col(x).cast("double"), F.col(y).cast("double")), 6).alias("pearson_r"))
 
 
-def _average_rank(df: DataFrame, column: str, name: str) -> DataFrame:
-    """(value, avg_rank) with ties at their average rank.
+def corr_spearman(df: DataFrame, x: str, y: str) -> DataFrame:
+    """Spearman rho with average ranks for ties: Pearson r of the ranks.
 
-    Ranks come from per-value counts (one aggregate, a row per distinct value)
-    and a running sum over the distinct values. The running sum is a window
-    without partition over the *distinct values only*; with many distinct
-    values use approximate ranks instead.
+    Ranks are computed per distinct value with distributed running sums
+    (``operators.ranking``), the correlation as a weighted Pearson over the
+    distinct (x, y) pairs.
     """
-    counts = df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("cnt"))
-    w = Window.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counts.withColumn("cum", F.sum("cnt").over(w))
-    return ranked.select(F.col("value").alias(column),
-                         ((F.col("cum") - F.col("cnt") + 1 + F.col("cum")) / 2.0).alias(name))
-
-
-def corr_spearman(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Spearman rho with average ranks for ties: Pearson r of the ranks."""
     d = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(x, y)
-    rx = _average_rank(d, x, "rx")
-    ry = _average_rank(d, y, "ry")
+    rx = average_ranks(d, x, "rx")
+    ry = average_ranks(d, y, "ry")
     pairs = d.groupBy(x, y).agg(F.count(F.lit(1)).alias("w"))
-    j = pairs.join(F.broadcast(rx), x).join(F.broadcast(ry), y)
+    # rank tables have one row per distinct value: AQE broadcasts them when small
+    j = pairs.join(rx, x).join(ry, y)
     # weighted Pearson over distinct (x, y) pairs, weights = multiplicity
     n = F.sum("w")
     sx, sy = F.sum(F.col("w") * F.col("rx")), F.sum(F.col("w") * F.col("ry"))
@@ -232,3 +225,19 @@ def max_per_key(df: DataFrame, key: str, column: str, alias: str) -> DataFrame:
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+def chi_square_test_ml(df: DataFrame, row: str, col: str) -> DataFrame:
+    """χ² statistic, degrees of freedom and p-value from Spark ML's ChiSquareTest.
+
+    Cross-check of ``chi_square``; ML builds the contingency table with a
+    distributed aggregation over (feature value, label) pairs.
+    """
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import ChiSquareTest
+
+    data = VectorAssembler(inputCols=[row], outputCol="features").transform(
+        df.select(F.col(row).cast("double").alias(row), F.col(col).cast("double").alias("label")))
+    res = ChiSquareTest.test(data, "features", "label", flatten=True)
+    return res.select(F.round("statistic", 6).alias("chi2"), F.col("degreesOfFreedom").cast("long").alias("dof"),
+                      F.col("pValue").alias("p_value"))

@@ -306,14 +306,3 @@ def q_join_candidates(spark, sf_dir):
     return assemble.candidates(b.orders, b.lines)
 
 
-@register("train_feature_frame_leak_free")
-def q_train_feature_frame_leak_free(spark, sf_dir):
-    b = basket(spark, sf_dir)
-    return round_doubles(assemble.train_frame(b.orders, b.lines, b.products, leak_free=True))
-
-
-@register("test_feature_frame_leak_free")
-def q_test_feature_frame_leak_free(spark, sf_dir):
-    b = basket(spark, sf_dir)
-    return round_doubles(assemble.test_frame(b.orders, b.lines, b.products, leak_free=True))
-

@@ -156,6 +156,22 @@ FRAG: dict[str, tuple[str, tuple[str, ...], tuple[str, ...]]] = {
                ("dow_counts", "hour_counts"), ()),
 }
 
+
+
+def _leak_free_variants() -> None:
+    """Add ``<name>_lf`` fragments computed over prior orders / prior lines only."""
+    import re
+
+    base = [n for n in FRAG if n not in ("fo", "fl", "po", "pl")]
+    ren = {"fo": "po", "fl": "pl", **{n: n + "_lf" for n in base}}
+    pat = re.compile(r"\b(" + "|".join(sorted(ren, key=len, reverse=True)) + r")\b")
+    for n in base:
+        sql, deps, vs = FRAG[n]
+        FRAG[n + "_lf"] = (pat.sub(lambda m: ren[m.group(1)], sql), tuple(ren.get(d, d) for d in deps), vs)
+
+
+_leak_free_variants()
+
 USER_COLS = ["frequency_of_reorder", "count_of_asian_org_items", "mean_of_asian_org_items",
              "max_count_of_products", "min_count_of_products", "mean_count_of_products",
              "count_ord_no_prev_purchased_items", "mean_ord_no_prev_purchased_items"]
