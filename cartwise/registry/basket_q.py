@@ -39,7 +39,7 @@ lft AS (
 _Z = " + ".join([f"{E.FIXED_LOGIT['intercept']}"] + [f"{w} * coalesce(CAST({c} AS DOUBLE), 0.0)"
                                                        for c, w in E.FIXED_LOGIT.items() if c != "intercept"])
 _SCORED = f""",
-sc AS (SELECT user_id, product_id, reordered, 1.0 / (1.0 + exp(-({_Z}))) AS p FROM lft)"""
+sc AS (SELECT user_id, product_id, reordered, round(1.0 / (1.0 + exp(-({_Z}))), 9) AS p FROM lft)"""
 
 
 def lf_sql(body: str, target: str = "train", scored: bool = False) -> str:
