@@ -12,11 +12,12 @@ O(n^2) dynamic program: the distribution of K for every prefix (forward)
 and E[1 / (c + R)] for every suffix (backward). The best (k, None) is the
 argmax; ties go to "with None", then to the smaller k.
 
-Spark side: rows are shuffled by user and each user's candidates are
-handed to a vectorised NumPy solver through ``applyInPandas`` (Arrow
-batches). A group holds one row per candidate product of the user, so its
-size is bounded by the product dimension, not by the data volume; no
-candidate is dropped.
+Spark side: rows are shuffled by user into an explicit number of
+partitions, sorted by (user, probability), and streamed through
+``mapInPandas`` (Arrow batches holding many users); each user's candidates
+go to the NumPy solver. A user's candidate list has one row per product the
+user bought, so it is bounded by the product dimension, not by the data
+volume; no candidate is dropped.
 """
 
 from __future__ import annotations
@@ -79,43 +80,82 @@ SELECT_SCHEMA = "user_id long, best_k int, pred_none boolean, max_f1 double, n_c
 CURVE_SCHEMA = "user_id long, k int, with_none boolean, expected_f1 double"
 
 
-def _ordered(pdf: pd.DataFrame, prob: str, item: str) -> pd.DataFrame:
-    # descending probability, ties by item id: deterministic choice
-    return pdf.sort_values([prob, item], ascending=[False, True], kind="mergesort")
+def _per_user_stream(scored: DataFrame, solve, schema: str, prob: str, user: str, item: str,
+                     partitions: int | None = None) -> DataFrame:
+    """Run ``solve(users, probs, items)`` over every user's candidates.
 
+    Rows are hash-partitioned by user into an explicit number of partitions
+    (the session's shuffle partitions: AQE does not coalesce an explicit
+    repartition, so the Python work stays parallel) and sorted by (user,
+    probability desc, item). Each task streams its Arrow batches; users
+    arrive contiguous and already ordered, a user cut by a batch boundary is
+    carried into the next batch, so many users share one Python call and a
+    task never holds more than a batch plus one user.
+    """
+    spark = scored.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    src = (scored.select(F.col(user).cast("long").alias("user_id"), F.col(item).cast("long").alias("item"),
+                         F.col(prob).cast("double").alias("p"))
+           .repartition(n, "user_id")
+           .sortWithinPartitions("user_id", F.desc("p"), "item"))
+
+    def run(batches):
+        carry = None
+        for b in batches:
+            if carry is not None and len(carry):
+                b = pd.concat([carry, b], ignore_index=True)
+            if b.empty:
+                continue
+            u = b["user_id"].to_numpy()
+            cut = int(np.searchsorted(u, u[-1], side="left")) if u[0] != u[-1] else 0
+            # users are sorted ascending within the partition: rows of the last user form the tail
+            done, carry = b.iloc[:cut], b.iloc[cut:]
+            if len(done):
+                yield _solve_users(done, solve)
+        if carry is not None and len(carry):
+            yield _solve_users(carry, solve)
+
+    return src.mapInPandas(run, schema)
+
+
+def _solve_users(pdf: pd.DataFrame, solve) -> pd.DataFrame:
+    u = pdf["user_id"].to_numpy()
+    p = pdf["p"].to_numpy(dtype=np.float64)
+    it = pdf["item"].to_numpy()
+    starts = np.concatenate([[0], np.flatnonzero(u[1:] != u[:-1]) + 1, [len(u)]])
+    parts = [solve(int(u[a]), p[a:b], it[a:b]) for a, b in zip(starts[:-1], starts[1:])]
+    if parts and isinstance(parts[0], tuple):
+        return pd.DataFrame.from_records(parts, columns=list(_SELECT_COLUMNS))
+    return pd.concat(parts, ignore_index=True)
+
+
+_SELECT_COLUMNS = ("user_id", "best_k", "pred_none", "max_f1", "n_candidates", "products")
+
+
+def _select_one(uid: int, p: np.ndarray, items: np.ndarray) -> tuple:
+    k, none, f1 = best_basket(p)
+    return uid, k, none, f1, len(p), items[:k].astype("int64").tolist()
+
+
+def _curve_one(uid: int, p: np.ndarray, items: np.ndarray) -> pd.DataFrame:
+    with_none, without = expected_f1(p)
+    n1 = with_none.shape[0]
+    return pd.DataFrame({"user_id": np.full(2 * n1, uid, dtype="int64"),
+                         "k": np.concatenate([np.arange(n1), np.arange(n1)]).astype("int32"),
+                         "with_none": np.concatenate([np.ones(n1, bool), np.zeros(n1, bool)]),
+                         "expected_f1": np.concatenate([with_none, without])})
 
-def select(scored: DataFrame, prob: str = "p", user: str = "user_id", item: str = "product_id") -> DataFrame:
-    """One row per user: best k, whether to add "None", its E[F1] and the chosen items."""
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = _ordered(pdf, prob, item)
-        p = pdf[prob].to_numpy(dtype=np.float64)
-        k, none, f1 = best_basket(p)
-        return pd.DataFrame({"user_id": [int(pdf[user].iloc[0])], "best_k": [k], "pred_none": [none],
-                             "max_f1": [f1], "n_candidates": [len(p)],
-                             "products": [pdf[item].iloc[:k].astype("int64").tolist()]})
 
-    src = scored.select(F.col(user).cast("long").alias(user), F.col(item).cast("long").alias(item),
-                        F.col(prob).cast("double").alias(prob))
-    return src.groupBy(user).applyInPandas(solve, SELECT_SCHEMA)
+def select(scored: DataFrame, prob: str = "p", user: str = "user_id", item: str = "product_id") -> DataFrame:
+    """One row per user: best k, whether to add "None", its E[F1] and the chosen items
+    (highest probability first, ties by item id)."""
+    return _per_user_stream(scored, _select_one, SELECT_SCHEMA, prob, user, item)
 
 
 def expected_f1_curve(scored: DataFrame, prob: str = "p", user: str = "user_id",
                       item: str = "product_id") -> DataFrame:
     """Per user, one row per (k, with_none) with its expected F1."""
-
-    def curve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = _ordered(pdf, prob, item)
-        with_none, without = expected_f1(pdf[prob].to_numpy(dtype=np.float64))
-        n1 = with_none.shape[0]
-        uid = int(pdf[user].iloc[0])
-        return pd.DataFrame({"user_id": [uid] * (2 * n1), "k": list(range(n1)) * 2,
-                             "with_none": [True] * n1 + [False] * n1,
-                             "expected_f1": np.concatenate([with_none, without])})
-
-    src = scored.select(F.col(user).cast("long").alias(user), F.col(item).cast("long").alias(item),
-                        F.col(prob).cast("double").alias(prob))
-    return src.groupBy(user).applyInPandas(curve, CURVE_SCHEMA)
+    return _per_user_stream(scored, _curve_one, CURVE_SCHEMA, prob, user, item)
 
 
 def prob_none(scored: DataFrame, prob: str = "p", user: str = "user_id") -> DataFrame:

@@ -17,6 +17,8 @@ from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwise.session import materialize
+
 DEFAULT_BUCKETS = 64
 
 
@@ -28,7 +30,8 @@ def running_sums(df: DataFrame, order_col: str, sum_cols: list[str], buckets: in
     rows with equal values get the same, inclusive total.
     """
     tmp = "_bucket"
-    src = df.withColumn("_ord", F.col(order_col).cast("double"))
+    # written once: the quantile fit and the bucketing pass both read it
+    src = materialize(df.withColumn("_ord", F.col(order_col).cast("double")), "running-sums-input")
     qd = QuantileDiscretizer(numBuckets=buckets, inputCol="_ord", outputCol=tmp, relativeError=1e-3,
                              handleInvalid="keep")
     bucketed = qd.fit(src).transform(src)

@@ -5,12 +5,12 @@ selected by name (never by position):
 
     user_id, product_id, [reordered], 2 time, 8 user, 21 product, 3 user×product
 
-Join plan of the training frame: time features are per order and user
-features per user, so they are joined first on the orders-sized frame; the
-line frame is then joined once on order_id, once on (user_id, product_id)
-and once with the product features (a dimension-sized side that AQE
-broadcasts when small). Every feature side is unique on its key, so no
-join multiplies rows.
+Join plan of the training frame: the line facts carry each order's day and
+hour, so the time totals (key domains of 7 and 24 values) are broadcast onto
+them; the product features are broadcast after a row-count check; user
+features are attached to the user×product frame first, so the line-sized
+frame is shuffled once, on (user_id, product_id). Every feature side is
+unique on its key, so no join multiplies rows.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartwise.operators.joins import broadcast_if_small
+from cartwise.session import materialize as write_table
 from cartwise.plans.base import FeatureInput, split_inputs
 from cartwise.plans.product import PRODUCT_FEATURES, product_features
 from cartwise.plans.time import orders_per_dow, orders_per_hour, time_features, time_mean_constants
@@ -33,20 +35,25 @@ TEST_COLUMNS = (*KEYS, *FEATURES)
 
 
 class FeatureSet:
-    """The four feature frames of one input, each built once."""
+    """The four feature frames of one input, each built once.
 
-    def __init__(self, fi: FeatureInput, keywords: tuple[str, ...] = FIXTURE_KEYWORDS,
-                 faithful_streaks: bool = True):
-        self.fi = fi
-        self.user = user_features(fi, keywords)
-        self.product = product_features(fi, faithful_streaks)
-        self.user_product = user_product_features(fi)
-        self.time = time_features(fi.orders)
+    With ``materialize=True`` (default) the shared line facts are written
+    once and the product features (one row per product) are written and
+    counted, so the product side is broadcast only when its measured size is
+    under ``joins.BROADCAST_MAX_ROWS``.
+    """
 
-    def persist(self) -> "FeatureSet":
-        for df in (self.user, self.product, self.user_product):
-            df.persist()
-        return self
+    def __init__(self, fi: FeatureInput, keywords: tuple[str, ...] = FIXTURE_KEYWORDS,
+                 faithful_streaks: bool = True, materialize: bool = True):
+        self.fi = fi.materialize() if materialize else fi
+        self.user = user_features(self.fi, keywords)
+        self.product = product_features(self.fi, faithful_streaks)
+        self.user_product = user_product_features(self.fi)
+        self.time = time_features(self.fi.orders)
+        self.product_side = self.product
+        if materialize:
+            self.product = write_table(self.product, "product-features")
+            self.product_side = broadcast_if_small(self.product)
 
 
 def check_columns(user: DataFrame, product: DataFrame, user_product: DataFrame, test_set: DataFrame) -> None:
@@ -66,13 +73,22 @@ def check_columns(user: DataFrame, product: DataFrame, user_product: DataFrame,
 
 def train_frame_from(fs: FeatureSet) -> DataFrame:
     """Every feature line with its label (analysed behaviour: features and
-    labels come from the same lines)."""
-    per_order = (fs.time.select("user_id", "order_id", *TIME_FEATURES)
-                 .join(fs.user, "user_id", "left"))
-    frame = (fs.fi.lines.select("order_id", "product_id", LABEL)
-             .join(per_order, "order_id", "left")
-             .join(fs.product, "product_id", "left")
-             .join(fs.user_product, list(KEYS), "left"))
+    labels come from the same lines).
+
+    The line facts already carry each order's user, day and hour, so the
+    time totals (<= 7 and <= 24 rows) are broadcast onto them directly, the
+    product side is broadcast after its size check, and user features are
+    first attached to the user×product frame: the line-sized frame is
+    shuffled once, on (user_id, product_id).
+    """
+    f = fs.fi.facts
+    up_user = fs.user_product.join(fs.user, "user_id", "left")
+    frame = (f.select("order_id", "product_id", "user_id", "order_dow", "order_hour_of_day", LABEL)
+             .join(F.broadcast(orders_per_dow(fs.fi.orders)), "order_dow", "left")
+             .join(F.broadcast(orders_per_hour(fs.fi.orders)), "order_hour_of_day", "left")
+             .withColumns({c: F.col(c).cast("double") for c in TIME_FEATURES})
+             .join(fs.product_side, "product_id", "left")
+             .join(up_user, list(KEYS), "left"))
     return frame.select(*TRAIN_COLUMNS)
 
 
@@ -98,7 +114,7 @@ def _attach_target_time(frame: DataFrame, targets: DataFrame, fs: FeatureSet) ->
          .join(F.broadcast(orders_per_hour(fs.fi.orders)), "order_hour_of_day", "left")
          .select("user_id", *[F.col(c).cast("double").alias(c) for c in TIME_FEATURES]))
     return (frame.join(t, "user_id", "left").join(fs.user, "user_id", "inner")
-            .join(fs.product, "product_id", "inner"))
+            .join(fs.product_side, "product_id", "inner"))
 
 
 def candidates(orders: DataFrame, lines: DataFrame) -> DataFrame:
@@ -122,7 +138,7 @@ def test_frame_from(fs: FeatureSet, test_set: DataFrame, constants: DataFrame |
     check_columns(fs.user, fs.product, fs.user_product, test_set)
     consts = constants if constants is not None else time_mean_constants(fs.fi.orders)
     frame = (test_set.select(*KEYS).join(fs.user, "user_id", "inner")
-             .join(fs.product, "product_id", "inner")
+             .join(fs.product_side, "product_id", "inner")
              .join(fs.user_product, list(KEYS), "inner")
              .withColumns({
                  "total_ord_count_p_dow": consts.select("time_mean_dow_count").scalar(),

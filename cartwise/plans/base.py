@@ -70,6 +70,16 @@ class FeatureInput:
     def of(cls, lines: DataFrame, orders: DataFrame, products: DataFrame) -> "FeatureInput":
         return cls(lines, orders, products, line_facts(lines, orders))
 
+    def materialize(self) -> "FeatureInput":
+        """Write ``facts`` once (a parquet table in the shared checkpoint folder).
+
+        Every feature family aggregates the same facts; without this each of
+        them re-runs the lines ⋈ orders join. The written copy also cuts the
+        lineage, so a lost executor re-reads it instead of recomputing.
+        """
+        from cartwise.session import materialize
+        return FeatureInput(self.lines, self.orders, self.products, materialize(self.facts, "line-facts"))
+
 
 def split_inputs(orders: DataFrame, lines: DataFrame, products: DataFrame,
                  leak_free: bool = False) -> FeatureInput:

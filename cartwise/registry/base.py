@@ -28,4 +28,5 @@ def register(name: str, sql: str | None = None, views: tuple[str, ...] = ()):
 
 
 def basket(spark: SparkSession, sf_dir: str) -> BasketTables:
-    return load_basket(spark, sf_dir)
+    """Basket tables, derived once per application and sf folder (checkpointed)."""
+    return load_basket(spark, sf_dir, materialize=True)

@@ -54,3 +54,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a parquet table under the shared checkpoint folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` but computes the plan once (an
+    eager reliable checkpoint runs it twice: count, then write), stores it
+    columnar and compressed, and gives the planner real file sizes for its
+    join decisions. A lost executor re-reads the files instead of recomputing.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
