@@ -22,11 +22,18 @@ volume; no candidate is dropped.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The solver runs in Python workers: ship this module's functions by value so
+# workers need only NumPy and pandas, not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def expected_f1(p: np.ndarray, p_none: float | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(E_with_none[k], E_without_none[k]) for k = 0..n; ``p`` sorted descending."""

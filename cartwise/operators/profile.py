@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.operators.ranking import average_ranks
+from cartwise.operators.ranking import average_ranks, exact_quantiles
 
 
 def _sum0(c: str) -> F.Column:
@@ -121,19 +121,17 @@ def histogram_fixed(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
 def box_stats(df: DataFrame, column: str, exact: bool = True) -> DataFrame:
     """Quartiles, 1.5·IQR whiskers and outlier count of a column (nulls dropped).
 
-    ``exact=True`` uses ``percentile`` (linear interpolation, exact, sorts the
-    values per task); ``exact=False`` uses ``percentile_approx`` (t-digest-like
-    sketch with bounded memory) for very large columns.
+    ``exact=True``: exact quantiles from distributed running counts over the
+    distinct values (``ranking.exact_quantiles``). ``exact=False``:
+    ``percentile_approx`` (bounded-memory sketch) for a cheaper single pass.
     """
     v = F.col(column).cast("double")
     nn = df.where(F.col(column).isNotNull()).select(v.alias("v"))
     if exact:
-        q = nn.agg(F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
+        q1, med, q3 = exact_quantiles(nn, "v", (0.25, 0.5, 0.75))
     else:
         q = nn.agg(F.percentile_approx("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10000).alias("q"))
-    q1 = q.select(F.col("q")[0]).scalar()
-    med = q.select(F.col("q")[1]).scalar()
-    q3 = q.select(F.col("q")[2]).scalar()
+        q1, med, q3 = (q.select(F.col("q")[i]).scalar() for i in range(3))
     lo_fence = q1 - (q3 - q1) * 1.5
     hi_fence = q3 + (q3 - q1) * 1.5
     inside = (F.col("v") >= lo_fence) & (F.col("v") <= hi_fence)

@@ -50,3 +50,26 @@ def average_ranks(df: DataFrame, column: str, name: str, buckets: int = DEFAULT_
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("cnt"))
     cum = running_sums(counts, column, ["cnt"], buckets)
     return cum.select(column, ((F.col("cnt_cum") - F.col("cnt") + 1 + F.col("cnt_cum")) / 2.0).alias(name))
+
+
+def exact_quantiles(df: DataFrame, column: str, probs: tuple[float, ...],
+                    buckets: int = DEFAULT_BUCKETS) -> list[F.Column]:
+    """Exact quantiles with linear interpolation (position (n - 1)·q), as scalar columns.
+
+    Per distinct value a count, then distributed running counts; the value at
+    0-based rank i is the smallest value whose running count exceeds i. No
+    task holds more than one bucket of distinct values (an exact
+    ``percentile`` aggregate merges every distinct value in one task).
+    """
+    counts = (df.where(F.col(column).isNotNull())
+              .groupBy(F.col(column).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("cnt")))
+    cum = materialize(running_sums(counts, "v", ["cnt"], buckets), "quantile-ranks")
+    n = cum.agg(F.sum("cnt")).scalar()
+    out = []
+    for q in probs:
+        h = (n - 1) * F.lit(float(q))
+        lo, hi = F.floor(h), F.ceil(h)
+        v_lo = cum.where(F.col("cnt_cum") > lo).agg(F.min("v")).scalar()
+        v_hi = cum.where(F.col("cnt_cum") > hi).agg(F.min("v")).scalar()
+        out.append(v_lo + (h - lo) * (v_hi - v_lo))
+    return out

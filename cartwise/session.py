@@ -34,20 +34,30 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+_LOCAL_CKPT: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting points at shared storage and is used as is.
-    Only when it is unset (local tests) a scratch folder is created.
+    Only when it is unset (local tests) one scratch folder per application
+    is created and used from then on.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        spark.sparkContext.setCheckpointDir(current)
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(current)
         return current
-    local = tempfile.mkdtemp(prefix="cartwise-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_CKPT:
+        _LOCAL_CKPT[app] = tempfile.mkdtemp(prefix="cartwise-ckpt-")
+        try:
+            spark.conf.set("spark.checkpoint.dir", _LOCAL_CKPT[app])
+        except Exception:  # noqa: BLE001 - some deployments reject core confs at run time
+            pass
+        spark.sparkContext.setCheckpointDir(_LOCAL_CKPT[app])
+    return _LOCAL_CKPT[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

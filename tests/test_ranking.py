@@ -34,3 +34,14 @@ def test_auc_matches_pairwise(spark):
     pos, neg = p[y == 1], p[y == 0]
     pairs = (pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()
     assert got == pytest.approx(pairs / (len(pos) * len(neg)))
+
+
+def test_exact_quantiles_match_numpy(spark):
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 40, 501).astype(float)  # many ties
+    df = spark.createDataFrame(pd.DataFrame({"x": x}))
+    from cartwise.operators.ranking import exact_quantiles
+    cols = exact_quantiles(df, "x", (0.1, 0.25, 0.5, 0.75, 0.9))
+    got = df.limit(1).select(*[c.alias(f"q{i}") for i, c in enumerate(cols)]).collect()[0]
+    expect = np.quantile(x, [0.1, 0.25, 0.5, 0.75, 0.9])  # linear interpolation
+    assert list(got) == pytest.approx(list(expect))
