@@ -306,3 +306,24 @@ def q_join_candidates(spark, sf_dir):
     return assemble.candidates(b.orders, b.lines)
 
 
+
+
+@register("join_inner_features", _test_sql().replace(TEST_SQL_BODY, f"""
+, cand AS (
+  SELECT DISTINCT tu.user_id, l.product_id
+  FROM (SELECT user_id FROM orders_v WHERE eval_set = 'test') tu
+  LEFT JOIN fo o ON tu.user_id = o.user_id
+  LEFT JOIN (SELECT l.order_id, l.product_id FROM order_products_v l JOIN orders_v v
+             ON l.order_id = v.order_id AND v.eval_set = 'prior') l ON o.order_id = l.order_id)
+SELECT c.user_id, c.product_id, {r6(USER_COLS, 'u')}, {r6(PRODUCT_COLS, 'p')}, {r6(UP_COLS, 'x')}
+FROM cand c JOIN uf u ON c.user_id = u.user_id
+  JOIN pf p ON c.product_id = p.product_id
+  JOIN upf x ON c.user_id = x.user_id AND c.product_id = x.product_id"""))
+def q_join_inner_features(spark, sf_dir):
+    """Candidates ⋈ user ⋈ product ⋈ user×product features (inner joins)."""
+    b = basket(spark, sf_dir)
+    fs = assemble.FeatureSet(split_inputs(b.orders, b.lines, b.products))
+    cands = assemble.candidates(b.orders, b.lines)
+    j = (cands.join(fs.user, "user_id", "inner").join(fs.product_side, "product_id", "inner")
+         .join(fs.user_product, list(assemble.KEYS), "inner"))
+    return round_doubles(j)
