@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from cartwise.session import materialize
 
 DEFAULT_BUCKETS = 64
+ROWS_PER_BUCKET = 1_000_000  # more distinct values than buckets × this → more buckets
 
 
 def running_sums(df: DataFrame, order_col: str, sum_cols: list[str], buckets: int = DEFAULT_BUCKETS,
@@ -32,6 +33,7 @@ def running_sums(df: DataFrame, order_col: str, sum_cols: list[str], buckets: in
     tmp = "_bucket"
     # written once: the quantile fit and the bucketing pass both read it
     src = materialize(df.withColumn("_ord", F.col(order_col).cast("double")), "running-sums-input")
+    buckets = max(buckets, -(-src.count() // ROWS_PER_BUCKET))  # bucket size stays bounded as data grows
     qd = QuantileDiscretizer(numBuckets=buckets, inputCol="_ord", outputCol=tmp, relativeError=1e-3,
                              handleInvalid="keep")
     bucketed = qd.fit(src).transform(src)

@@ -1,40 +1,50 @@
 """Purchase sequences of a product within a user's order history.
 
-Windows are partitioned by (user_id, product_id) and ordered by the user's
-order sequence number. Such a group holds one row per order of the user
-that contains the product, so its size is bounded by the user's number of
-orders (at most 100 in the analysed data); the per-group sort spills if a
-group is larger. Both windows share the (user_id, product_id) partitioning,
-so one shuffle feeds ``lead`` and both ``row_number`` calls.
+Groups are (user_id, product_id), ordered by the user's order sequence
+number. Ordered computations go through ``operators.ordered``: a group is
+normally one window partition, and a group larger than ``max_rows`` rows is
+cut into order-number ranges whose results are stitched together, so one
+heavy (user, product) history never lands in a single task. All windows of
+one computation share the (user, product, segment) partitioning: one shuffle
+feeds ``lead`` and both ``row_number`` calls.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_KEYS = ("user_id", "product_id")
+from cartwise.operators import ordered
 
+_KEYS = ["user_id", "product_id"]
+_ORDER = ["order_number"]
 
-def _history() -> Window:
-    return Window.partitionBy(*_KEYS).orderBy("order_number")
 
+def _segmented(facts: DataFrame, max_rows: int) -> DataFrame:
+    return ordered.segment(facts.select(*_KEYS, "order_id", "order_number"), _KEYS, "order_number", max_rows)
 
-def next_order_number(facts: DataFrame) -> DataFrame:
+
+def _with_next(facts: DataFrame, max_rows: int) -> DataFrame:
+    return ordered.lead_lag(_segmented(facts, max_rows), _KEYS, _ORDER, "order_number", "next_order_number", 1)
+
+
+def next_order_number(facts: DataFrame, max_rows: int = ordered.HOT_GROUP_ROWS) -> DataFrame:
     """Next order of the same user that again contains the product (null at the end)."""
-    return facts.select(*_KEYS, "order_id", "order_number",
-                        F.lead("order_number", 1).over(_history()).alias("next_order_number"))
+    return _with_next(facts, max_rows).select(*_KEYS, "order_id", "order_number", "next_order_number")
 
 
-def streak_continued_flag(facts: DataFrame) -> DataFrame:
-    """1 when the product is bought again in the very next order, else 0."""
-    nxt = next_order_number(facts)
-    return nxt.withColumn(
+def _flag(df: DataFrame) -> DataFrame:
+    return df.withColumn(
         "is_streak_continued_flag",
         F.when(F.col("next_order_number") - F.col("order_number") == 1, 1).otherwise(0))
 
 
-def streaks_flagged(facts: DataFrame) -> DataFrame:
+def streak_continued_flag(facts: DataFrame, max_rows: int = ordered.HOT_GROUP_ROWS) -> DataFrame:
+    """1 when the product is bought again in the very next order, else 0."""
+    return _flag(next_order_number(facts, max_rows))
+
+
+def streaks_flagged(facts: DataFrame, max_rows: int = ordered.HOT_GROUP_ROWS) -> DataFrame:
     """Streak lengths as the analysed code defines them (kept for parity).
 
     Group key ``row_number over (user, product) - row_number over (user,
@@ -42,18 +52,18 @@ def streaks_flagged(facts: DataFrame) -> DataFrame:
     can share a key, so lengths differ from true consecutive runs
     (orders 1,2,3,5 → 2,2; orders 1,3,5 → one streak of 3).
     """
-    flagged = streak_continued_flag(facts)
-    by_flag = Window.partitionBy(*_KEYS, "is_streak_continued_flag").orderBy("order_number")
-    grp = F.row_number().over(_history()) - F.row_number().over(by_flag)
-    return (flagged.withColumn("grp", grp)
+    f = _flag(_with_next(facts, max_rows))
+    f = ordered.row_number(f, _KEYS, _ORDER, "_rn_all")
+    f = ordered.row_number(f, _KEYS, _ORDER, "_rn_flag", extra=("is_streak_continued_flag",))
+    return (f.withColumn("grp", F.col("_rn_all") - F.col("_rn_flag"))
             .groupBy(*_KEYS, "grp")
             .agg(F.count("order_number").alias("length_of_streaks")))
 
 
-def streaks_islands(facts: DataFrame) -> DataFrame:
+def streaks_islands(facts: DataFrame, max_rows: int = ordered.HOT_GROUP_ROWS) -> DataFrame:
     """True runs of consecutive orders: key ``order_number - row_number``."""
-    grp = F.col("order_number") - F.row_number().over(_history())
-    return (facts.select(*_KEYS, "order_number").withColumn("grp", grp)
+    f = ordered.row_number(_segmented(facts, max_rows), _KEYS, _ORDER, "_rn")
+    return (f.withColumn("grp", F.col("order_number") - F.col("_rn"))
             .groupBy(*_KEYS, "grp")
             .agg(F.count("order_number").alias("length_of_streaks")))
 

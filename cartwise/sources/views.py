@@ -20,9 +20,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartwise.operators import ordered
 from cartwise.sources.tables import read_table
 
 # Fixed values of the basket adapter (must be identical in the DuckDB views).
@@ -73,19 +74,28 @@ def departments_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words.select(name_id(F.col("department")).alias("department_id"), "department")
 
 
-def orders_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    seq = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    per_user = Window.partitionBy("o_custkey")
-    t = o.select(
+def orders_view(spark: SparkSession, sf_dir: str, max_rows: int = ordered.HOT_GROUP_ROWS) -> DataFrame:
+    """Orders with the customer's sequence number, eval_set split, dow, hour, gap bucket.
+
+    Sequence number, order count and previous date per customer go through
+    ``operators.ordered``: a customer with more than ``max_rows`` orders is
+    split into date ranges instead of filling one task.
+    """
+    o = (read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+         .withColumn("_day", F.datediff(F.col("o_orderdate").cast("date"), F.lit("1970-01-01").cast("date"))))
+    keys, order = ["o_custkey"], ["o_orderdate", "o_orderkey"]
+    seq = ordered.segment(o, keys, "_day", max_rows)
+    seq = ordered.row_number(seq, keys, order, "order_number")
+    seq = ordered.lead_lag(seq, keys, order, "o_orderdate", "_prev_date", -1)
+    seq = ordered.group_size(seq, keys, "n_orders")
+    t = seq.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("user_id"),
-        F.row_number().over(seq).cast("int").alias("order_number"),
-        F.count(F.lit(1)).over(per_user).cast("int").alias("n_orders"),
+        F.col("order_number").cast("int").alias("order_number"),
+        F.col("n_orders").cast("int").alias("n_orders"),
         (F.dayofweek("o_orderdate") - 1).cast("int").alias("order_dow"),
         ((F.col("o_orderkey") * HOUR_MULTIPLIER) % 24).cast("int").alias("order_hour_of_day"),
-        F.datediff(F.col("o_orderdate").cast("date"),
-                   F.lag(F.col("o_orderdate")).over(seq).cast("date")).alias("gap_days"),
+        F.datediff(F.col("o_orderdate").cast("date"), F.col("_prev_date").cast("date")).alias("gap_days"),
     )
     gap = F.floor(F.col("gap_days") / F.lit(GAP_BUCKET_DAYS))
     return t.select(
@@ -100,9 +110,18 @@ def orders_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lines_view(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
-    """(order_id, product_id, add_to_cart_order, reordered), unique per (order, product)."""
-    orders = orders if orders is not None else orders_view(spark, sf_dir)
+def lines_view(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None,
+               max_rows: int = ordered.HOT_GROUP_ROWS) -> DataFrame:
+    """(order_id, product_id, add_to_cart_order, reordered), unique per (order, product).
+
+    Cart position: rank of (first line number, product) inside the order
+    (segmented for very large orders). Reorder flag: the order is not the
+    user's first order with the product, i.e. ``order_number`` above the
+    minimum of the (user, product) group — a grouped minimum joined back, so
+    a heavy (user, product) pair is handled by partial aggregation and the
+    skew-join split.
+    """
+    orders = orders if orders is not None else orders_view(spark, sf_dir, max_rows)
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
     part = (read_table(spark, sf_dir, "part").where(F.col("p_name").isNotNull())
             .select("p_partkey", name_id(F.col("p_name")).alias("product_id")))
@@ -110,12 +129,13 @@ def lines_view(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None
                 .groupBy(F.col("l_orderkey").alias("order_id"), "product_id")
                 .agg(F.min("l_linenumber").alias("ln")))
     with_user = per_pair.join(orders.select("order_id", "user_id", "order_number"), "order_id")
-    cart = Window.partitionBy("order_id").orderBy("ln", "product_id")
-    history = Window.partitionBy("user_id", "product_id").orderBy("order_number")
-    return with_user.select(
+    cart = ordered.segment(with_user, ["order_id"], "ln", max_rows)
+    cart = ordered.drop_segments(ordered.row_number(cart, ["order_id"], ["ln", "product_id"], "add_to_cart_order"))
+    first = with_user.groupBy("user_id", "product_id").agg(F.min("order_number").alias("_first"))
+    return cart.join(first, ["user_id", "product_id"]).select(
         "order_id", "product_id",
-        F.row_number().over(cart).cast("int").alias("add_to_cart_order"),
-        F.when(F.row_number().over(history) > 1, 1).otherwise(0).cast("int").alias("reordered"),
+        F.col("add_to_cart_order").cast("int").alias("add_to_cart_order"),
+        F.when(F.col("order_number") > F.col("_first"), 1).otherwise(0).cast("int").alias("reordered"),
     )
 
 
