@@ -32,17 +32,20 @@ HOT_GROUP_ROWS = 1_000_000
 def segment(df: DataFrame, keys: list[str], split_col: str, max_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """Add ``_seg`` (segment of the row inside its group) and ``_hot`` (group was split).
 
-    One aggregate job finds the hot groups first. Without any, the columns
+    A row count, then (only if the table could hold a hot group) one
+    aggregate job finds the hot groups first. Without any, the columns
     are literals (segment 0, not hot): Catalyst then prunes every correction
     branch and the plan is the plain window.
     """
+    plain = {"_seg": F.lit(0).cast("long"), "_hot": F.lit(False), "_gsize": F.lit(None).cast("long")}
+    if df.count() <= max_rows:  # no group can be hot (a footer-only count on written tables)
+        return df.withColumns(plain)
     x = F.col(split_col).cast("double")
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(x).alias("_lo"), F.max(x).alias("_hi"))
     hot = sizes.where(F.col("_n") > max_rows).withColumn(
         "_parts", F.ceil(F.col("_n") / F.lit(float(max_rows))).cast("long"))
     if hot.isEmpty():
-        return df.withColumns({"_seg": F.lit(0).cast("long"), "_hot": F.lit(False),
-                               "_gsize": F.lit(None).cast("long")})
+        return df.withColumns(plain)
     j = df.join(F.broadcast(hot), keys, "left")
     width = (F.col("_hi") - F.col("_lo")) / F.col("_parts")
     raw = F.floor((x - F.col("_lo")) / width)
