@@ -66,7 +66,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name)
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, partition_by: list[str] | None = None):
     """Write ``df`` as a parquet table under the shared checkpoint folder and read it back.
 
     Cuts the lineage like ``checkpoint()`` but computes the plan once (an
@@ -78,5 +78,8 @@ def materialize(df, name: str):
 
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
     return spark.read.parquet(path)

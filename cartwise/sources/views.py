@@ -166,7 +166,8 @@ def load_basket(spark: SparkSession, sf_dir: str, materialize: bool = False) ->
         if key not in _MATERIALIZED:
             from cartwise.session import materialize
             raw = load_basket(spark, sf_dir)
-            raw.orders = materialize(raw.orders, "basket-orders")
+            # partitioned by eval_set: train / test / prior filters prune whole folders
+            raw.orders = materialize(raw.orders, "basket-orders", partition_by=["eval_set"])
             raw.lines = materialize(raw.lines, "basket-lines")
             _MATERIALIZED[key] = raw
         return _MATERIALIZED[key]
