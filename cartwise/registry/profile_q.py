@@ -228,3 +228,19 @@ SELECT user_id, order_number, order_dow, order_hour_of_day FROM orders_v ORDER B
 def q_sort_keys(spark, sf_dir):
     o = basket(spark, sf_dir).orders
     return o.select("user_id", "order_number", "order_dow", "order_hour_of_day").orderBy("user_id", "order_number")
+
+
+# The survey's generic keys, each bound to one representative column.
+@register("value_counts", _vc_sql("order_products_v", "add_to_cart_order"))
+def q_value_counts(spark, sf_dir):
+    return P.value_counts(basket(spark, sf_dir).lines, "add_to_cart_order")
+
+
+@register("histogram_fixed", _hist_sql("SELECT days_since_prior_order FROM orders_v", "days_since_prior_order"))
+def q_histogram_fixed(spark, sf_dir):
+    return P.histogram_fixed(basket(spark, sf_dir).orders, "days_since_prior_order", 30)
+
+
+@register("box_stats", _box_sql("order_products_v", "reordered"))
+def q_box_stats(spark, sf_dir):
+    return P.box_stats(basket(spark, sf_dir).lines, "reordered")
