@@ -18,3 +18,32 @@ def test_manifest_roundtrip(spark):
     back = csv_io.scan_with_manifest(spark, data, names, types={"user_id": "long"}).orderBy("user_id").collect()
     assert [tuple(r) for r in back] == [(1, 0.5, 2.0), (2, 1.5, None)]
     assert csv_io.label_index(["a", "b", "reordered"], "reordered") == 2
+
+
+def test_product_ids_unique_per_name(spark):
+    from conftest import SF_CHECK
+    from pyspark.sql import functions as F
+
+    from cartwise.sources.views import products_view
+    p = products_view(spark, SF_CHECK)
+    row = p.agg(F.count("*").alias("n"), F.count_distinct("product_id").alias("ids"),
+                F.count_distinct("product_name").alias("names")).collect()[0]
+    assert row.n == row.ids == row.names
+
+
+def test_jobs_end_to_end(spark, tmp_path):
+    import json
+    import os
+    import sys
+    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "jobs"))
+    import build_dataset
+    import train
+    from conftest import SF_SMALL
+    build_dataset.main(["--input", SF_SMALL, "--output", str(tmp_path / "frames"), "--leak-free"])
+    train.main(["--frames", str(tmp_path / "frames"), "--output", str(tmp_path / "out"), "--kind", "glm"])
+    metrics = spark.read.json(str(tmp_path / "out" / "validation_metrics")).collect()[0]
+    assert 0.0 <= metrics.auc <= 1.0
+    baskets = spark.read.parquet(str(tmp_path / "out" / "baskets"))
+    test_users = spark.read.parquet(str(tmp_path / "frames" / "test_frame")).select("user_id").distinct().count()
+    assert baskets.count() == test_users
+    assert json.loads(json.dumps({"ok": True}))["ok"]
