@@ -16,6 +16,12 @@ def _fi(spark, sf_dir, leak_free=False):
     return split_inputs(b.orders, b.lines, b.products, leak_free=leak_free)
 
 
+def _fim(spark, sf_dir):
+    """Feature inputs with the line facts written once: ordered (sequence)
+    computations read them twice (hot-group check, then the windows)."""
+    return _fi(spark, sf_dir).materialize()
+
+
 # ---------------------------------------------------------------- user
 @register("user_item_count", compose(
     "SELECT user_id, CAST(frequency_of_reorder AS BIGINT) AS frequency_of_reorder FROM uf_reord", "uf_reord"))
@@ -108,7 +114,7 @@ SELECT product_id, CAST(Total_streak_of_this_product AS BIGINT) AS Total_streak_
        CAST(max_of_streaks_of_this_product AS BIGINT) AS max_of_streaks_of_this_product
 FROM pf_streak""", "pf_streak"))
 def q_product_streak_stats(spark, sf_dir):
-    s = product.product_streak_stats(_fi(spark, sf_dir))
+    s = product.product_streak_stats(_fim(spark, sf_dir))
     return round_doubles(s.select("product_id", "Total_streak_of_this_product", "mean_of_streaks_of_this_product",
                                   "min_of_streaks_of_this_product", "max_of_streaks_of_this_product"))
 
@@ -118,7 +124,7 @@ SELECT product_id, round(prob_of_reordered_5, 6) AS prob_of_reordered_5,
        round(prob_of_reordered_3, 6) AS prob_of_reordered_3, round(prob_of_reordered_2, 6) AS prob_of_reordered_2
 FROM pf_streak""", "pf_streak"))
 def q_product_streak_prob(spark, sf_dir):
-    s = product.product_streak_stats(_fi(spark, sf_dir))
+    s = product.product_streak_stats(_fim(spark, sf_dir))
     return round_doubles(s.select("product_id", "prob_of_reordered_5", "prob_of_reordered_3", "prob_of_reordered_2"))
 
 
@@ -144,7 +150,7 @@ def q_product_order_support(spark, sf_dir):
 
 @register("product_features", compose(f"SELECT product_id, {r6(PRODUCT_COLS)} FROM pf", "pf"))
 def q_product_features(spark, sf_dir):
-    return round_doubles(product.product_features(_fi(spark, sf_dir)))
+    return round_doubles(product.product_features(_fim(spark, sf_dir)))
 
 
 @register("product_streak_stats_islands", compose("""
@@ -157,7 +163,7 @@ SELECT product_id, CAST(count(grp) AS BIGINT) AS Total_streak_of_this_product,
        round(sum(CASE WHEN length_of_streaks >= 2 THEN 1 ELSE 0 END) / count(length_of_streaks), 6) AS prob_of_reordered_2
 FROM islands GROUP BY product_id""", "islands"))
 def q_product_streak_stats_islands(spark, sf_dir):
-    return round_doubles(product.product_streak_stats(_fi(spark, sf_dir), faithful=False))
+    return round_doubles(product.product_streak_stats(_fim(spark, sf_dir), faithful=False))
 
 
 # ---------------------------------------------------------------- user x product
@@ -222,7 +228,7 @@ SELECT user_id, product_id, order_id, order_number, CAST(next_order_number AS DO
 FROM flagged""", "flagged"))
 def q_next_order_number(spark, sf_dir):
     # nullable integer rendered as double in both engines (same value representation)
-    return sequence.next_order_number(_fi(spark, sf_dir).facts).withColumn(
+    return sequence.next_order_number(_fim(spark, sf_dir).facts).withColumn(
         "next_order_number", F.col("next_order_number").cast("double"))
 
 
@@ -230,20 +236,20 @@ def q_next_order_number(spark, sf_dir):
 SELECT user_id, product_id, order_id, order_number, CAST(next_order_number AS DOUBLE) AS next_order_number,
        CAST(is_streak_continued_flag AS INTEGER) AS is_streak_continued_flag FROM flagged""", "flagged"))
 def q_streak_continued_flag(spark, sf_dir):
-    return sequence.streak_continued_flag(_fi(spark, sf_dir).facts).withColumn(
+    return sequence.streak_continued_flag(_fim(spark, sf_dir).facts).withColumn(
         "next_order_number", F.col("next_order_number").cast("double"))
 
 
 @register("streaks_flagged", compose("""
 SELECT user_id, product_id, CAST(grp AS INTEGER) AS grp, length_of_streaks FROM streaks""", "streaks"))
 def q_streaks_flagged(spark, sf_dir):
-    return sequence.streaks_flagged(_fi(spark, sf_dir).facts)
+    return sequence.streaks_flagged(_fim(spark, sf_dir).facts)
 
 
 @register("streaks_islands", compose("""
 SELECT user_id, product_id, CAST(grp AS INTEGER) AS grp, length_of_streaks FROM islands""", "islands"))
 def q_streaks_islands(spark, sf_dir):
-    return sequence.streaks_islands(_fi(spark, sf_dir).facts)
+    return sequence.streaks_islands(_fim(spark, sf_dir).facts)
 
 
 # ---------------------------------------------------------------- frames
