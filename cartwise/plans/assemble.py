@@ -147,14 +147,21 @@ def test_frame_from(fs: FeatureSet, test_set: DataFrame, constants: DataFrame |
 
 
 def test_frame(orders: DataFrame, lines: DataFrame, products: DataFrame, leak_free: bool = False,
-               keywords: tuple[str, ...] = FIXTURE_KEYWORDS) -> DataFrame:
+               keywords: tuple[str, ...] = FIXTURE_KEYWORDS, fs: FeatureSet | None = None) -> DataFrame:
+    """Candidate frame; ``fs`` reuses an already built (faithful) feature set."""
     if not leak_free:
-        fs = FeatureSet(split_inputs(orders, lines, products), keywords)
+        fs = fs or FeatureSet(split_inputs(orders, lines, products), keywords)
         # The candidate keys are exactly the user×product keys of test users:
-        # the user×product aggregate is unique on them, so no extra distinct.
+        # the user×product aggregate is unique on them, so the candidates carry
+        # their own user×product features (no distinct, no self-join back).
         test_users = orders.where(F.col("eval_set") == "test").select("user_id")
-        cands = fs.user_product.select(*KEYS).join(test_users, "user_id", "left_semi")
-        return test_frame_from(fs, cands)
+        cands = fs.user_product.join(test_users, "user_id", "left_semi")
+        consts = time_mean_constants(fs.fi.orders)
+        frame = (cands.join(fs.user, "user_id", "inner").join(fs.product_side, "product_id", "inner")
+                 .withColumns({
+                     "total_ord_count_p_dow": consts.select("time_mean_dow_count").scalar(),
+                     "total_ord_count_p_ohod": consts.select("time_mean_ohod_count").scalar()}))
+        return frame.select(*TEST_COLUMNS)
     fs = FeatureSet(split_inputs(orders, lines, products, leak_free=True), keywords)
     targets = orders.where(F.col("eval_set") == "test").select("order_id", "user_id", "order_dow",
                                                                "order_hour_of_day")

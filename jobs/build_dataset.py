@@ -39,9 +39,7 @@ def main(argv=None) -> None:
     else:
         fs = assemble.FeatureSet(split_inputs(b.orders, b.lines, b.products))
         train = assemble.train_frame_from(fs)
-        test_users = b.orders.where("eval_set = 'test'").select("user_id")
-        test = assemble.test_frame_from(fs, fs.user_product.select(*assemble.KEYS)
-                                        .join(test_users, "user_id", "left_semi"))
+        test = assemble.test_frame(b.orders, b.lines, b.products, fs=fs)
     train.write.mode("overwrite").parquet(os.path.join(args.output, "train_frame"))
     test.write.mode("overwrite").parquet(os.path.join(args.output, "test_frame"))
 
