@@ -93,10 +93,10 @@ def train_frame_from(fs: FeatureSet) -> DataFrame:
 
 
 def train_frame(orders: DataFrame, lines: DataFrame, products: DataFrame, leak_free: bool = False,
-                keywords: tuple[str, ...] = FIXTURE_KEYWORDS) -> DataFrame:
+                keywords: tuple[str, ...] = FIXTURE_KEYWORDS, line_facts: DataFrame | None = None) -> DataFrame:
     if not leak_free:
-        return train_frame_from(FeatureSet(split_inputs(orders, lines, products), keywords))
-    fs = FeatureSet(split_inputs(orders, lines, products, leak_free=True), keywords)
+        return train_frame_from(FeatureSet(split_inputs(orders, lines, products, line_facts=line_facts), keywords))
+    fs = FeatureSet(split_inputs(orders, lines, products, leak_free=True, line_facts=line_facts), keywords)
     targets = orders.where(F.col("eval_set") == "train").select("order_id", "user_id", "order_dow",
                                                                 "order_hour_of_day")
     labels = (lines.select("order_id", "product_id").join(targets.select("order_id", "user_id"), "order_id")
@@ -147,10 +147,11 @@ def test_frame_from(fs: FeatureSet, test_set: DataFrame, constants: DataFrame |
 
 
 def test_frame(orders: DataFrame, lines: DataFrame, products: DataFrame, leak_free: bool = False,
-               keywords: tuple[str, ...] = FIXTURE_KEYWORDS, fs: FeatureSet | None = None) -> DataFrame:
+               keywords: tuple[str, ...] = FIXTURE_KEYWORDS, fs: FeatureSet | None = None,
+               line_facts: DataFrame | None = None) -> DataFrame:
     """Candidate frame; ``fs`` reuses an already built (faithful) feature set."""
     if not leak_free:
-        fs = fs or FeatureSet(split_inputs(orders, lines, products), keywords)
+        fs = fs or FeatureSet(split_inputs(orders, lines, products, line_facts=line_facts), keywords)
         # The candidate keys are exactly the user×product keys of test users:
         # the user×product aggregate is unique on them, so the candidates carry
         # their own user×product features (no distinct, no self-join back).
@@ -162,7 +163,7 @@ def test_frame(orders: DataFrame, lines: DataFrame, products: DataFrame, leak_fr
                      "total_ord_count_p_dow": consts.select("time_mean_dow_count").scalar(),
                      "total_ord_count_p_ohod": consts.select("time_mean_ohod_count").scalar()}))
         return frame.select(*TEST_COLUMNS)
-    fs = FeatureSet(split_inputs(orders, lines, products, leak_free=True), keywords)
+    fs = FeatureSet(split_inputs(orders, lines, products, leak_free=True, line_facts=line_facts), keywords)
     targets = orders.where(F.col("eval_set") == "test").select("order_id", "user_id", "order_dow",
                                                                "order_hour_of_day")
     cands = fs.user_product.join(targets.select("user_id"), "user_id", "left_semi")

@@ -65,6 +65,7 @@ class FeatureInput:
     orders: DataFrame
     products: DataFrame
     facts: DataFrame
+    written: bool = False  # facts already read from a written table
 
     @classmethod
     def of(cls, lines: DataFrame, orders: DataFrame, products: DataFrame) -> "FeatureInput":
@@ -77,12 +78,14 @@ class FeatureInput:
         them re-runs the lines ⋈ orders join. The written copy also cuts the
         lineage, so a lost executor re-reads it instead of recomputing.
         """
+        if self.written:
+            return self
         from cartwise.session import materialize
-        return FeatureInput(self.lines, self.orders, self.products, materialize(self.facts, "line-facts"))
+        return FeatureInput(self.lines, self.orders, self.products, materialize(self.facts, "line-facts"), True)
 
 
 def split_inputs(orders: DataFrame, lines: DataFrame, products: DataFrame,
-                 leak_free: bool = False) -> FeatureInput:
+                 leak_free: bool = False, line_facts: DataFrame | None = None) -> FeatureInput:
     """Feature inputs from the full basket tables.
 
     ``leak_free=False`` (the analysed behaviour): orders with eval_set != 'test'
@@ -90,9 +93,17 @@ def split_inputs(orders: DataFrame, lines: DataFrame, products: DataFrame,
     computed over the same lines that carry the training label.
     ``leak_free=True``: prior orders and prior lines only; the train / test
     orders are held out as labels and prediction targets.
+    ``line_facts``: the lines already carrying eval_set, basket size and the
+    order attributes (``sources.views.LINE_FACT_COLUMNS``), as stored by the
+    basket loader; then no join is needed.
     """
     keep = (F.col("eval_set") == "prior") if leak_free else (F.col("eval_set") != "test")
     o = orders.where(keep).drop("eval_set")
+    if line_facts is not None:
+        # lines stored with their order attributes (and partitioned by eval_set):
+        # the split is a partition filter, no join
+        facts = line_facts.where(keep).select(*lines.columns, "basket_size", *ORDER_ATTRS)
+        return FeatureInput(facts.select(*lines.columns), o, products, facts, written=True)
     # inner join: keeps exactly the lines of the kept orders (one join, no semi-join pass)
     per_order = basket_sizes(lines).join(o.select("order_id", *ORDER_ATTRS), "order_id")
     facts = lines.join(per_order, "order_id")

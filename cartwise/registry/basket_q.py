@@ -51,8 +51,8 @@ def lf_sql(body: str, target: str = "train", scored: bool = False) -> str:
 def _lf_frame(spark, sf_dir, target="train"):
     b = basket(spark, sf_dir)
     if target == "train":
-        return assemble.train_frame(b.orders, b.lines, b.products, leak_free=True)
-    return assemble.test_frame(b.orders, b.lines, b.products, leak_free=True)
+        return assemble.train_frame(b.orders, b.lines, b.products, leak_free=True, line_facts=b.line_facts)
+    return assemble.test_frame(b.orders, b.lines, b.products, leak_free=True, line_facts=b.line_facts)
 
 
 def _scored(spark, sf_dir):

@@ -13,7 +13,7 @@ from cartwise.functions.scalar import round_doubles
 
 def _fi(spark, sf_dir, leak_free=False):
     b = basket(spark, sf_dir)
-    return split_inputs(b.orders, b.lines, b.products, leak_free=leak_free)
+    return split_inputs(b.orders, b.lines, b.products, leak_free=leak_free, line_facts=b.line_facts)
 
 
 def _fim(spark, sf_dir):
@@ -267,7 +267,7 @@ FROM fl l LEFT JOIN tf t ON l.order_id = t.order_id
 @register("train_feature_frame", compose(TRAIN_SQL_BODY, "fl", "tf", "uf", "pf", "upf"))
 def q_train_feature_frame(spark, sf_dir):
     b = basket(spark, sf_dir)
-    return round_doubles(assemble.train_frame(b.orders, b.lines, b.products))
+    return round_doubles(assemble.train_frame(b.orders, b.lines, b.products, line_facts=b.line_facts))
 
 
 TEST_SQL_BODY = f"""
@@ -297,7 +297,7 @@ def _test_sql():
 @register("test_feature_frame", _test_sql())
 def q_test_feature_frame(spark, sf_dir):
     b = basket(spark, sf_dir)
-    return round_doubles(assemble.test_frame(b.orders, b.lines, b.products))
+    return round_doubles(assemble.test_frame(b.orders, b.lines, b.products, line_facts=b.line_facts))
 
 
 @register("join_candidates", compose("""
@@ -328,7 +328,7 @@ FROM cand c JOIN uf u ON c.user_id = u.user_id
 def q_join_inner_features(spark, sf_dir):
     """Candidates ⋈ user ⋈ product ⋈ user×product features (inner joins)."""
     b = basket(spark, sf_dir)
-    fs = assemble.FeatureSet(split_inputs(b.orders, b.lines, b.products))
+    fs = assemble.FeatureSet(split_inputs(b.orders, b.lines, b.products, line_facts=b.line_facts))
     cands = assemble.candidates(b.orders, b.lines)
     j = (cands.join(fs.user, "user_id", "inner").join(fs.product_side, "product_id", "inner")
          .join(fs.user_product, list(assemble.KEYS), "inner"))

@@ -17,7 +17,7 @@ _ALLV = ("orders_v", "order_products_v", "products_v", "aisles_v", "departments_
 
 def _fi(spark, sf_dir):
     b = basket(spark, sf_dir)
-    return split_inputs(b.orders, b.lines, b.products)
+    return split_inputs(b.orders, b.lines, b.products, line_facts=b.line_facts)
 
 
 # ------------------------------------------------------------ projections / filters

@@ -57,7 +57,7 @@ def q_scan_csv_untyped(spark, sf_dir):
 
 def _user_features_roundtrip(spark, sf_dir):
     b = basket(spark, sf_dir)
-    uf = user.user_features(split_inputs(b.orders, b.lines, b.products))
+    uf = user.user_features(split_inputs(b.orders, b.lines, b.products, line_facts=b.line_facts))
     path = csv_io.new_scratch(spark, "user-features")
     data, names = csv_io.sink_feature_csv(uf, path)
     return data, names

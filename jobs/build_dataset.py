@@ -34,10 +34,10 @@ def main(argv=None) -> None:
     b = load_basket(spark, args.input, materialize=True)
     leak_free = args.leak_free
     if leak_free:
-        train = assemble.train_frame(b.orders, b.lines, b.products, leak_free=True)
-        test = assemble.test_frame(b.orders, b.lines, b.products, leak_free=True)
+        train = assemble.train_frame(b.orders, b.lines, b.products, leak_free=True, line_facts=b.line_facts)
+        test = assemble.test_frame(b.orders, b.lines, b.products, leak_free=True, line_facts=b.line_facts)
     else:
-        fs = assemble.FeatureSet(split_inputs(b.orders, b.lines, b.products))
+        fs = assemble.FeatureSet(split_inputs(b.orders, b.lines, b.products, line_facts=b.line_facts))
         train = assemble.train_frame_from(fs)
         test = assemble.test_frame(b.orders, b.lines, b.products, fs=fs)
     train.write.mode("overwrite").parquet(os.path.join(args.output, "train_frame"))
