@@ -17,7 +17,8 @@ partitions, sorted by (user, probability), and streamed through
 ``mapInPandas`` (Arrow batches holding many users); each user's candidates
 go to the NumPy solver. A user's candidate list has one row per product the
 user bought, so it is bounded by the product dimension, not by the data
-volume; no candidate is dropped.
+volume; no candidate is dropped. The solver's memory is O(n^2) only up to
+``DENSE_MAX_CANDIDATES`` and O(n sqrt(n)) above it.
 """
 
 from __future__ import annotations
@@ -35,19 +36,63 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def expected_f1(p: np.ndarray, p_none: float | None = None) -> tuple[np.ndarray, np.ndarray]:
+# Above this many candidates the (n+1)^2 prefix table (8 MB at 1024) is not
+# kept: prefix distributions are recomputed per block from sqrt(n) checkpoints
+# (measured: the dense table is faster below ~500 candidates, even at ~1000).
+DENSE_MAX_CANDIDATES = 1024
+
+
+def _step(col: np.ndarray, q: float) -> np.ndarray:
+    """Distribution of hits after one more item with probability ``q``."""
+    nxt = np.zeros(col.shape[0] + 1)
+    nxt[:-1] = col * (1.0 - q)
+    nxt[1:] += col * q
+    return nxt
+
+
+def _prefix_hits_desc(p: np.ndarray, dense_max: int):
+    """Yield (k, P(exactly i hits among the first k items) for i = 0..k), k = n..0.
+
+    Small n: one (n+1) x (n+1) table. Large n: the forward pass keeps only
+    every ``step``-th distribution (step ~ sqrt(n)), and each block is
+    recomputed from its checkpoint when the descending loop reaches it, so
+    memory is O(n sqrt(n)) instead of O(n^2) at twice the forward work.
+    Both paths do the same floating-point operations.
+    """
+    n = p.shape[0]
+    if n <= dense_max:
+        hits = np.zeros((n + 1, n + 1))
+        hits[0, 0] = 1.0
+        for j in range(1, n + 1):
+            q = p[j - 1]
+            hits[:, j] = hits[:, j - 1] * (1.0 - q)
+            hits[1:, j] += hits[:-1, j - 1] * q
+        for k in range(n, -1, -1):
+            yield k, hits[: k + 1, k]
+        return
+    step = int(np.ceil(np.sqrt(n + 1)))
+    marks = {}
+    col = np.ones(1)
+    for j in range(n + 1):
+        if j % step == 0:
+            marks[j] = col
+        if j < n:
+            col = _step(col, p[j])
+    for start in sorted(marks, reverse=True):
+        block = [marks[start]]
+        for j in range(start, min(start + step - 1, n)):
+            block.append(_step(block[-1], p[j]))
+        for k in range(start + len(block) - 1, start - 1, -1):
+            yield k, block[k - start]
+
+
+def expected_f1(p: np.ndarray, p_none: float | None = None,
+                dense_max: int = DENSE_MAX_CANDIDATES) -> tuple[np.ndarray, np.ndarray]:
     """(E_with_none[k], E_without_none[k]) for k = 0..n; ``p`` sorted descending."""
     p = np.asarray(p, dtype=np.float64)
     n = p.shape[0]
     if p_none is None:
         p_none = float(np.prod(1.0 - p))
-    # hits[i, j] = P(exactly i hits among the first j items)
-    hits = np.zeros((n + 1, n + 1))
-    hits[0, 0] = 1.0
-    for j in range(1, n + 1):
-        q = p[j - 1]
-        hits[:, j] = hits[:, j - 1] * (1.0 - q)
-        hits[1:, j] += hits[:-1, j - 1] * q
     # inv[c] = E[1 / (c + R)], inv_none[c] = E[1 / (c + 1 + R)], R over the items after k
     c = np.arange(2 * n + 2, dtype=np.float64)
     inv = np.zeros_like(c)
@@ -55,9 +100,9 @@ def expected_f1(p: np.ndarray, p_none: float | None = None) -> tuple[np.ndarray,
     inv_none = 1.0 / (c + 1.0)
     with_none = np.zeros(n + 1)
     without = np.zeros(n + 1)
-    for k in range(n, -1, -1):
+    for k, hits_k in _prefix_hits_desc(p, dense_max):
         k1 = np.arange(k + 1)
-        w = 2.0 * k1 * hits[: k + 1, k]
+        w = 2.0 * k1 * hits_k
         without[k] = float(np.dot(w, inv[k + k1]))
         with_none[k] = float(np.dot(w, inv_none[k + k1])) + 2.0 * p_none / (k + 2.0)
         if k > 0:
@@ -107,20 +152,26 @@ def _per_user_stream(scored: DataFrame, solve, schema: str, prob: str, user: str
            .sortWithinPartitions("user_id", F.desc("p"), "item"))
 
     def run(batches):
-        carry = None
+        # rows of the user the previous batch ended with, one chunk per batch:
+        # a user spread over many batches is concatenated once, not per batch
+        pending = []
         for b in batches:
-            if carry is not None and len(carry):
-                b = pd.concat([carry, b], ignore_index=True)
             if b.empty:
                 continue
             u = b["user_id"].to_numpy()
-            cut = int(np.searchsorted(u, u[-1], side="left")) if u[0] != u[-1] else 0
             # users are sorted ascending within the partition: rows of the last user form the tail
-            done, carry = b.iloc[:cut], b.iloc[cut:]
-            if len(done):
-                yield _solve_users(done, solve)
-        if carry is not None and len(carry):
-            yield _solve_users(carry, solve)
+            cut = int(np.searchsorted(u, u[-1], side="left"))
+            if cut == 0:
+                if pending and pending[-1]["user_id"].iat[-1] != u[-1]:
+                    yield _solve_users(pd.concat(pending, ignore_index=True), solve)
+                    pending = []
+                pending.append(b)
+                continue
+            done = pd.concat([*pending, b.iloc[:cut]], ignore_index=True) if pending else b.iloc[:cut]
+            yield _solve_users(done, solve)
+            pending = [b.iloc[cut:]]
+        if pending:
+            yield _solve_users(pd.concat(pending, ignore_index=True), solve)
 
     return src.mapInPandas(run, schema)
 
@@ -153,16 +204,17 @@ def _curve_one(uid: int, p: np.ndarray, items: np.ndarray) -> pd.DataFrame:
                          "expected_f1": np.concatenate([with_none, without])})
 
 
-def select(scored: DataFrame, prob: str = "p", user: str = "user_id", item: str = "product_id") -> DataFrame:
+def select(scored: DataFrame, prob: str = "p", user: str = "user_id", item: str = "product_id",
+           partitions: int | None = None) -> DataFrame:
     """One row per user: best k, whether to add "None", its E[F1] and the chosen items
     (highest probability first, ties by item id)."""
-    return _per_user_stream(scored, _select_one, SELECT_SCHEMA, prob, user, item)
+    return _per_user_stream(scored, _select_one, SELECT_SCHEMA, prob, user, item, partitions)
 
 
 def expected_f1_curve(scored: DataFrame, prob: str = "p", user: str = "user_id",
-                      item: str = "product_id") -> DataFrame:
+                      item: str = "product_id", partitions: int | None = None) -> DataFrame:
     """Per user, one row per (k, with_none) with its expected F1."""
-    return _per_user_stream(scored, _curve_one, CURVE_SCHEMA, prob, user, item)
+    return _per_user_stream(scored, _curve_one, CURVE_SCHEMA, prob, user, item, partitions)
 
 
 def prob_none(scored: DataFrame, prob: str = "p", user: str = "user_id") -> DataFrame:

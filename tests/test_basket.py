@@ -44,6 +44,22 @@ def test_random_against_brute_force(ps):
     assert f1 == pytest.approx(both.max(), abs=1e-10)
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 8, 9, 10, 15, 16, 17, 50, 123])
+def test_checkpointed_prefixes_equal_dense_table(n):
+    # dense_max=0 forces the O(n sqrt n)-memory path; it must give the same floats
+    p = np.sort(np.random.default_rng(n).random(n))[::-1]
+    a, b = B.expected_f1(p)
+    c, d = B.expected_f1(p, dense_max=0)
+    assert np.array_equal(a, c) and np.array_equal(b, d)
+
+
+def test_checkpointed_path_against_brute_force():
+    p = np.array([0.95, 0.7, 0.7, 0.4, 0.2, 0.05, 0.0])
+    a, b = B.expected_f1(p, dense_max=0)
+    w, wo = brute(p)
+    assert np.allclose(a, w, atol=1e-12) and np.allclose(b, wo, atol=1e-12)
+
+
 def test_tie_prefers_none_then_small_k():
     # all-zero probabilities: predicting only "None" (k=0) is optimal with E[F1] = 1
     k, none, f1 = B.best_basket(np.zeros(3))
@@ -66,6 +82,28 @@ def test_spark_select_matches_local(spark):
     assert len(curve) == 2 * n1
 
 
+@pytest.mark.parametrize("batch", [1, 2, 3, 7])
+def test_spark_select_users_across_arrow_batches(spark, batch):
+    # tiny Arrow batches: users are cut by batch boundaries, some batches hold one user only
+    rng = np.random.default_rng(11)
+    sizes = {1: 1, 2: 9, 3: 2, 4: 15, 5: 1, 6: 4}
+    rows = [(u, u * 100 + i, float(rng.random())) for u, m in sizes.items() for i in range(m)]
+    df = spark.createDataFrame(rows, "user_id long, product_id long, p double")
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(batch))
+    try:
+        got = {r.user_id: r for r in B.select(df, partitions=2).collect()}
+    finally:
+        spark.conf.set(key, old)
+    assert sorted(got) == sorted(sizes)
+    for u, m in sizes.items():
+        items = sorted([(p, pid) for uu, pid, p in rows if uu == u], key=lambda t: (-t[0], t[1]))
+        k, none, f1 = B.best_basket(np.array([t[0] for t in items]))
+        assert (got[u].n_candidates, got[u].best_k, got[u].pred_none) == (m, k, none)
+        assert got[u].products == [t[1] for t in items[:k]]
+
+
 def test_prob_none_with_certain_item(spark):
     df = spark.createDataFrame([(1, 1, 1.0), (1, 2, 0.5), (2, 3, 0.5), (2, 4, 0.5)], "user_id long, product_id long, p double")
     got = {r.user_id: r.p_none for r in B.prob_none(df).collect()}
