@@ -45,17 +45,21 @@ def test_random_against_brute_force(ps):
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 8, 9, 10, 15, 16, 17, 50, 123])
-def test_checkpointed_prefixes_equal_dense_table(n):
-    # dense_max=0 forces the O(n sqrt n)-memory path; it must give the same floats
+def test_solver_tiers_agree(n):
     p = np.sort(np.random.default_rng(n).random(n))[::-1]
-    a, b = B.expected_f1(p)
-    c, d = B.expected_f1(p, dense_max=0)
-    assert np.array_equal(a, c) and np.array_equal(b, d)
+    vec = B.expected_f1(p, vector_max=n)  # all k at once
+    dense = B.expected_f1(p, vector_max=0, dense_max=n)  # one k at a time, (n+1)^2 prefix table
+    ckpt = B.expected_f1(p, vector_max=0, dense_max=0)  # O(n sqrt n)-memory prefixes
+    # the two one-k-at-a-time paths do the same floating-point operations
+    assert np.array_equal(dense[0], ckpt[0]) and np.array_equal(dense[1], ckpt[1])
+    # the vectorized sums differ only in summation order
+    assert np.allclose(vec[0], dense[0], rtol=0, atol=1e-14) and np.allclose(vec[1], dense[1], rtol=0, atol=1e-14)
 
 
-def test_checkpointed_path_against_brute_force():
+@pytest.mark.parametrize("tier", [dict(vector_max=0, dense_max=0), dict(vector_max=0), dict()])
+def test_each_tier_against_brute_force(tier):
     p = np.array([0.95, 0.7, 0.7, 0.4, 0.2, 0.05, 0.0])
-    a, b = B.expected_f1(p, dense_max=0)
+    a, b = B.expected_f1(p, **tier)
     w, wo = brute(p)
     assert np.allclose(a, w, atol=1e-12) and np.allclose(b, wo, atol=1e-12)
 
