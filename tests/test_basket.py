@@ -108,6 +108,29 @@ def test_spark_select_users_across_arrow_batches(spark, batch):
         assert got[u].products == [t[1] for t in items[:k]]
 
 
+def test_spark_select_large_user_over_many_batches(spark):
+    # 1500 candidates: checkpointed solver tier inside the Python worker, rows spread over 15+ batches
+    rng = np.random.default_rng(3)
+    sizes = {7: 3, 8: 1500, 9: 40}
+    rows = [(u, u * 10_000 + i, float(rng.random() ** 3)) for u, m in sizes.items() for i in range(m)]
+    df = spark.createDataFrame(rows, "user_id long, product_id long, p double")
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "100")
+    try:
+        got = {r.user_id: r for r in B.select(df, partitions=1).collect()}
+    finally:
+        spark.conf.set(key, old)
+    for u, m in sizes.items():
+        items = sorted([(p, pid) for uu, pid, p in rows if uu == u], key=lambda t: (-t[0], t[1]))
+        p = np.array([t[0] for t in items])
+        w, wo = B.expected_f1(p, vector_max=0, dense_max=m)  # dense reference
+        both = np.concatenate([w, wo])
+        assert got[u].n_candidates == m
+        assert got[u].max_f1 == pytest.approx(both.max(), abs=1e-12)
+        assert got[u].products == [t[1] for t in items[:got[u].best_k]]
+
+
 def test_prob_none_with_certain_item(spark):
     df = spark.createDataFrame([(1, 1, 1.0), (1, 2, 0.5), (2, 3, 0.5), (2, 4, 0.5)], "user_id long, product_id long, p double")
     got = {r.user_id: r.p_none for r in B.prob_none(df).collect()}
