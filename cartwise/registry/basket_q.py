@@ -137,9 +137,10 @@ def q_f_beta_from_counts(spark, sf_dir):
     """Previous-order baseline: predict the user's last prior basket for the train order."""
     b = basket(spark, sf_dir)
     t = b.orders.where(F.col("eval_set") == "train").select("user_id", F.col("order_id").alias("t_order"),
-                                                            "order_number")
-    prev = (t.join(b.orders.select("user_id", F.col("order_number").alias("prev_number"), "order_id"), "user_id")
-            .where(F.col("prev_number") == F.col("order_number") - 1).select("user_id", "order_id"))
+                                                            (F.col("order_number") - 1).alias("prev_number"))
+    # equi-join on (user, order number): a user with very many orders is spread over tasks
+    prev = (t.join(b.orders.select("user_id", F.col("order_number").alias("prev_number"), "order_id"),
+                   ["user_id", "prev_number"]).select("user_id", "order_id"))
     pred = prev.join(b.lines.select("order_id", "product_id"), "order_id").select("user_id", "product_id")
     truth = (t.join(b.lines.select(F.col("order_id").alias("t_order"), "product_id"), "t_order")
              .select("user_id", "product_id"))
