@@ -59,3 +59,25 @@ class Scratch:
         for name in names:
             path = jvm.org.apache.hadoop.fs.Path(f"{self.base}/{name}")
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def annotate(df: DataFrame, prefix: str, fields: str, make) -> DataFrame:
+    """``df`` with columns computed from its text, in one map without a shuffle.
+
+    ``make()`` runs once per task and returns a function from the text column
+    (Arrow) to one Arrow array per field. Added columns are named
+    ``prefix + field``; all columns of ``df`` pass through untouched.
+    """
+    import pyarrow as pa
+    from pyspark.sql.types import StructField, StructType
+
+    added = [StructField(prefix + f.name, f.dataType) for f in StructType.fromDDL(fields)]
+    at = [c.lower() for c in df.columns].index("text")
+
+    def run(batches):
+        work = make()
+        for batch in batches:
+            text = batch.column(at).cast(pa.large_string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, *work(text)], names=[*batch.schema.names, *(f.name for f in added)])
+
+    return df.mapInArrow(run, StructType([*df.schema.fields, *added]))

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from cartwise.llm import bpe, chat_format, url_filters
+from cartwise.llm import bpe, chat_format, decontamination, toxicity, url_filters
 
 QUERIES = {
+    "op2_toxicity": toxicity.query,
     "op3_byte_bpe": bpe.query,
+    "op4_decontamination": decontamination.query,
     "op7_chat_format": chat_format.query,
     "op10_url_filters": url_filters.query,
 }
 
 ORACLE = {
+    "op4_decontamination": decontamination.ORACLE,
     "op10_url_filters": url_filters.oracle(),
 }
