@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from cartwise.llm import bpe, chat_format, decontamination, toxicity, url_filters
+from cartwise.llm import bpe, chat_format, decontamination, substring_dedup, toxicity, url_filters
 
 QUERIES = {
     "op2_toxicity": toxicity.query,
     "op3_byte_bpe": bpe.query,
     "op4_decontamination": decontamination.query,
     "op7_chat_format": chat_format.query,
+    "op9_substring_dedup": substring_dedup.query,
     "op10_url_filters": url_filters.query,
 }
 
