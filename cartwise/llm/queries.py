@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from cartwise.llm import bpe, chat_format, decontamination, substring_dedup, toxicity, url_filters
+from cartwise.llm import bpe, chat_format, decontamination, ngram_join, substring_dedup, toxicity, url_filters
 
 QUERIES = {
+    "op1_ngram_join": ngram_join.query,
     "op2_toxicity": toxicity.query,
     "op3_byte_bpe": bpe.query,
     "op4_decontamination": decontamination.query,
