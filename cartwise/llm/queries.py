@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from cartwise.llm import bpe, chat_format, decontamination, ngram_join, substring_dedup, toxicity, url_filters
+from cartwise.llm import bpe, chat_format, decontamination, ngram_join, quality_rules, substring_dedup, toxicity, url_filters
 
 QUERIES = {
     "op1_ngram_join": ngram_join.query,
     "op2_toxicity": toxicity.query,
     "op3_byte_bpe": bpe.query,
     "op4_decontamination": decontamination.query,
+    "op5_quality_rules": quality_rules.query,
     "op7_chat_format": chat_format.query,
     "op9_substring_dedup": substring_dedup.query,
     "op10_url_filters": url_filters.query,
