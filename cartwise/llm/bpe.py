@@ -18,6 +18,7 @@ import hashlib
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 import sentencepiece
@@ -143,11 +144,12 @@ def encode_documents(docs: DataFrame, rank_path: str, pattern: str, keep_ids: bo
                 ids_hash.append(hashlib.sha256(ids).hexdigest())
                 text_hash.append(hashlib.sha256(codec.decode(ids)).hexdigest())
                 if keep_ids:
-                    kept.append(memoryview(ids).cast("i").tolist())
+                    kept.append(ids)
             columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if keep_ids:
-                columns.append(pa.array(kept, pa.list_(pa.int32())))
+                borders = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
+                columns.append(pa.LargeListArray.from_arrays(borders, pa.array(np.frombuffer(b"".join(kept), np.int32))).cast(pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 

@@ -73,6 +73,8 @@ def annotate(df: DataFrame, prefix: str, fields: str, make) -> DataFrame:
 
     added = [StructField(prefix + f.name, f.dataType) for f in StructType.fromDDL(fields)]
     at = [c.lower() for c in df.columns].index("text")
+    names = [*df.columns, *(f.name for f in added)]
+    plain = df.toDF(*(f"c{i}" for i in range(len(df.columns))))  # names with dots cannot be addressed
 
     def run(batches):
         work = make()
@@ -80,4 +82,4 @@ def annotate(df: DataFrame, prefix: str, fields: str, make) -> DataFrame:
             text = batch.column(at).cast(pa.large_string())
             yield pa.RecordBatch.from_arrays([*batch.columns, *work(text)], names=[*batch.schema.names, *(f.name for f in added)])
 
-    return df.mapInArrow(run, StructType([*df.schema.fields, *added]))
+    return plain.mapInArrow(run, StructType([*plain.schema.fields, *added])).toDF(*names)

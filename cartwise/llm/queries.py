@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cartwise.llm import bpe, chat_format, decontamination, ngram_join, quality_rules, substring_dedup, toxicity, url_filters
+from cartwise.llm import bpe, chat_format, decontamination, ngram_join, quality_classifier, quality_rules, sharding, substring_dedup, toxicity, url_filters
 
 QUERIES = {
     "op1_ngram_join": ngram_join.query,
@@ -10,7 +10,9 @@ QUERIES = {
     "op3_byte_bpe": bpe.query,
     "op4_decontamination": decontamination.query,
     "op5_quality_rules": quality_rules.query,
+    "op6_quality_classifier": quality_classifier.query,
     "op7_chat_format": chat_format.query,
+    "op8_sharding": sharding.query,
     "op9_substring_dedup": substring_dedup.query,
     "op10_url_filters": url_filters.query,
 }

@@ -117,6 +117,7 @@ def deduplicate(docs: DataFrame, units: str = "sentence", min_words: int = MIN_W
     """All columns of ``docs`` with the text cut, and ``PREFIX`` columns: removed (start, end) spans and unit count."""
     seen = seen_earlier(docs, units)
     joined = docs.join(seen, F.col("doc_id").cast("long") == F.col(PREFIX + "key"), "left").drop(PREFIX + "key")
+    plain = joined.toDF(*(f"c{i}" for i in range(len(joined.columns))))  # names with dots cannot be addressed
     added = StructType.fromDDL(f"{PREFIX}removed array<struct<start: int, end: int>>, {PREFIX}n_units int")
     at = [c.lower() for c in docs.columns].index("text")
     seen_at = len(docs.columns)
@@ -144,7 +145,7 @@ def deduplicate(docs: DataFrame, units: str = "sentence", min_words: int = MIN_W
             yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, spans_type), pa.array(counts, pa.int32())],
                                              names=[*batch.schema.names[:seen_at], *added.names])
 
-    return joined.mapInArrow(run, StructType([*docs.schema.fields, *added.fields]))
+    return plain.mapInArrow(run, StructType([*plain.schema.fields[:seen_at], *added.fields])).toDF(*docs.columns, *added.names)
 
 
 def clean_documents(docs: DataFrame) -> DataFrame:
