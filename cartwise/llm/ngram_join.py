@@ -10,9 +10,10 @@ passages come last. A set is listed under its first ``n - ceil(0.8 n) + 1``
 shingles; linked sets share one of them. A list is skipped by block: entries
 whose sizes or positions rule a link out never meet.
 
-Set relations. In each list the first class leads (one per range of sizes that
-can link). Every class is compared with the leader that it shares most lists
-with, and overlap and answer are kept. Later work is derived from those answers:
+Set relations. Each list has a leader: first the class most of whose shingles are
+shared (the set that near copies come from), then one by chance. Every class is
+compared with the leader that it has most in common with, and overlap and answer
+are kept. Later work is derived from those answers:
 
 * classes linked with one leader are connected: a list all of whose entries
   are connected is skipped whole, and pairs inside a component are not met;
@@ -20,8 +21,9 @@ with, and overlap and answer are kept. Later work is derived from those answers:
   ``o(x,R) + o(y,R) - |R|`` and ``min(o(x,R) + |y| - o(y,R), o(y,R) + |x| - o(x,R))``:
   the upper bound skips a pair, the lower bound links it without reading it.
 
-All other pairs of a list are compared on their texts, so no link between
-components is lost and no cap applies. Result rows carry the component's
+All other pairs of a list that may link are compared on their texts (each class's
+closest first, then those still between components), so no link between components
+is lost and no cap applies. Result rows carry the component's
 smallest doc_id; groups of copies are never expanded into pairs.
 
 Defined results: null, empty or word-free texts have empty sets and link with
@@ -32,7 +34,9 @@ component is null.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
@@ -48,13 +52,15 @@ ship(__name__)
 
 SHINGLE = 5
 #: Shingles kept at the end of the order, at most, and how many documents (of one task, of all) make one.
-MOST_HOT = 1 << 17
-HOT_IN_TASK = 4
+MOST_HOT = 1 << 18
+HOT_IN_TASK = 2
 HOT_IN_ALL = 16
 #: Shingles that a task counts at once.
 COUNT_BLOCK = 4 << 20
 #: Classes that a task remembers to list copies once.
 CLASS_MEMORY = 1 << 18
+#: Rounds of comparing every class with one leader, before lists are gone through pair by pair.
+LEADS = 2
 #: Rows up to which the list of wanted documents is broadcast; beyond, it is joined by a shuffle.
 BROADCAST_ROWS = 1 << 20
 
@@ -91,14 +97,18 @@ def hot_shingles(docs: DataFrame, most: int = MOST_HOT, in_task: int = HOT_IN_TA
             often = times >= in_task
             return pa.RecordBatch.from_arrays([pa.array(values[heads[often]].view(np.int64)), pa.array(times[often])], names=["token", "times"])
 
-        held, size = [], 0
+        held, size, known = [], 0, set()
         for batch in batches:
             for own in row_sets(batch.column("text")):
+                if len(own) == 0 or (cls := class_of(own)) in known:
+                    continue  # copies never meet: only different sets make a shingle frequent
+                known.add(cls)
                 held.append(own)
                 size += len(own)
                 if size >= COUNT_BLOCK:
                     yield flush(held)
                     held, size = [], 0
+                    known.clear()
         if size:
             yield flush(held)
 
@@ -161,69 +171,59 @@ def describe(docs: DataFrame, hot: np.ndarray) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n int, cls long, tokens array<long>")
 
 
-LISTED = "token long, cls long, n int, pos int, leader long, leader_n int, leader_pos int"
+LISTED = "token long, cls long, n int, pos int"
 
 
-def lead_lists(entries: DataFrame) -> DataFrame:
-    """Entries of lists with two or more classes, each with its leader in the list.
+def shared_lists(entries: DataFrame) -> DataFrame:
+    """The entries of lists with two or more classes, each class once.
 
-    Rows arrive sorted by (token, cls). A list is streamed: only its leaders,
-    one per range of sizes that can link, are kept.
+    Rows arrive sorted by (token, cls), so a list is streamed and only its
+    first entry is ever held back.
     """
+    names = [c.split()[0] for c in LISTED.split(", ")]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token_now, leaders, first, last_cls = None, [], None, None
+        last, pending = (None, None), None
         for batch in batches:
-            cols = [batch.column(c).to_numpy() for c in ("token", "cls", "n", "pos")]
-            token, cls, n, pos = cols
-            if len(token) == 0:
+            cols = [batch.column(c).to_numpy() for c in names]
+            if len(cols[0]) == 0:
                 continue
-            fresh = np.r_[True, (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])]
-            fresh[0] = not (token[0] == token_now and cls[0] == last_cls)
-            token, cls, n, pos = (c[fresh] for c in cols)
-            if len(token) == 0:
+            token, cls = cols[0], cols[1]
+            fresh = np.r_[(token[0], cls[0]) != last, (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])]
+            cols = [c[fresh] for c in cols]
+            if len(cols[0]) == 0:
                 continue
+            token = cols[0]
             heads = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
-            ends = np.r_[heads[1:], len(token)]
-            # lists of one entry that end inside the batch need no further look
-            many = np.flatnonzero((ends - heads > 1) | (heads == 0) | (ends == len(token)))
-            out = []
-            for a, b in zip(heads[many].tolist(), ends[many].tolist(), strict=True):
-                if token[a] != token_now:
-                    token_now, leaders, first = token[a], [], None
-                for i in range(a, b):
-                    size, at = int(n[i]), int(pos[i])
-                    lead = next((x for x in leaders if 5 * min(x[1], size) >= 4 * max(x[1], size)), None)
-                    if lead is None:
-                        lead = (int(cls[i]), size, at)
-                        leaders.append(lead)
-                    row = (int(token[i]), int(cls[i]), size, at, *lead)
-                    if len(leaders) == 1 and lead[0] == row[1] and first is None:
-                        first = row
-                        continue
-                    if first:
-                        out.append(first)
-                        first = ()
-                    out.append(row)
-            last_cls = cls[-1]
-            if token[-1] != token_now:
-                token_now, leaders, first = token[-1], [], None
-            if out:
-                types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32())
-                names = [c.split()[0] for c in LISTED.split(", ")]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
+            many = np.diff(np.r_[heads, len(token)]) > 1
+            goes_on = token[0] == last[0]
+            many[0] |= goes_on
+            out = [c[np.repeat(many, np.diff(np.r_[heads, len(token)]))] for c in cols]
+            if goes_on and pending is not None:
+                out = [np.r_[p, c] for p, c in zip(pending, out, strict=True)]
+            pending = None if many[-1] else [c[-1:] for c in cols]
+            last = (token[-1], cols[1][-1])
+            if len(out[0]):
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], names=names)
 
     parts = shuffle_parts(entries.sparkSession)
     return entries.repartition(parts, "token").sortWithinPartitions("token", "cls").mapInArrow(run, LISTED)
 
 
-def compare(pairs: DataFrame, members: DataFrame, docs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """(a, b, overlap, a_n, b_n) of class pairs, from the texts of one document of each class."""
-    wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
-    ids = scratch.write(members.join(wanted, "cls").groupBy("cls").agg(F.min("doc_id").alias("doc_id")), f"{name}-ids")
+def texts_of(classes: DataFrame, members: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(cls, text): the text of one document of each class, written once for all comparisons."""
+    ids = scratch.write(members.join(classes, "cls").groupBy("cls").agg(F.min("doc_id").alias("doc_id")), "ids")
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
     # rows that share a doc_id may be of other classes: those are told apart by their class when compared
-    texts = scratch.write(docs.join(ids, "doc_id").select("cls", "text"), f"{name}-texts")
-    sides = (pairs.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("a_text")), "a")
+    return scratch.write(docs.join(ids, "doc_id").select("cls", "text"), "texts")
+
+
+COMPARED = "a long, b long, overlap int, a_n int, b_n int"
+
+
+def compare(pairs: DataFrame, texts: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """(a, b, overlap, a_n, b_n) of class pairs, from their texts."""
+    sides = (pairs.select("a", "b").join(texts.select(F.col("cls").alias("a"), F.col("text").alias("a_text")), "a")
              .join(texts.select(F.col("cls").alias("b"), F.col("text").alias("b_text")), "b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,19 +233,17 @@ def compare(pairs: DataFrame, members: DataFrame, docs: DataFrame, scratch: Scra
             lefts = row_sets(batch.column("a_text"))
             for a, b, left, text in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), lefts, batch.column("b_text"), strict=True):
                 if b != held:
-                    held, held_set = b, next(row_sets(pa.array([text.as_py()], pa.large_string())))
-                    held_ok = class_of(held_set) == b
-                if held_ok and class_of(left) == a:
+                    right = next(row_sets(pa.array([text.as_py()], pa.large_string())))
+                    if class_of(right) != b:
+                        continue
+                    held, held_set = b, right
+                if class_of(left) == a:
                     out.append((a, b, len(np.intersect1d(left, held_set, assume_unique=True)), len(left), len(held_set)))
-                elif not held_ok:
-                    held = None
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), *[pa.int32()] * 3), strict=True)],
                                                  names=["a", "b", "overlap", "a_n", "b_n"])
 
-    compared = scratch.write(sides.mapInArrow(run, "a long, b long, overlap int, a_n int, b_n int"), f"{name}-compared")
-    scratch.drop(f"{name}-texts")
-    return compared
+    return scratch.write(sides.mapInArrow(run, COMPARED), name)
 
 
 def linked(overlap, sizes):
@@ -253,8 +251,13 @@ def linked(overlap, sizes):
 
 
 def may_link(common, a_n, a_pos, b_n, b_pos):
-    """Whether sets can link that share ``common`` prefix shingles, the last at these positions."""
-    return linked(common + F.least(a_n - a_pos, b_n - b_pos) - 1, a_n + b_n)
+    """Whether sets can link that share ``common`` prefix shingles, the last at these positions.
+
+    Up to the end of the prefix that ends first, ``common`` is all they share.
+    """
+    after = lambda n: n + F.floor(-n / 5) - 1  # what a prefix leaves over
+    rest = F.least(F.least(a_n - a_pos, b_n - b_pos) - 1, F.greatest(after(a_n), after(b_n)))
+    return linked(common + rest, a_n + b_n)
 
 
 def cross_pairs(rows: DataFrame) -> DataFrame:
@@ -278,7 +281,7 @@ def cross_pairs(rows: DataFrame) -> DataFrame:
             left = np.repeat(i, counts)
             right = np.arange(len(left)) - np.repeat(np.cumsum(counts) - counts, counts) + left + 1
             need = needed_overlap(n[left] + n[right])
-            ok = (comp[left] != comp[right]) & (1 + np.minimum(n[left] - pos[left], n[right] - pos[right]) - 1 >= 1)
+            ok = (comp[left] != comp[right]) & (np.minimum(pos[left], pos[right]) + np.minimum(n[left] - pos[left], n[right] - pos[right]) >= need)
             most = np.minimum(n[left], n[right])
             same = (leader[left] == leader[right]) & (over[left] >= 0) & (over[right] >= 0)
             bound = np.minimum(over[left] + n[right] - over[right], over[right] + n[left] - over[left])
@@ -313,49 +316,88 @@ def cross_pairs(rows: DataFrame) -> DataFrame:
     return rows.repartition(parts, "token").sortWithinPartitions("token", "n", "pos", "cls").mapInArrow(run, schema)
 
 
+def candidates(met: DataFrame) -> DataFrame:
+    """(a, b, a_n, b_n, common) of pairs that met in lists and may link; ``met`` has a row for each list."""
+    pairs = met.groupBy("a", "b", "a_n", "b_n").agg(F.count("*").cast("int").alias("common"), F.max("a_pos").alias("a_pos"),
+                                                    F.max("b_pos").alias("b_pos"))
+    return pairs.where(may_link(*(F.col(c) for c in ("common", "a_n", "a_pos", "b_n", "b_pos")))).select("a", "b", "a_n", "b_n", "common")
+
+
+def closest(pairs: DataFrame) -> DataFrame:
+    """Each class's pair with the largest common share."""
+    share = F.col("common") / (F.col("a_n") + F.col("b_n"))
+    return pairs.groupBy("a").agg(F.max_by("b", share).alias("b"))
+
+
+def with_leaders(rows: DataFrame) -> DataFrame:
+    """(a, b, ...) rows of entries and their list's leader (largest score in a band of sizes) in another component."""
+    rows = rows.withColumn("band", F.floor(F.log("n") / math.log(1.25)))
+    chosen = rows.groupBy("token", "band").agg(*(F.max_by(c, "score").alias(k) for c, k in
+                                                 (("cls", "b"), ("n", "b_n"), ("pos", "b_pos"), ("comp", "b_comp"))))
+    return rows.join(chosen, ["token", "band"]).where("comp <> b_comp").select(
+        F.col("cls").alias("a"), "b", F.col("n").alias("a_n"), "b_n", F.col("pos").alias("a_pos"), "b_pos")
+
+
 def links(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Members (doc_id, n, cls), and edges (u, v) between classes that connect what the join links."""
+    """Members (doc_id, n, cls), and (cls, comp): the component of every class that has a link."""
     described = scratch.write(describe(docs, hot_shingles(docs)), "described")
     members = described.select("doc_id", "n", "cls")
     entries = described.where("tokens IS NOT NULL").select("cls", "n", F.posexplode("tokens").alias("pos", "token")).select("token", "cls", "n", "pos")
-    listed = scratch.write(lead_lists(entries), "listed")
-
-    # one comparison per class: with the leader that it shares most lists with
-    met = (listed.where("cls <> leader").groupBy("cls", "leader", "n", "leader_n")
-           .agg(F.count("*").cast("int").alias("common"), F.max("pos").alias("pos"), F.max("leader_pos").alias("leader_pos")))
-    met = met.where(may_link(F.col("common"), F.col("n"), F.col("pos"), F.col("leader_n"), F.col("leader_pos")))
-    best = met.groupBy("cls").agg(F.max_by("leader", "common").alias("leader"))
-    led = compare(best.select(F.col("cls").alias("a"), F.col("leader").alias("b")), members, docs, scratch, "led")
-    own = led.select(F.col("a").alias("cls"), F.col("b").alias("leader"), "overlap", F.col("b_n").alias("leader_n"),
-                     linked(F.col("overlap"), F.col("a_n") + F.col("b_n")).alias("linked"))
-    step = own.where("linked").select("cls", "leader")
-    twice = step.select(F.col("cls").alias("leader"), F.col("leader").alias("top"))
-    answers = scratch.write(own.join(twice, "leader", "left").select("cls", "leader", "overlap", "leader_n", F.when(
-        F.col("linked"), F.coalesce("top", "leader")).otherwise(F.col("cls")).alias("comp")), "answers")
-
-    # lists that still hold several components
-    known = listed.select("token", "cls", "n", "pos").join(answers, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    mixed = known.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("token")
-    open_pairs = cross_pairs(known.join(mixed, "token", "left_semi"))
-    pairs = open_pairs.groupBy("a", "b", "a_n", "b_n").agg(F.count("*").cast("int").alias("common"), F.max("a_pos").alias("a_pos"),
-                                                           F.max("b_pos").alias("b_pos"), F.max("sure").alias("sure"))
-    left = scratch.write(pairs.where(F.col("sure") | may_link(F.col("common"), F.col("a_n"), F.col("a_pos"), F.col("b_n"), F.col("b_pos")))
-                         .select("a", "b", "sure"), "open")
-    crossed = compare(left.where("NOT sure").select("a", "b"), members, docs, scratch, "crossed")
-    edges = (step.select(F.col("cls").alias("u"), F.col("leader").alias("v"))
-             .unionByName(left.where("sure").select(F.col("a").alias("u"), F.col("b").alias("v")))
-             .unionByName(crossed.where(linked(F.col("overlap"), F.col("a_n") + F.col("b_n"))).select(F.col("a").alias("u"), F.col("b").alias("v"))))
-    return members, edges
+    listed = scratch.write(shared_lists(entries), "listed")
+    # a set that holds what its near copies share has most of its prefix listed: it leads first
+    score = F.floor(1000 * F.count("*") / F.max(F.floor(F.col("n") / 5) + 1)) * (1 << 40) + F.pmod(F.xxhash64("cls"), F.lit(1 << 40))
+    central = scratch.write(listed.groupBy("cls").agg(score.cast("long").alias("central")), "central")
+    texts = texts_of(central.select("cls"), members, docs, scratch)
+
+    def placed(comps: DataFrame | None) -> DataFrame:
+        """Listed entries with the component so far (a class's own digest where it has no link)."""
+        if comps is None:
+            return listed.withColumn("comp", F.col("cls"))
+        return listed.join(comps, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+
+    def grown(tables: list[DataFrame], name: str) -> DataFrame:
+        edges = reduce(DataFrame.unionByName, (t.where(linked(F.col("overlap"), F.col("a_n") + F.col("b_n"))).select(
+            F.col("a").alias("u"), F.col("b").alias("v")) for t in tables))
+        return components(edges, scratch, name).select(F.col("u").alias("cls"), F.col("v").alias("comp"))
+
+    answers, comps = [], None
+    for turn in range(LEADS):
+        rows = placed(comps)
+        rows = rows.join(central, "cls").withColumnRenamed("central", "score") if turn == 0 else rows.withColumn("score", F.xxhash64("cls", F.lit(turn)))
+        answers.append(compare(closest(candidates(with_leaders(rows))), texts, scratch, f"led-{turn}"))
+        comps = grown(answers, f"lead-comps-{turn}")
+
+    # lists that still hold several components; each class with its best answer so far
+    best = reduce(DataFrame.unionByName, answers).groupBy(F.col("a").alias("cls")).agg(
+        F.max_by("b", "overlap").alias("leader"), F.max("overlap").alias("overlap"), F.max_by("b_n", "overlap").alias("leader_n"))
+    rows = placed(comps)
+    mixed = rows.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("token")
+    met = cross_pairs(rows.join(mixed, "token", "left_semi").join(best, "cls", "left"))
+    found = met.groupBy("a", "b", "a_n", "b_n").agg(F.count("*").cast("int").alias("common"), F.max("a_pos").alias("a_pos"),
+                                                    F.max("b_pos").alias("b_pos"), F.max("sure").alias("sure"))
+    may = may_link(*(F.col(c) for c in ("common", "a_n", "a_pos", "b_n", "b_pos")))
+    left = scratch.write(found.where(F.col("sure") | may).select("a", "b", "a_n", "b_n", "common", "sure"), "open")
+    # a sure pair is as good as compared
+    answers.append(left.where("sure").select("a", "b", F.least("a_n", "b_n").alias("overlap"), F.least("a_n", "b_n").alias("a_n"), F.least("a_n", "b_n").alias("b_n")))
+    answers.append(compare(closest(left.where("NOT sure")), texts, scratch, "closest"))
+    comps = grown(answers, "closest-comps")
+    done = answers[-1].select("a", "b")
+    sides = (left.where("NOT sure").join(done, ["a", "b"], "left_anti")
+             .join(comps.select(F.col("cls").alias("a"), F.col("comp").alias("a_comp")), "a", "left")
+             .join(comps.select(F.col("cls").alias("b"), F.col("comp").alias("b_comp")), "b", "left"))
+    rest = sides.where(F.coalesce("a_comp", "a") != F.coalesce("b_comp", "b"))
+    answers.append(compare(rest, texts, scratch, "rest"))
+    comps = grown(answers, "comps")
+    scratch.drop("listed", "texts", "open")
+    return members, comps
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     docs = id_text(docs)
     scratch = Scratch(docs.sparkSession, "ngram-join")
-    members, edges = links(docs, scratch)
-    tops = components(edges, scratch).select(F.col("u").alias("cls"), F.col("v").alias("top"))
-    scratch.drop("listed", "open")
-    named = members.join(tops, "cls", "left").withColumn("top", F.coalesce("top", "cls"))
+    members, comps = links(docs, scratch)
+    named = members.join(comps, "cls", "left").withColumn("top", F.coalesce("comp", "cls"))
     least = named.where("top IS NOT NULL").groupBy("top").agg(F.min("doc_id").alias("least"))
     return named.join(least, "top", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
 
