@@ -255,7 +255,7 @@ def may_link(common, a_n, a_pos, b_n, b_pos):
 
     Up to the end of the prefix that ends first, ``common`` is all they share.
     """
-    after = lambda n: n + F.floor(-n / 5) - 1  # what a prefix leaves over
+    after = lambda n: n - F.floor(n / 5) - 1  # what a prefix leaves over
     rest = F.least(F.least(a_n - a_pos, b_n - b_pos) - 1, F.greatest(after(a_n), after(b_n)))
     return linked(common + rest, a_n + b_n)
 
