@@ -156,12 +156,6 @@ def best_basket(p: np.ndarray, p_none: float | None = None) -> tuple[int, bool,
     return (ix if ix < n1 else ix - n1), ix < n1, float(both[ix])
 
 
-def f_beta(tp, fp, fn, beta: float = 1.0):
-    """F-beta from counts (works on numbers and on Spark columns)."""
-    b2 = beta * beta
-    return (1.0 + b2) * tp / ((1.0 + b2) * tp + fp + b2 * fn)
-
-
 # ---------------------------------------------------------------- Spark jobs
 SELECT_SCHEMA = "user_id long, best_k int, pred_none boolean, max_f1 double, n_candidates int, products array<long>"
 CURVE_SCHEMA = "user_id long, k int, with_none boolean, expected_f1 double"

@@ -3,9 +3,7 @@
 Physical strategy is left to Spark: with AQE on, a side whose *measured*
 shuffle output is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``
 is broadcast at run time; otherwise the join stays a sort-merge join, and a
-skewed key is split by the AQE skew-join rule. Explicit ``broadcast()`` is
-only used for sides whose size is bounded by a key domain (see
-``plans.time``).
+skewed key is split by the AQE skew-join rule. There are no broadcast hints.
 """
 
 from __future__ import annotations
@@ -59,23 +57,9 @@ def composite_key(left: DataFrame, right: DataFrame, keys=("user_id", "product_i
 
 
 def calendar_counts(orders: DataFrame) -> DataFrame:
-    """Orders ⟕ per-dow totals ⟕ per-hour totals (both sides ≤ 24 rows: broadcast)."""
+    """Orders ⟕ per-dow totals ⟕ per-hour totals; AQE broadcasts the small sides by their measured size."""
     dow = orders.groupBy("order_dow").agg(F.count("order_id").alias("total_ord_count_p_dow"))
     hour = orders.groupBy("order_hour_of_day").agg(F.count("order_id").alias("total_ord_count_p_ohod"))
     return (orders.select("user_id", "order_id", "order_dow", "order_hour_of_day")
-            .join(F.broadcast(dow), "order_dow", "left")
-            .join(F.broadcast(hour), "order_hour_of_day", "left"))
-
-
-# Row bound under which a keyed feature side is broadcast (~200 bytes per row
-# for a 20-30 column double frame: 200k rows stay well under 64 MB).
-BROADCAST_MAX_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only after counting the side; above the bound the join stays a shuffle join.
-
-    Call on a materialised (checkpointed / cached) frame so the count does
-    not recompute its plan.
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
+            .join(dow, "order_dow", "left")
+            .join(hour, "order_hour_of_day", "left"))

@@ -2,9 +2,8 @@
 
 A window ``partitionBy(group).orderBy(x)`` sends each group to one task. If
 one group holds a large share of all rows, that task does the whole job.
-Here groups above ``max_rows`` rows are cut into segments by value ranges
-of a numeric ordering column (equal-width ranges, ``ceil(n / max_rows)`` of
-them); windows run per (group, segment), all sharing one shuffle, and the
+Here groups above ``max_rows`` rows are cut into segments at quantiles of a
+numeric ordering column (``SEGMENTS`` at most); windows run per (group, segment), all sharing one shuffle, and the
 results are stitched across segments with a per-segment table that only
 exists for hot groups:
 
@@ -13,47 +12,57 @@ exists for hot groups:
   previous non-empty segment
 * group size  = from the group-size aggregate
 
-Rows with equal ordering values always share a segment. The hot-group and
-per-segment tables have at most ``rows / max_rows`` groups and
-``2 · rows / max_rows`` segments, so broadcasting them is bounded. Groups at
-or below ``max_rows`` get segment 0 and no correction.
+Rows with equal ordering values always share a segment. Groups at or below
+``max_rows`` get segment 0 and no correction. The hot-group and per-segment
+tables are joined without broadcast hints (their size grows with the rows).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Groups above this many rows are split. The hot-group table then has at most
-# rows / HOT_GROUP_ROWS entries (10^12 rows → 10^6 entries, ~40 MB): safe to broadcast.
+# Groups above this many rows are split.
 HOT_GROUP_ROWS = 1_000_000
+# Segments that a hot group is cut into (fewer where its ordering values repeat).
+SEGMENTS = 256
 
 
-def segment(df: DataFrame, keys: list[str], split_col: str, max_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def segment(df: DataFrame, keys: list[str], split_col: str, max_rows: int = HOT_GROUP_ROWS,
+            largest: int | None = None) -> DataFrame:
     """Add ``_seg`` (segment of the row inside its group) and ``_hot`` (group was split).
 
-    A row count, then (only if the table could hold a hot group) one
-    aggregate job finds the hot groups first. Without any, the columns
-    are literals (segment 0, not hot): Catalyst then prunes every correction
-    branch and the plan is the plain window.
+    ``largest`` is a known bound on any group's rows; without it the rows of
+    ``df`` are counted, so ``df`` should be a read table (a footer-only count)
+    and not a plan that has yet to run. If no group can be hot the columns
+    are literals (segment 0, not hot): Catalyst prunes every correction branch
+    and the plan is the plain window. Otherwise hot groups (null keys too) are
+    cut at ``SEGMENTS`` quantiles of their ordering column, so that
+    clumped values do not share a segment; equal values still do.
     """
     plain = {"_seg": F.lit(0).cast("long"), "_hot": F.lit(False), "_gsize": F.lit(None).cast("long")}
-    if df.count() <= max_rows:  # no group can be hot (a footer-only count on written tables)
+    if (df.count() if largest is None else largest) <= max_rows:
         return df.withColumns(plain)
     x = F.col(split_col).cast("double")
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(x).alias("_lo"), F.max(x).alias("_hi"))
-    hot = sizes.where(F.col("_n") > max_rows).withColumn(
-        "_parts", F.ceil(F.col("_n") / F.lit(float(max_rows))).cast("long"))
-    if hot.isEmpty():
-        return df.withColumns(plain)
-    j = df.join(F.broadcast(hot), keys, "left")
-    width = (F.col("_hi") - F.col("_lo")) / F.col("_parts")
-    raw = F.floor((x - F.col("_lo")) / width)
-    seg = (F.when(F.col("_parts").isNull() | (F.col("_hi") == F.col("_lo")), F.lit(0))
-           .when(raw >= F.col("_parts"), F.col("_parts") - 1)
-           .otherwise(raw)).cast("long")
-    return (j.withColumn("_seg", seg).withColumn("_hot", F.col("_parts").isNotNull())
-            .withColumn("_gsize", F.col("_n")).drop("_n", "_lo", "_hi", "_parts"))
+    # mergeable quantiles: a hot group is summed up in every task, never gathered in one
+    cuts = F.array_distinct(F.percentile_approx(x, [i / SEGMENTS for i in range(SEGMENTS)], 40 * SEGMENTS))
+    bounds = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), cuts.alias("_cuts")).where(F.col("_n") > max_rows)
+              .withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(keys)}))
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)))
+    j = df.join(bounds, same, "left")
+    seg = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(
+        F.greatest(F.lit(0), F.size(F.filter("_cuts", lambda c: c <= x)) - 1)).cast("long")
+    return (j.withColumn("_seg", seg).withColumn("_hot", F.col("_cuts").isNotNull())
+            .withColumn("_gsize", F.col("_n")).drop("_n", "_cuts", *(f"_k{i}" for i in range(len(keys)))))
+
+
+def _null_safe_left(df: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join in which null keys match; the keys stay those of ``df``."""
+    renamed = side.withColumnsRenamed({k: f"_j_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_j_{k}")) for k in keys))
+    return df.join(renamed, same, "left").drop(*(f"_j_{k}" for k in keys))
 
 
 def _w(keys, extra, order):
@@ -67,7 +76,7 @@ def row_number(sdf: DataFrame, keys: list[str], order: list[str], name: str,
     seg_counts = (sdf.where("_hot").groupBy(*keys, *extra, "_seg").agg(F.count(F.lit(1)).alias("_c")))
     before = Window.partitionBy(*keys, *extra).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
     offs = seg_counts.select(*keys, *extra, "_seg", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
-    out = local.join(F.broadcast(offs), [*keys, *extra, "_seg"], "left")
+    out = _null_safe_left(local, offs, [*keys, *extra, "_seg"])
     return out.withColumn(name, (F.col("_lrn") + F.coalesce(F.col("_off"), F.lit(0))).cast("int")) \
         .drop("_lrn", "_off")
 
@@ -88,7 +97,7 @@ def lead_lag(sdf: DataFrame, keys: list[str], order: list[str], value: str, name
         nb = seg_edges.select(*keys, "_seg", F.lead("_first").over(sw).alias("_nb"))
     else:
         nb = seg_edges.select(*keys, "_seg", F.lag("_last").over(sw).alias("_nb"))
-    out = out.join(F.broadcast(nb), [*keys, "_seg"], "left")
+    out = _null_safe_left(out, nb, [*keys, "_seg"])
     return out.withColumn(name, F.when(F.col("_ll").isNotNull(), F.col("_ll")).otherwise(F.col("_nb"))) \
         .drop("_ll", "_nb")
 

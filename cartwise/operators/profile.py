@@ -190,19 +190,22 @@ def cell_counts(df: DataFrame, row: str, col: str) -> DataFrame:
 def chi_square(df: DataFrame, row: str, col: str) -> DataFrame:
     """Chi-square test of independence of two categorical columns.
 
+    Rows with a null in either column are left out.
+
     Expected counts need the row and column marginals; both are small keyed
     aggregates (one row per category) joined back to the cell counts. Cells
     never observed still contribute their expected count, so the cell grid is
     the product of the observed categories, built from the two marginals.
     """
-    cells = df.groupBy(row, col).agg(F.count(F.lit(1)).alias("o"))
-    rows = cells.groupBy(row).agg(F.sum("o").alias("r"))
-    cols = cells.groupBy(col).agg(F.sum("o").alias("c"))
+    cells = df.where(F.col(row).isNotNull() & F.col(col).isNotNull()).groupBy(row, col).agg(F.count(F.lit(1)).alias("o"))
+    # doubles: the product of two marginals does not fit a long
+    rows = cells.groupBy(row).agg(F.sum("o").cast("double").alias("r"))
+    cols = cells.groupBy(col).agg(F.sum("o").cast("double").alias("c"))
     total = cells.agg(F.sum("o")).scalar()
     n_rows = rows.select(F.count(F.lit(1))).scalar()
     n_cols = cols.select(F.count(F.lit(1))).scalar()
     # observed part: sum over observed cells of (o - e)^2 / e
-    obs = (cells.join(F.broadcast(rows), row).join(F.broadcast(cols), col)
+    obs = (cells.join(rows, row).join(cols, col)
            .select(((F.col("o") - F.col("r") * F.col("c") / total) ** 2
                     / (F.col("r") * F.col("c") / total)).alias("term"),
                    (F.col("r") * F.col("c") / total).alias("e")))

@@ -18,7 +18,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.operators.joins import broadcast_if_small
 from cartwise.session import materialize as write_table
 from cartwise.plans.base import FeatureInput, split_inputs
 from cartwise.plans.product import PRODUCT_FEATURES, product_features
@@ -38,9 +37,8 @@ class FeatureSet:
     """The four feature frames of one input, each built once.
 
     With ``materialize=True`` (default) the shared line facts are written
-    once and the product features (one row per product) are written and
-    counted, so the product side is broadcast only when its measured size is
-    under ``joins.BROADCAST_MAX_ROWS``.
+    once and so are the product features (one row per product); their file
+    size is what decides between a broadcast and a shuffle join.
     """
 
     def __init__(self, fi: FeatureInput, keywords: tuple[str, ...] = FIXTURE_KEYWORDS,
@@ -53,22 +51,15 @@ class FeatureSet:
         self.product_side = self.product
         if materialize:
             self.product = write_table(self.product, "product-features")
-            self.product_side = broadcast_if_small(self.product)
+            self.product_side = self.product  # read from files: the planner knows its size
 
 
 def check_columns(user: DataFrame, product: DataFrame, user_product: DataFrame, test_set: DataFrame) -> None:
-    """Argument check of the candidate frame builder (raises on a missing key)."""
-    for name, df, keys in (("user features", user, ("user_id",)),
-                           ("product features", product, ("product_id",)),
-                           ("user x product features", user_product, KEYS)):
-        for k in keys:
-            if k not in df.columns:
-                raise ValueError(f"'{k}' is missing in {name}")
-    missing = [k for k in KEYS if k not in test_set.columns]
-    if len(missing) == 2:
-        raise ValueError("'user_id' and 'product_id' both are missing in test_set")
-    if missing:
-        raise ValueError(f"'{missing[0]}' not found in test_set")
+    """Raise unless every input of the candidate frame has its key columns."""
+    wanted = {"user": (user, KEYS[:1]), "product": (product, KEYS[1:]), "user_product": (user_product, KEYS), "test_set": (test_set, KEYS)}
+    lacking = [f"{name}: {', '.join(sorted(absent))}" for name, (df, keys) in wanted.items() if (absent := set(keys) - set(df.columns))]
+    if lacking:
+        raise ValueError("candidate frame inputs lack key columns (" + "; ".join(lacking) + ")")
 
 
 def train_frame_from(fs: FeatureSet) -> DataFrame:
@@ -84,8 +75,8 @@ def train_frame_from(fs: FeatureSet) -> DataFrame:
     f = fs.fi.facts
     up_user = fs.user_product.join(fs.user, "user_id", "left")
     frame = (f.select("order_id", "product_id", "user_id", "order_dow", "order_hour_of_day", LABEL)
-             .join(F.broadcast(orders_per_dow(fs.fi.orders)), "order_dow", "left")
-             .join(F.broadcast(orders_per_hour(fs.fi.orders)), "order_hour_of_day", "left")
+             .join(orders_per_dow(fs.fi.orders), "order_dow", "left")
+             .join(orders_per_hour(fs.fi.orders), "order_hour_of_day", "left")
              .withColumns({c: F.col(c).cast("double") for c in TIME_FEATURES})
              .join(fs.product_side, "product_id", "left")
              .join(up_user, list(KEYS), "left"))
@@ -110,13 +101,21 @@ def train_frame(orders: DataFrame, lines: DataFrame, products: DataFrame, leak_f
 def _attach_target_time(frame: DataFrame, targets: DataFrame, fs: FeatureSet) -> DataFrame:
     """Leak-free time features: totals of the target order's dow / hour over history orders."""
     t = (targets.select("user_id", "order_dow", "order_hour_of_day")
-         .join(F.broadcast(orders_per_dow(fs.fi.orders)), "order_dow", "left")
-         .join(F.broadcast(orders_per_hour(fs.fi.orders)), "order_hour_of_day", "left")
+         .join(orders_per_dow(fs.fi.orders), "order_dow", "left")
+         .join(orders_per_hour(fs.fi.orders), "order_hour_of_day", "left")
          .select("user_id", *[F.col(c).cast("double").alias(c) for c in TIME_FEATURES]))
     return (frame.join(t, "user_id", "left").join(fs.user, "user_id", "inner")
             .join(fs.product_side, "product_id", "inner"))
 
 
+def prior_pairs(orders: DataFrame, lines: DataFrame, line_facts: DataFrame | None = None) -> DataFrame:
+    """(user, product) of prior lines: a partition filter on stored line facts, else a join with the orders."""
+    if line_facts is not None:
+        return line_facts.where(F.col("eval_set") == "prior").select(*KEYS)
+    prior = orders.where(F.col("eval_set") == "prior").select("order_id", "user_id")
+    return lines.join(prior, "order_id").select(*KEYS)
+
+
 def candidates(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """Distinct (user, product) bought in the earlier orders of test users.
 
@@ -152,11 +151,11 @@ def test_frame(orders: DataFrame, lines: DataFrame, products: DataFrame, leak_fr
     """Candidate frame; ``fs`` reuses an already built (faithful) feature set."""
     if not leak_free:
         fs = fs or FeatureSet(split_inputs(orders, lines, products, line_facts=line_facts), keywords)
-        # The candidate keys are exactly the user×product keys of test users:
-        # the user×product aggregate is unique on them, so the candidates carry
-        # their own user×product features (no distinct, no self-join back).
+        # Candidates are the pairs of test users' prior lines. A user may have a train
+        # order besides: pairs seen only there are no candidates.
         test_users = orders.where(F.col("eval_set") == "test").select("user_id")
-        cands = fs.user_product.join(test_users, "user_id", "left_semi")
+        pairs = prior_pairs(orders, lines, line_facts)
+        cands = (fs.user_product.join(test_users, "user_id", "left_semi").join(pairs, list(KEYS), "left_semi"))
         consts = time_mean_constants(fs.fi.orders)
         frame = (cands.join(fs.user, "user_id", "inner").join(fs.product_side, "product_id", "inner")
                  .withColumns({

@@ -21,7 +21,10 @@ _ORDER = ["order_number"]
 
 
 def _segmented(facts: DataFrame, max_rows: int) -> DataFrame:
-    return ordered.segment(facts.select(*_KEYS, "order_id", "order_number"), _KEYS, "order_number", max_rows)
+    """A (user, product) group has at most one row per order of the user, so the
+    largest order number bounds every group: one column's maximum is read."""
+    longest = facts.agg(F.max("order_number")).first()[0] or 0
+    return ordered.segment(facts.select(*_KEYS, "order_id", "order_number"), _KEYS, "order_number", max_rows, largest=longest)
 
 
 def _with_next(facts: DataFrame, max_rows: int) -> DataFrame:

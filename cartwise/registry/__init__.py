@@ -8,29 +8,15 @@ basket views inlined as CTEs. Queries without a SQL form are listed in
 
 from __future__ import annotations
 
-import importlib
-
+from cartwise.registry import basket_q, features_q, frames_q, models_q, profile_q, sources_q  # noqa: F401 - they register
 from cartwise.registry.base import ORACLE, QUERIES, ROWS_ONLY
 
-_FAMILIES = ("sources_q", "frames_q", "features_q", "profile_q", "basket_q", "models_q")
-
-
-def load_all() -> None:
-    for fam in _FAMILIES:
-        try:
-            importlib.import_module(f"cartwise.registry.{fam}")
-        except ModuleNotFoundError as exc:  # family not written yet
-            if exc.name != f"cartwise.registry.{fam}":
-                raise
-
 
 def queries():
-    load_all()
     return dict(QUERIES)
 
 
 def oracle_sql():
-    load_all()
     return dict(ORACLE)
 
 

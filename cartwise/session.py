@@ -40,15 +40,19 @@ _LOCAL_CKPT: dict[str, str] = {}
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is used as is.
-    Only when it is unset (local tests) one scratch folder per application
-    is created and used from then on.
+    That setting must name storage that every executor and the driver share.
+    Only in local mode (one process: tests, bench) a scratch folder per
+    application stands in for it; on a cluster a missing setting is an error,
+    because executors would write to their own disks.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(current)
         return current
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share: intermediate tables go there")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_CKPT:
         _LOCAL_CKPT[app] = tempfile.mkdtemp(prefix="cartwise-ckpt-")
@@ -63,7 +67,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, name)
+    return f"{base.rstrip('/')}/{name}"
 
 
 def materialize(df, name: str, partition_by: list[str] | None = None):

@@ -15,7 +15,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from cartwise.session import scratch_path
 
@@ -74,12 +74,17 @@ def scan_with_manifest(spark: SparkSession, data_path: str, names_path: str,
     """Headerless CSV with names from the manifest, typed by an explicit schema."""
     names = read_manifest(spark, names_path)
     types = types or {}
-    mapping = {"double": DoubleType(), "string": StringType()}
-    schema = StructType([StructField(n, mapping.get(types.get(n, default_type), DoubleType()), True)
-                         for n in names])
-    df = spark.read.schema(schema).option("header", False).csv(data_path)
-    casts = {n: F.col(n).cast(t) for n, t in types.items() if t not in mapping and n in names}
-    return df.withColumns(casts) if casts else df
+    # read as text and cast to the declared type: a long that went through a double would lose digits
+    df = spark.read.schema(StructType([StructField(n, StringType(), True) for n in names])).option("header", False).csv(data_path)
+    return df.select(*(_typed(F.col(f"`{n}`"), types.get(n, default_type)).alias(n) for n in names))
+
+
+def _typed(text: F.Column, kind: str) -> F.Column:
+    """Text as ``kind``; an integer written with a decimal point ("7.0") is still read."""
+    if kind == "string":
+        return text
+    value = text.try_cast(kind)
+    return F.coalesce(value, text.try_cast("decimal(38,10)").try_cast(kind)) if kind in ("int", "long", "bigint") else value
 
 
 def label_index(columns: list[str], label: str) -> int:

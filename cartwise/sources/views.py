@@ -24,13 +24,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwise.operators import ordered
+from cartwise.session import materialize as materialize_table
 from cartwise.sources.tables import read_table
 
 # Fixed values of the basket adapter (must be identical in the DuckDB views).
 EVAL_TEST_MODULUS = 3          # last order of a user is 'test' when user_id % 3 == 0
 HOUR_MULTIPLIER = 7            # synthetic hour of an order: (order_id * 7) % 24
 GAP_BUCKET_DAYS = 10.0         # days_since_prior_order is in 10-day buckets
-GAP_CAP = 30                   # ... capped at 30, as in the source data
+GAP_CAP = 30                   # default of orders_view(gap_cap): the source's data dictionary ends there
 
 
 def name_id(col) -> F.Column:
@@ -76,9 +77,12 @@ def departments_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words.select(name_id(F.col("department")).alias("department_id"), "department")
 
 
-def orders_view(spark: SparkSession, sf_dir: str, max_rows: int = ordered.HOT_GROUP_ROWS) -> DataFrame:
+def orders_view(spark: SparkSession, sf_dir: str, max_rows: int = ordered.HOT_GROUP_ROWS,
+                gap_cap: int | None = GAP_CAP) -> DataFrame:
     """Orders with the customer's sequence number, eval_set split, dow, hour, gap bucket.
 
+    ``gap_cap`` is the largest gap bucket (None: no cap).
+
     Sequence number, order count and previous date per customer go through
     ``operators.ordered``: a customer with more than ``max_rows`` orders is
     split into date ranges instead of filling one task.
@@ -107,7 +111,7 @@ def orders_view(spark: SparkSession, sf_dir: str, max_rows: int = ordered.HOT_GR
          .otherwise("train").alias("eval_set"),
         "order_number", "order_dow", "order_hour_of_day",
         F.when(F.col("gap_days").isNull(), F.lit(None).cast("double"))
-         .otherwise(F.when(gap > GAP_CAP, F.lit(GAP_CAP)).otherwise(gap).cast("double"))
+         .otherwise((gap if gap_cap is None else F.least(gap, F.lit(gap_cap))).cast("double"))
          .alias("days_since_prior_order"),
     )
 
@@ -139,7 +143,8 @@ def lines_view(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None
                 .groupBy(F.col("l_orderkey").alias("order_id"), "product_id")
                 .agg(F.min("l_linenumber").alias("ln")))
     attrs = ["user_id", "order_number"] + (["order_dow", "order_hour_of_day", "eval_set"] if enriched else [])
-    with_user = per_pair.join(orders.select("order_id", *attrs), "order_id")
+    # written once: the cart position, the first order of each pair and the row count all read it
+    with_user = materialize_table(per_pair.join(orders.select("order_id", *attrs), "order_id"), "basket-lines")
     cart = ordered.segment(with_user, ["order_id"], "ln", max_rows)
     cart = ordered.row_number(cart, ["order_id"], ["ln", "product_id"], "add_to_cart_order")
     if enriched:
@@ -165,7 +170,19 @@ def visits_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_MATERIALIZED: dict[tuple[str, str], BasketTables] = {}
+_MATERIALIZED: dict[tuple, BasketTables] = {}
+
+
+def _version(spark: SparkSession, sf_dir: str) -> tuple:
+    """Size and time of the source tables: a changed input is loaded anew."""
+    jvm = spark._jvm
+    found = []
+    for name in ("orders", "lineitem", "part", "events"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        status = fs.getFileStatus(path)
+        found.append((fs.getContentSummary(path).getLength(), status.getModificationTime()))
+    return tuple(found)
 
 
 def load_basket(spark: SparkSession, sf_dir: str, materialize: bool = False) -> BasketTables:
@@ -179,17 +196,17 @@ def load_basket(spark: SparkSession, sf_dir: str, materialize: bool = False) ->
     windows and joins of the adapter.
     """
     if materialize:
-        key = (spark.sparkContext.applicationId, sf_dir)
+        key = (spark.sparkContext.applicationId, sf_dir, _version(spark, sf_dir))
         if key not in _MATERIALIZED:
-            from cartwise.session import materialize as write_table
-            raw = load_basket(spark, sf_dir)
             # partitioned by eval_set: train / test / prior filters prune whole folders
-            raw.orders = write_table(raw.orders, "basket-orders", partition_by=["eval_set"])
+            orders = materialize_table(orders_view(spark, sf_dir), "basket-orders", partition_by=["eval_set"])
             # one written line table serves both the plain lines and the line facts
-            raw.line_facts = write_table(lines_view(spark, sf_dir, raw.orders, enriched=True),
-                                         "basket-line-facts", partition_by=["eval_set"])
-            raw.lines = raw.line_facts.select("order_id", "product_id", "add_to_cart_order", "reordered")
-            _MATERIALIZED[key] = raw
+            facts = materialize_table(lines_view(spark, sf_dir, orders, enriched=True),
+                                      "basket-line-facts", partition_by=["eval_set"])
+            _MATERIALIZED[key] = BasketTables(
+                orders=orders, lines=facts.select("order_id", "product_id", "add_to_cart_order", "reordered"), line_facts=facts,
+                products=products_view(spark, sf_dir), aisles=aisles_view(spark, sf_dir),
+                departments=departments_view(spark, sf_dir), visits=visits_view(spark, sf_dir))
         return _MATERIALIZED[key]
     orders = orders_view(spark, sf_dir)
     return BasketTables(

@@ -75,7 +75,7 @@ def test_check_columns_raises(spark, fi):
     bad = spark.createDataFrame([(1,)], "user_id long")
     with pytest.raises(ValueError, match="product_id"):
         assemble.test_frame_from(fs, bad)
-    with pytest.raises(ValueError, match="both"):
+    with pytest.raises(ValueError, match="test_set: product_id, user_id"):
         assemble.test_frame_from(fs, spark.createDataFrame([(1,)], "x long"))
 
 
