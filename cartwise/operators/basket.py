@@ -219,7 +219,13 @@ def _solve_users(pdf: pd.DataFrame, solve) -> pd.DataFrame:
 _SELECT_COLUMNS = ("user_id", "best_k", "pred_none", "max_f1", "n_candidates", "products")
 
 
+def _unique(items: np.ndarray) -> None:
+    if len(np.unique(items)) != len(items):
+        raise ValueError("a user's candidates hold an item twice: aggregate to one row per (user, item) first")
+
+
 def _select_one(uid: int, p: np.ndarray, items: np.ndarray) -> tuple:
+    _unique(items)
     k, none, f1 = best_basket(p)
     return uid, k, none, f1, len(p), items[:k].astype("int64").tolist()
 

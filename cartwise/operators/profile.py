@@ -197,18 +197,18 @@ def chi_square(df: DataFrame, row: str, col: str) -> DataFrame:
     never observed still contribute their expected count, so the cell grid is
     the product of the observed categories, built from the two marginals.
     """
-    cells = df.where(F.col(row).isNotNull() & F.col(col).isNotNull()).groupBy(row, col).agg(F.count(F.lit(1)).alias("o"))
+    cells = df.where(F.col(row).isNotNull() & F.col(col).isNotNull()).groupBy(row, col).agg(F.count(F.lit(1)).alias("_o"))
     # doubles: the product of two marginals does not fit a long
-    rows = cells.groupBy(row).agg(F.sum("o").cast("double").alias("r"))
-    cols = cells.groupBy(col).agg(F.sum("o").cast("double").alias("c"))
-    total = cells.agg(F.sum("o")).scalar()
+    rows = cells.groupBy(row).agg(F.sum("_o").cast("double").alias("_r"))
+    cols = cells.groupBy(col).agg(F.sum("_o").cast("double").alias("_c"))
+    total = cells.agg(F.sum("_o")).scalar()
     n_rows = rows.select(F.count(F.lit(1))).scalar()
     n_cols = cols.select(F.count(F.lit(1))).scalar()
     # observed part: sum over observed cells of (o - e)^2 / e
     obs = (cells.join(rows, row).join(cols, col)
-           .select(((F.col("o") - F.col("r") * F.col("c") / total) ** 2
-                    / (F.col("r") * F.col("c") / total)).alias("term"),
-                   (F.col("r") * F.col("c") / total).alias("e")))
+           .select(((F.col("_o") - F.col("_r") * F.col("_c") / total) ** 2
+                    / (F.col("_r") * F.col("_c") / total)).alias("term"),
+                   (F.col("_r") * F.col("_c") / total).alias("e")))
     # unobserved cells contribute e each: total expected mass minus observed cells' e
     stat = obs.agg((F.sum("term") + (total - F.sum("e"))).alias("chi2"))
     return stat.select(F.round("chi2", 6).alias("chi2"),

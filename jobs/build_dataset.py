@@ -1,6 +1,10 @@
 """Batch job: basket tables → training frame and candidate frame (parquet).
 
-    spark-submit jobs/build_dataset.py --input <sf folder> --output <folder> [--leak-free]
+    spark-submit jobs/build_dataset.py --input <folder> --output <folder> [--leak-free]
+        [--format star|csv|parquet] [--keywords organic,asian,"gluten free"]
+
+``csv`` and ``parquet`` read the four retail tables (orders, order_products__prior,
+order_products__train, products); ``star`` adapts the star-schema test tables.
 
 Frames are written in parallel, partitioned output, column names in the
 files (no positional side files, no single-task write).
@@ -18,7 +22,9 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from cartwise.plans import assemble  # noqa: E402
 from cartwise.plans.base import split_inputs  # noqa: E402
+from cartwise.plans.user import REFERENCE_KEYWORDS  # noqa: E402
 from cartwise.session import ensure_checkpoint_dir  # noqa: E402
+from cartwise.sources.retail import load_retail  # noqa: E402
 from cartwise.sources.views import load_basket  # noqa: E402
 
 
@@ -26,20 +32,23 @@ def main(argv=None) -> None:
     ap = argparse.ArgumentParser()
     ap.add_argument("--input", required=True, help="folder with the source parquet tables")
     ap.add_argument("--output", required=True)
+    ap.add_argument("--format", default="star", choices=["star", "csv", "parquet"])
+    ap.add_argument("--keywords", default=",".join(REFERENCE_KEYWORDS), help="comma-separated words of the product-type flag")
     ap.add_argument("--leak-free", action="store_true", help="features from prior orders only")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("cartwise-build-dataset").getOrCreate()
     ensure_checkpoint_dir(spark)
-    b = load_basket(spark, args.input, materialize=True)
+    b = load_basket(spark, args.input, materialize=True) if args.format == "star" else load_retail(spark, args.input, args.format)
     leak_free = args.leak_free
+    words = tuple(w.strip().lower() for w in args.keywords.split(",") if w.strip())
     if leak_free:
-        train = assemble.train_frame(b.orders, b.lines, b.products, leak_free=True, line_facts=b.line_facts)
-        test = assemble.test_frame(b.orders, b.lines, b.products, leak_free=True, line_facts=b.line_facts)
+        train = assemble.train_frame(b.orders, b.lines, b.products, leak_free=True, line_facts=b.line_facts, keywords=words)
+        test = assemble.test_frame(b.orders, b.lines, b.products, leak_free=True, line_facts=b.line_facts, keywords=words)
     else:
-        fs = assemble.FeatureSet(split_inputs(b.orders, b.lines, b.products, line_facts=b.line_facts))
+        fs = assemble.FeatureSet(split_inputs(b.orders, b.lines, b.products, line_facts=b.line_facts), words)
         train = assemble.train_frame_from(fs)
-        test = assemble.test_frame(b.orders, b.lines, b.products, fs=fs)
+        test = assemble.test_frame(b.orders, b.lines, b.products, fs=fs, line_facts=b.line_facts)
     train.write.mode("overwrite").parquet(os.path.join(args.output, "train_frame"))
     test.write.mode("overwrite").parquet(os.path.join(args.output, "test_frame"))
 

@@ -33,17 +33,21 @@ def main(argv=None) -> None:
     spark = SparkSession.builder.appName("cartwise-train").getOrCreate()
     ensure_checkpoint_dir(spark)
     params = json.loads(args.params)
-    train = materialize(M.validation_flag(M.vectorize(spark.read.parquet(os.path.join(args.frames, "train_frame")))),
-                        "train-vectors")
-    fit = {"gbm": lambda d: M.train_gbm(d, params), "glm": lambda d: M.train_glm(d),
+    frame = spark.read.parquet(os.path.join(args.frames, "train_frame"))
+    train = materialize(M.validation_flag(M.vectorize(frame)), "train-vectors")
+    fit = {"gbm": lambda d: M.train_gbm(d, params), "glm": lambda d: M.train_glm(d, **params),
            "rf": lambda d: M.train_rf(d, params)}[args.kind]
     model = fit(train.where(~F.col("is_valid")))
-    valid = M.score(model, train.where(F.col("is_valid"))).withColumnRenamed("label", "reordered") \
-        .withColumn("reordered", F.col("reordered").cast("int"))
+    model.write().overwrite().save(os.path.join(args.output, "model"))
+    # scored once, read by every metric
+    valid = materialize(M.score(model, train.where(F.col("is_valid"))).withColumnRenamed("label", "reordered")
+                        .withColumn("reordered", F.col("reordered").cast("int")), "valid-scores")
     metrics = E.classification_metrics(valid)
     metrics.select("*", E.auc(valid).select("auc").scalar().alias("auc")) \
         .write.mode("overwrite").json(os.path.join(args.output, "validation_metrics"))
-    E.basket_f1(valid).write.mode("overwrite").json(os.path.join(args.output, "validation_basket_f1"))
+    # a frame of lines (not leak-free) repeats a (user, product): a basket holds it once
+    pairs = valid.groupBy("user_id", "product_id").agg(F.max("p").alias("p"), F.max("reordered").alias("reordered"))
+    E.basket_f1(materialize(pairs, "valid-pairs")).write.mode("overwrite").json(os.path.join(args.output, "validation_basket_f1"))
     test = M.vectorize(spark.read.parquet(os.path.join(args.frames, "test_frame")), label=None)
     B.select(M.score(model, test)).write.mode("overwrite").parquet(os.path.join(args.output, "baskets"))
 

@@ -10,10 +10,10 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as entry  # noqa: E402
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
-SLOW = {"train_glm", "train_gbm", "train_rf", "train_early_stop", "train_folds", "score_frame",
-        "feature_importance", "feature_split_counts", "features_unused", "loss_history", "basket_f1_eval_model"}
+from cartwise import registry  # noqa: E402
+
+QUERIES = registry.queries()
+ORACLE = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -29,8 +29,9 @@ def test_every_oracle_key_is_a_query():
 
 def test_entry_runs(spark):
     df = entry.entry(spark)
-    assert df.limit(5).count() >= 0
-    assert len(df.columns) == 37
+    rows = df.limit(5).collect()
+    assert len(df.columns) == 37 and len(rows) == 5
+    assert all(r.user_id is not None and r.reordered in (0, 1) for r in rows)
 
 
 @pytest.mark.parametrize("name", sorted(k for k in QUERIES if k in ORACLE))
@@ -45,6 +46,41 @@ def test_matches_oracle(spark, con, name):
     assert sr == dr
 
 
-@pytest.mark.parametrize("name", sorted(k for k in QUERIES if k not in ORACLE and k not in SLOW))
-def test_rows_only_queries_run(spark, name):
-    assert QUERIES[name](spark, SF_SMALL).count() >= 0
+def _finite_share(values):
+    return all(0 <= v <= 1 for v in values)
+
+
+def _history_falls(rows):
+    losses = [r.loss for r in sorted(rows, key=lambda r: r.iteration)]
+    return len(losses) > 1 and losses[-1] < losses[0]
+
+
+#: What each query without SQL must satisfy on the small tables.
+PROPERTIES = {
+    "scan_labelled_matrix": lambda rows: len(rows) > 0 and all(len(r) > 0 for r in rows),
+    "scan_folds": lambda rows: len({r.fold for r in rows}) > 1,
+    "chi_square_pvalue": lambda rows: len(rows) == 1,
+    "expected_f1_curve": lambda rows: _finite_share([r.expected_f1 for r in rows]),
+    "basket_select": lambda rows: all(r.best_k == len(set(r.products)) and 0 <= r.max_f1 <= 1 + 1e-9 for r in rows),
+    "basket_f1_eval": lambda rows: _finite_share([r.mean_f1 for r in rows]),
+    "basket_f1_eval_model": lambda rows: _finite_share([r.mean_f1 for r in rows]),
+    "train_glm": lambda rows: len(rows) == 37 and any(r.coefficient != 0 for r in rows),
+    "train_gbm": lambda rows: rows[0].logloss < 0.6932,
+    "train_rf": lambda rows: rows[0].auc > 0.5,
+    "train_early_stop": lambda rows: rows[0].n_trees >= 1,
+    "train_folds": lambda rows: len(rows) == 3 and all(r.mean_abs_error < 0.5 for r in rows),
+    "score_frame": lambda rows: _finite_share([r.p for r in rows]),
+    "feature_importance": lambda rows: abs(sum(r.importance for r in rows) - 1) < 1e-6,
+    "feature_split_counts": lambda rows: sum(r.n_splits for r in rows) > 0,
+    "features_unused": lambda rows: len(rows) < 36,
+    "loss_history": _history_falls,
+}
+
+
+def test_every_open_query_has_a_property():
+    assert set(PROPERTIES) == set(QUERIES) - set(ORACLE)
+
+
+@pytest.mark.parametrize("name", sorted(PROPERTIES))
+def test_property_of_open_query(spark, name):
+    assert PROPERTIES[name](QUERIES[name](spark, SF_SMALL).collect())
