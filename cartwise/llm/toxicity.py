@@ -38,11 +38,11 @@ ship(__name__)
 SAMPLE = 4000
 LONGEST = 20_000
 BUCKETS = 1 << 16
-DIM = 8
+DIM = 4
 LEAST_TEXTS = 3
-SMOOTH = 0.1
+SMOOTH = 0.5
 #: Neutral words that every text's mean holds besides its own, so that a few words alone decide little.
-PRIOR_WORDS = 20
+PRIOR_WORDS = 40
 STEPS = 30
 RATE = 0.1
 MOMENTUM = 0.8
@@ -67,7 +67,7 @@ def word_counts(text: str) -> Counter:
 
 def weight(count: int) -> float:
     """Of a word that occurs ``count`` times in a text: repetition adds less and less."""
-    return math.sqrt(count)
+    return math.log2(1 + count)
 
 
 def group_sum(values: np.ndarray, heads: np.ndarray) -> np.ndarray:
@@ -79,29 +79,29 @@ def borders(keys: np.ndarray) -> np.ndarray:
     return np.r_[np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]), len(keys)]
 
 
-def train(texts: list[Counter], labels: list[int]) -> tuple[np.ndarray, float]:
+def train(labels: np.ndarray, doc: np.ndarray, word: np.ndarray, count: np.ndarray, words: pa.Array) -> tuple[np.ndarray, float]:
     """One number per bucket and a bias: the difference of the two classes' logits.
 
-    Words of fewer than ``LEAST_TEXTS`` sampled texts are not trained on. Steps
-    are scaled by a whole matrix's gradient, not entry by entry, so an n-gram
-    moves as far as texts agree on it.
+    ``doc``, ``word`` (an index into ``words``) and ``count`` list the words of
+    each text, by text. Words of fewer than ``LEAST_TEXTS`` texts are not trained
+    on. Steps are scaled by a whole matrix's gradient, not entry by entry, so an
+    n-gram moves as far as texts agree on it.
     """
-    y = np.asarray(labels, np.float32)
+    y = labels.astype(np.float32)
     prior = (y.sum() + 0.5) / (len(y) + 2)
-    in_texts = Counter(w for bag in texts for w in bag)
-    vocabulary = {w: i for i, w in enumerate(sorted(w for w, n in in_texts.items() if n >= LEAST_TEXTS))}
-    if len(y) == 0 or y.min() == y.max() or not vocabulary:
+    usual = np.bincount(word, minlength=len(words)) >= LEAST_TEXTS
+    if len(y) == 0 or y.min() == y.max() or not usual.any():
         return np.zeros(BUCKETS), math.log(prior / (1 - prior))
-    known = [[(vocabulary[w], weight(c)) for w, c in bag.items() if w in vocabulary] for bag in texts]
-    doc = np.repeat(np.arange(len(y)), [len(k) for k in known])
-    word = np.array([w for k in known for w, _ in k], np.int64)
-    total = np.array([PRIOR_WORDS + sum(map(weight, bag.values())) for bag in texts], np.float32)
-    share = (np.array([c for k in known for _, c in k], np.float32) / total[doc])[:, None]
+    total = (PRIOR_WORDS + np.bincount(doc, np.log2(1 + count), len(y))).astype(np.float32)
+    known = usual[word]
+    doc, word = doc[known], (np.cumsum(usual) - 1)[word[known]]
+    share = (np.log2(1 + count[known]).astype(np.float32) / total[doc])[:, None]
+    vocabulary = words.filter(pa.array(usual)).to_pylist()
     parts = [subwords(w) for w in vocabulary]
     sizes = np.array([len(p) for p in parts])
-    bucket = np.array([b for p in parts for b in p], np.int64)
-    used, bucket = np.unique(bucket, return_inverse=True)
-    owner = np.repeat(np.arange(len(parts)), sizes)
+    owner = np.repeat(np.arange(len(parts), dtype=np.int32), sizes)
+    sizes = sizes.astype(np.float32)
+    used, bucket = np.unique(np.array([b for p in parts for b in p], np.int32), return_inverse=True)
     by_word, by_bucket = np.argsort(word, kind="stable"), np.argsort(bucket, kind="stable")
     doc_heads, word_heads = borders(doc), borders(word[by_word])
     owner_heads, bucket_heads = borders(owner), borders(bucket[by_bucket])
@@ -172,14 +172,21 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
 
     def bags(batches):
         for batch in batches:
-            rows = [(y, word_counts(t or "")) for y, t in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist(), strict=True)]
-            rows = [(y, c) for y, c in rows if 0 < sum(c.values()) <= LONGEST]
-            yield pa.RecordBatch.from_arrays([pa.array([y for y, _ in rows], pa.int32()), pa.array([list(c) for _, c in rows], pa.list_(pa.string())),
-                                              pa.array([list(c.values()) for _, c in rows], pa.list_(pa.int32()))], names=["toxic", "words", "counts"])
-
-    got = texts.mapInArrow(bags, "toxic int, words array<string>, counts array<int>").toArrow()
-    rows = sorted(zip(got["toxic"].to_pylist(), got["words"].to_pylist(), got["counts"].to_pylist(), strict=True))
-    return train([Counter(dict(zip(w, c, strict=True))) for _, w, c in rows], [y for y, _, _ in rows])
+            keys, marks, bag = [], [], []
+            for key, mark, text in zip(*(batch.column(c) for c in ("doc_id", "toxic", "text")), strict=True):
+                counted = word_counts(text.as_py() or "")
+                if 0 < sum(counted.values()) <= LONGEST:
+                    keys.append(key.as_py())
+                    marks.append(mark.as_py())
+                    bag.append(counted)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(marks, pa.int32()), pa.array([list(c) for c in bag], pa.list_(pa.string())),
+                                              pa.array([list(c.values()) for c in bag], pa.list_(pa.int32()))], names=["doc_id", "toxic", "words", "counts"])
+
+    got = texts.mapInArrow(bags, "doc_id long, toxic int, words array<string>, counts array<int>").toArrow().sort_by("doc_id")
+    lists = got["words"].combine_chunks()
+    named = lists.flatten().dictionary_encode()
+    doc = np.repeat(np.arange(len(lists), dtype=np.int32), lists.value_lengths().to_numpy())
+    return train(got["toxic"].to_numpy(), doc, named.indices.to_numpy(), got["counts"].combine_chunks().flatten().to_numpy(), named.dictionary)
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
