@@ -162,7 +162,7 @@ CURVE_SCHEMA = "user_id long, k int, with_none boolean, expected_f1 double"
 
 
 def _per_user_stream(scored: DataFrame, solve, schema: str, prob: str, user: str, item: str,
-                     partitions: int | None = None) -> DataFrame:
+                     partitions: int | None = None, p_none: str | None = None) -> DataFrame:
     """Run ``solve(users, probs, items)`` over every user's candidates.
 
     Rows are hash-partitioned by user into an explicit number of partitions
@@ -175,8 +175,9 @@ def _per_user_stream(scored: DataFrame, solve, schema: str, prob: str, user: str
     """
     spark = scored.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    given = [F.col(p_none).cast("double").alias("p_none")] if p_none else []
     src = (scored.select(F.col(user).cast("long").alias("user_id"), F.col(item).cast("long").alias("item"),
-                         F.col(prob).cast("double").alias("p"))
+                         F.col(prob).cast("double").alias("p"), *given)
            .repartition(n, "user_id")
            .sortWithinPartitions("user_id", F.desc("p"), "item"))
 
@@ -210,7 +211,9 @@ def _solve_users(pdf: pd.DataFrame, solve) -> pd.DataFrame:
     p = pdf["p"].to_numpy(dtype=np.float64)
     it = pdf["item"].to_numpy()
     starts = np.concatenate([[0], np.flatnonzero(u[1:] != u[:-1]) + 1, [len(u)]])
-    parts = [solve(int(u[a]), p[a:b], it[a:b]) for a, b in zip(starts[:-1], starts[1:])]
+    none = pdf["p_none"].to_numpy(dtype=np.float64) if "p_none" in pdf else None
+    parts = [solve(int(u[a]), p[a:b], it[a:b], None if none is None or np.isnan(none[a]) else float(none[a]))
+             for a, b in zip(starts[:-1], starts[1:])]
     if parts and isinstance(parts[0], tuple):
         return pd.DataFrame.from_records(parts, columns=list(_SELECT_COLUMNS))
     return pd.concat(parts, ignore_index=True)
@@ -224,14 +227,14 @@ def _unique(items: np.ndarray) -> None:
         raise ValueError("a user's candidates hold an item twice: aggregate to one row per (user, item) first")
 
 
-def _select_one(uid: int, p: np.ndarray, items: np.ndarray) -> tuple:
+def _select_one(uid: int, p: np.ndarray, items: np.ndarray, p_none: float | None = None) -> tuple:
     _unique(items)
-    k, none, f1 = best_basket(p)
+    k, none, f1 = best_basket(p, p_none)
     return uid, k, none, f1, len(p), items[:k].astype("int64").tolist()
 
 
-def _curve_one(uid: int, p: np.ndarray, items: np.ndarray) -> pd.DataFrame:
-    with_none, without = expected_f1(p)
+def _curve_one(uid: int, p: np.ndarray, items: np.ndarray, p_none: float | None = None) -> pd.DataFrame:
+    with_none, without = expected_f1(p, p_none)
     n1 = with_none.shape[0]
     return pd.DataFrame({"user_id": np.full(2 * n1, uid, dtype="int64"),
                          "k": np.concatenate([np.arange(n1), np.arange(n1)]).astype("int32"),
@@ -240,16 +243,17 @@ def _curve_one(uid: int, p: np.ndarray, items: np.ndarray) -> pd.DataFrame:
 
 
 def select(scored: DataFrame, prob: str = "p", user: str = "user_id", item: str = "product_id",
-           partitions: int | None = None) -> DataFrame:
+           partitions: int | None = None, p_none: str | None = None) -> DataFrame:
     """One row per user: best k, whether to add "None", its E[F1] and the chosen items
-    (highest probability first, ties by item id)."""
-    return _per_user_stream(scored, _select_one, SELECT_SCHEMA, prob, user, item, partitions)
+    (highest probability first, ties by item id). ``p_none`` names a column with the user's
+    given probability of buying nothing (null: the product of 1 - p)."""
+    return _per_user_stream(scored, _select_one, SELECT_SCHEMA, prob, user, item, partitions, p_none)
 
 
 def expected_f1_curve(scored: DataFrame, prob: str = "p", user: str = "user_id",
-                      item: str = "product_id", partitions: int | None = None) -> DataFrame:
+                      item: str = "product_id", partitions: int | None = None, p_none: str | None = None) -> DataFrame:
     """Per user, one row per (k, with_none) with its expected F1."""
-    return _per_user_stream(scored, _curve_one, CURVE_SCHEMA, prob, user, item, partitions)
+    return _per_user_stream(scored, _curve_one, CURVE_SCHEMA, prob, user, item, partitions, p_none)
 
 
 def prob_none(scored: DataFrame, prob: str = "p", user: str = "user_id") -> DataFrame:

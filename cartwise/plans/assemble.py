@@ -84,14 +84,19 @@ def train_frame_from(fs: FeatureSet) -> DataFrame:
 
 
 def train_frame(orders: DataFrame, lines: DataFrame, products: DataFrame, leak_free: bool = False,
-                keywords: tuple[str, ...] = FIXTURE_KEYWORDS, line_facts: DataFrame | None = None) -> DataFrame:
+                keywords: tuple[str, ...] = FIXTURE_KEYWORDS, line_facts: DataFrame | None = None,
+                fs: FeatureSet | None = None) -> DataFrame:
+    """Labelled frame; ``fs`` reuses a feature set built with the same ``leak_free``."""
+    fs = fs or FeatureSet(split_inputs(orders, lines, products, leak_free=leak_free, line_facts=line_facts), keywords)
     if not leak_free:
-        return train_frame_from(FeatureSet(split_inputs(orders, lines, products, line_facts=line_facts), keywords))
-    fs = FeatureSet(split_inputs(orders, lines, products, leak_free=True, line_facts=line_facts), keywords)
+        return train_frame_from(fs)
     targets = orders.where(F.col("eval_set") == "train").select("order_id", "user_id", "order_dow",
                                                                 "order_hour_of_day")
-    labels = (lines.select("order_id", "product_id").join(targets.select("order_id", "user_id"), "order_id")
-              .select(*KEYS, F.lit(1).alias("_hit")))
+    if line_facts is not None:  # a partition filter: the lines carry their user
+        hits = line_facts.where(F.col("eval_set") == "train").select(*KEYS)
+    else:
+        hits = lines.select("order_id", "product_id").join(targets.select("order_id", "user_id"), "order_id").select(*KEYS)
+    labels = hits.withColumn("_hit", F.lit(1))
     cands = fs.user_product.join(targets.select("user_id"), "user_id", "left_semi")
     framed = (cands.join(labels, list(KEYS), "left")
               .withColumn(LABEL, F.coalesce(F.col("_hit"), F.lit(0)).cast("int")).drop("_hit"))
@@ -116,19 +121,15 @@ def prior_pairs(orders: DataFrame, lines: DataFrame, line_facts: DataFrame | Non
     return lines.join(prior, "order_id").select(*KEYS)
 
 
-def candidates(orders: DataFrame, lines: DataFrame) -> DataFrame:
+def candidates(orders: DataFrame, lines: DataFrame, line_facts: DataFrame | None = None) -> DataFrame:
     """Distinct (user, product) bought in the earlier orders of test users.
 
-    test users ⟕ their non-test orders ⟕ prior lines, distinct, null
-    products (orders without lines) removed.
+    The (user, product) pairs of prior lines, of users that have a test order;
+    null products are no candidates.
     """
-    test_users = orders.where(F.col("eval_set") == "test").select("user_id").distinct()
-    history = orders.where(F.col("eval_set") != "test").select("user_id", "order_id")
-    prior_lines = lines.join(orders.where(F.col("eval_set") == "prior").select("order_id"), "order_id", "left_semi")
-    return (test_users.join(history, "user_id", "left")
-            .join(prior_lines.select("order_id", "product_id"), "order_id", "left")
-            .where(F.col("product_id").isNotNull())
-            .select(*KEYS).distinct())
+    test_users = orders.where(F.col("eval_set") == "test").select("user_id")
+    pairs = prior_pairs(orders, lines, line_facts).where(F.col("product_id").isNotNull()).distinct()
+    return pairs.join(test_users, "user_id", "left_semi")
 
 
 def test_frame_from(fs: FeatureSet, test_set: DataFrame, constants: DataFrame | None = None) -> DataFrame:
@@ -148,9 +149,9 @@ def test_frame_from(fs: FeatureSet, test_set: DataFrame, constants: DataFrame |
 def test_frame(orders: DataFrame, lines: DataFrame, products: DataFrame, leak_free: bool = False,
                keywords: tuple[str, ...] = FIXTURE_KEYWORDS, fs: FeatureSet | None = None,
                line_facts: DataFrame | None = None) -> DataFrame:
-    """Candidate frame; ``fs`` reuses an already built (faithful) feature set."""
+    """Candidate frame; ``fs`` reuses a feature set built with the same ``leak_free``."""
+    fs = fs or FeatureSet(split_inputs(orders, lines, products, leak_free=leak_free, line_facts=line_facts), keywords)
     if not leak_free:
-        fs = fs or FeatureSet(split_inputs(orders, lines, products, line_facts=line_facts), keywords)
         # Candidates are the pairs of test users' prior lines. A user may have a train
         # order besides: pairs seen only there are no candidates.
         test_users = orders.where(F.col("eval_set") == "test").select("user_id")
@@ -162,7 +163,6 @@ def test_frame(orders: DataFrame, lines: DataFrame, products: DataFrame, leak_fr
                      "total_ord_count_p_dow": consts.select("time_mean_dow_count").scalar(),
                      "total_ord_count_p_ohod": consts.select("time_mean_ohod_count").scalar()}))
         return frame.select(*TEST_COLUMNS)
-    fs = FeatureSet(split_inputs(orders, lines, products, leak_free=True, line_facts=line_facts), keywords)
     targets = orders.where(F.col("eval_set") == "test").select("order_id", "user_id", "order_dow",
                                                                "order_hour_of_day")
     cands = fs.user_product.join(targets.select("user_id"), "user_id", "left_semi")

@@ -48,11 +48,13 @@ def user_peak_hour_visits(fi: FeatureInput) -> DataFrame:
 
 def per_order(fi: FeatureInput, keywords: tuple[str, ...] = FIXTURE_KEYWORDS) -> DataFrame:
     """One row per (user, order): items, labels, keyword hit, any reorder."""
-    named = fi.facts.join(fi.products.select("product_id", "product_name"), "product_id", "left")
+    # the flag is computed once per product and joined as one boolean
+    flags = fi.products.select("product_id", keyword_flag(F.col("product_name"), keywords).alias("_keyword"))
+    named = fi.facts.join(flags, "product_id", "left")
     return named.groupBy("user_id", "order_id").agg(
         F.count("product_id").alias("count_of_product"),
         F.count("reordered").alias("n_labels"),
-        F.coalesce(F.max(keyword_flag(F.col("product_name"), keywords).cast("int")), F.lit(0)).alias("has_keyword"),
+        F.coalesce(F.max(F.col("_keyword").cast("int")), F.lit(0)).alias("has_keyword"),
         (1 - F.coalesce(F.max((F.col("reordered") == 1).cast("int")), F.lit(0))).alias("doesnt_contains_reordered"),
     )
 

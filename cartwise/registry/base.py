@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cartwise.plans.assemble import FeatureSet
+from cartwise.plans.base import split_inputs
 from cartwise.sources.views import BasketTables, load_basket, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +29,11 @@ def register(name: str, sql: str | None = None, views: tuple[str, ...] = ()):
     return deco
 
 
+def feature_set(b: BasketTables, leak_free: bool = False) -> FeatureSet:
+    """The feature set of the loaded tables, built once per load and mode."""
+    return b.once(f"features-{leak_free}", lambda: FeatureSet(split_inputs(b.orders, b.lines, b.products, leak_free, b.line_facts)))
+
+
 def basket(spark: SparkSession, sf_dir: str) -> BasketTables:
     """Basket tables, derived once per application and sf folder (checkpointed)."""
     return load_basket(spark, sf_dir, materialize=True)

@@ -13,7 +13,8 @@ from cartwise.functions.scalar import round_doubles
 from cartwise.operators import basket as B
 from cartwise.operators import evaluate as E
 from cartwise.plans import assemble
-from cartwise.registry.base import basket, register
+from cartwise.session import materialize
+from cartwise.registry.base import basket, feature_set, register
 from cartwise.registry.sqlfrag import PRODUCT_COLS, UP_COLS, USER_COLS, compose
 
 # ---------------------------------------------------------------- SQL pieces
@@ -51,12 +52,14 @@ def lf_sql(body: str, target: str = "train", scored: bool = False) -> str:
 def _lf_frame(spark, sf_dir, target="train"):
     b = basket(spark, sf_dir)
     if target == "train":
-        return assemble.train_frame(b.orders, b.lines, b.products, leak_free=True, line_facts=b.line_facts)
-    return assemble.test_frame(b.orders, b.lines, b.products, leak_free=True, line_facts=b.line_facts)
+        return assemble.train_frame(b.orders, b.lines, b.products, leak_free=True, line_facts=b.line_facts,
+                                    fs=feature_set(b, True))
+    return assemble.test_frame(b.orders, b.lines, b.products, leak_free=True, line_facts=b.line_facts, fs=feature_set(b, True))
 
 
 def _scored(spark, sf_dir):
-    return E.score_fixed_logit(_lf_frame(spark, sf_dir))
+    """The scored training frame, written once per load: every metric and basket query reads it."""
+    return basket(spark, sf_dir).once("scored", lambda: materialize(E.score_fixed_logit(_lf_frame(spark, sf_dir)), "scored"))
 
 
 _R6 = lambda cols, a="": ", ".join(f"round({a}{c}, 6) AS {c}" for c in cols)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cartwise.plans import assemble, product, sequence, time, user, user_product
 from cartwise.plans.base import split_inputs
-from cartwise.registry.base import basket, register
+from cartwise.registry.base import basket, feature_set, register
 from cartwise.registry.sqlfrag import PRODUCT_COLS, UP_COLS, USER_COLS, compose, r6
 from cartwise.functions.scalar import round_doubles
 
@@ -267,7 +267,7 @@ FROM fl l LEFT JOIN tf t ON l.order_id = t.order_id
 @register("train_feature_frame", compose(TRAIN_SQL_BODY, "fl", "tf", "uf", "pf", "upf"))
 def q_train_feature_frame(spark, sf_dir):
     b = basket(spark, sf_dir)
-    return round_doubles(assemble.train_frame(b.orders, b.lines, b.products, line_facts=b.line_facts))
+    return round_doubles(assemble.train_frame(b.orders, b.lines, b.products, line_facts=b.line_facts, fs=feature_set(b)))
 
 
 TEST_SQL_BODY = f"""
@@ -297,7 +297,7 @@ def _test_sql():
 @register("test_feature_frame", _test_sql())
 def q_test_feature_frame(spark, sf_dir):
     b = basket(spark, sf_dir)
-    return round_doubles(assemble.test_frame(b.orders, b.lines, b.products, line_facts=b.line_facts))
+    return round_doubles(assemble.test_frame(b.orders, b.lines, b.products, line_facts=b.line_facts, fs=feature_set(b)))
 
 
 @register("join_candidates", compose("""
@@ -309,7 +309,7 @@ LEFT JOIN (SELECT l.order_id, l.product_id FROM order_products_v l JOIN orders_v
 WHERE l.product_id IS NOT NULL""", "fo"))
 def q_join_candidates(spark, sf_dir):
     b = basket(spark, sf_dir)
-    return assemble.candidates(b.orders, b.lines)
+    return assemble.candidates(b.orders, b.lines, b.line_facts)
 
 
 
@@ -328,8 +328,8 @@ FROM cand c JOIN uf u ON c.user_id = u.user_id
 def q_join_inner_features(spark, sf_dir):
     """Candidates ⋈ user ⋈ product ⋈ user×product features (inner joins)."""
     b = basket(spark, sf_dir)
-    fs = assemble.FeatureSet(split_inputs(b.orders, b.lines, b.products, line_facts=b.line_facts))
-    cands = assemble.candidates(b.orders, b.lines)
+    fs = feature_set(b)
+    cands = assemble.candidates(b.orders, b.lines, b.line_facts)
     j = (cands.join(fs.user, "user_id", "inner").join(fs.product_side, "product_id", "inner")
          .join(fs.user_product, list(assemble.KEYS), "inner"))
     return round_doubles(j)

@@ -109,7 +109,7 @@ UNION ALL
 SELECT l.* FROM order_products_v l JOIN orders_v o ON l.order_id = o.order_id AND o.eval_set = 'prior'""", views=_V))
 def q_union_prior_train(spark, sf_dir):
     b = basket(spark, sf_dir)
-    return frames.union_lines(frames.lines_of(b.lines, b.orders, "train"), frames.lines_of(b.lines, b.orders, "prior"))
+    return frames.union_lines(*(b.lines_in(s).select(*b.lines.columns) for s in ("train", "prior")))
 
 
 @register("distinct_pairs", compose("""

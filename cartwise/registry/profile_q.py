@@ -20,7 +20,7 @@ GROUP BY d.department
 """, views=("orders_v", "order_products_v", "products_v", "departments_v"))
 def dept_reorder_rate(spark, sf_dir):
     b = basket(spark, sf_dir)
-    return P.dept_reorder_rate(b.orders, b.lines, b.products, b.departments)
+    return P.dept_reorder_rate(b.orders, b.lines_in("prior"), b.products, b.departments)
 
 
 _V = ("orders_v", "order_products_v", "products_v", "departments_v", "aisles_v", "visits_v")

@@ -18,7 +18,7 @@ prepend them as CTEs, so both engines read identical basket tables.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +53,17 @@ class BasketTables:
     visits: DataFrame
     # lines with their order's attributes, eval_set and basket size (materialized tables only)
     line_facts: DataFrame | None = None
+    # what plans have built from these tables, by name (feature sets, training data): once per load
+    built: dict = field(default_factory=dict)
+
+    def once(self, name: str, make):
+        if name not in self.built:
+            self.built[name] = make()
+        return self.built[name]
+
+    def lines_in(self, eval_set: str) -> DataFrame:
+        """Lines of one eval_set with their order's attributes: a partition filter, no join with the orders."""
+        return self.line_facts.where(F.col("eval_set") == eval_set)
 
 
 def products_view(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import os
 import sys
 from types import SimpleNamespace
 
+import numpy as np
 import pytest
 from conftest import make_lines, make_orders, make_products
 
@@ -135,3 +136,23 @@ def test_jobs_from_csv_tables(spark, tmp_path, mode):
     for r in spark.read.parquet(out + "/baskets").collect():
         assert len(set(r.products)) == len(r.products)
     assert 0 <= spark.read.json(out + "/validation_basket_f1").first().mean_f1 <= 1
+
+
+def test_given_probability_of_nothing(spark):
+    rows = spark.createDataFrame([(1, 7, 0.4, 0.9), (1, 8, 0.2, 0.9), (2, 7, 0.4, None), (2, 8, 0.2, None)],
+                                 "user_id long, product_id long, p double, q double")
+    got = {r.user_id: r for r in basket.select(rows, p_none="q").collect()}
+    plain = {r.user_id: r for r in basket.select(rows).collect()}
+    assert got[2] == plain[2]
+    want = basket.best_basket(np.array([0.4, 0.2]), 0.9)
+    assert (got[1].best_k, got[1].pred_none, got[1].max_f1) == want != basket.best_basket(np.array([0.4, 0.2]))
+
+
+def test_line_scans_of_one_eval_set_are_pruned(spark):
+    from conftest import SF_SMALL
+
+    from cartwise import registry
+    for name in ("dept_reorder_rate", "union_prior_train", "join_candidates"):
+        plan = registry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        scans = [x for x in plan.splitlines() if "FileScan" in x and "product_id" in x and "basket-line-facts" in x]
+        assert scans and all("PartitionFilters: [isnotnull(eval_set" in x for x in scans), name

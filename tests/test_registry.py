@@ -11,6 +11,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as entry  # noqa: E402
 
 from cartwise import registry  # noqa: E402
+from cartwise.plans.assemble import FEATURES  # noqa: E402
 
 QUERIES = registry.queries()
 ORACLE = registry.oracle_sql()
@@ -64,7 +65,7 @@ PROPERTIES = {
     "basket_select": lambda rows: all(r.best_k == len(set(r.products)) and 0 <= r.max_f1 <= 1 + 1e-9 for r in rows),
     "basket_f1_eval": lambda rows: _finite_share([r.mean_f1 for r in rows]),
     "basket_f1_eval_model": lambda rows: _finite_share([r.mean_f1 for r in rows]),
-    "train_glm": lambda rows: len(rows) == 37 and any(r.coefficient != 0 for r in rows),
+    "train_glm": lambda rows: len(rows) == len(FEATURES) + 1 and any(r.coefficient != 0 for r in rows),
     "train_gbm": lambda rows: rows[0].logloss < 0.6932,
     "train_rf": lambda rows: rows[0].auc > 0.5,
     "train_early_stop": lambda rows: rows[0].n_trees >= 1,
@@ -72,7 +73,7 @@ PROPERTIES = {
     "score_frame": lambda rows: _finite_share([r.p for r in rows]),
     "feature_importance": lambda rows: abs(sum(r.importance for r in rows) - 1) < 1e-6,
     "feature_split_counts": lambda rows: sum(r.n_splits for r in rows) > 0,
-    "features_unused": lambda rows: len(rows) < 36,
+    "features_unused": lambda rows: len({r.feature for r in rows} & set(FEATURES)) == len(rows),
     "loss_history": _history_falls,
 }
 
