@@ -8,7 +8,8 @@ Index. Shingles have one global order: rare ones by hash, then the most
 frequent ones (at most ``MOST_HOT``, counted over all documents), so that shared
 passages come last. A set is listed under its first ``n - ceil(0.8 n) + 1``
 shingles; linked sets share one of them. A list is skipped by block: entries
-whose sizes or positions rule a link out never meet.
+whose sizes or positions rule a link out never meet, nor (in long lists) those that
+share too little in all lists.
 
 Set relations. Each list has a leader: first the class most of whose shingles are
 shared (the set that near copies come from), then one by chance. Every class is
@@ -61,6 +62,8 @@ COUNT_BLOCK = 4 << 20
 CLASS_MEMORY = 1 << 18
 #: Rounds of comparing every class with one leader, before lists are gone through pair by pair.
 LEADS = 2
+#: Entries from which on a list's pairs are first held against all that the two classes share.
+LONG_LIST = 16
 #: Rows up to which the list of wanted documents is broadcast; beyond, it is joined by a shuffle.
 BROADCAST_ROWS = 1 << 20
 
@@ -260,18 +263,56 @@ def may_link(common, a_n, a_pos, b_n, b_pos):
     return linked(common + rest, a_n + b_n)
 
 
+class Shared:
+    """How many shingles the classes of one list share, from sorted arrays of them; dense blocks of bounded size."""
+
+    def __init__(self, arrays: np.ndarray) -> None:
+        self.values, inverse, times = np.unique(np.concatenate(arrays), return_inverse=True, return_counts=True)
+        common = times > 1
+        self.values = self.values[common]
+        held = common[inverse]
+        self.row = np.repeat(np.arange(len(arrays)), [len(x) for x in arrays])[held]
+        self.column = (np.cumsum(common) - 1)[inverse[held]]
+        self.block = max(64, (1 << 23) // max(1, len(self.values)))
+
+    def dense(self, a: int, b: int, width: int) -> np.ndarray:
+        x, y = np.searchsorted(self.row, (a, b))
+        row, column = self.row[x:y] - a, self.column[x:y]
+        out = np.zeros((b - a, width), np.float32)
+        out[row[column < width], column[column < width]] = 1
+        return out
+
+    def count(self, a: int, b: int, left: np.ndarray, right: np.ndarray, below: int | None = None) -> np.ndarray:
+        """For pairs with ``a <= left < b``: shared values, or those smaller than ``below``."""
+        width = len(self.values) if below is None else int(np.searchsorted(self.values, below))
+        out = np.zeros(len(left), np.int64)
+        first = self.dense(a, b, width)
+        for c in range(a, int(right.max()) + 1 if len(right) else a, self.block):
+            at = np.flatnonzero((right >= c) & (right < c + self.block))
+            if len(at):
+                last = int(right[at].max()) + 1
+                out[at] = (first @ self.dense(c, last, width).T)[left[at] - a, right[at] - c]
+        return out
+
+
 def cross_pairs(rows: DataFrame) -> DataFrame:
     """Pairs of one list in different components that sizes, positions and known overlaps leave open.
 
     Input columns: token, cls, n, pos, comp, leader, overlap, leader_n (the last
     three null where a class was compared with no leader). ``sure`` marks pairs
-    that the lower bound links.
+    that the lower bound links. In long lists ``open`` and ``long`` hold the shingles
+    that a class has in any open and in any long list: pairs that share too few
+    are left out, the others make one row, in the first long list that they
+    share, with ``times`` such lists.
     """
-    schema = "a long, b long, a_n int, b_n int, a_pos int, b_pos int, sure boolean"
+    schema = "a long, b long, a_n int, b_n int, a_pos int, b_pos int, sure boolean, times int"
 
-    def pairs_of(n, pos, cls, comp, leader, over, lead_n) -> Iterator[pa.RecordBatch]:
+    def pairs_of(token, n, pos, cls, comp, leader, over, lead_n, opened, lengthy) -> Iterator[pa.RecordBatch]:
         m = len(cls)
+        by_open, by_long = (Shared(opened), Shared(lengthy)) if m > 1 and opened[0] is not None else (None, None)
         step = max(1, (1 << 20) // m)
+        if by_open is not None:
+            step = max(1, min(step, by_open.block, by_long.block))
         for i0 in range(0, m - 1, step):
             i = np.arange(i0, min(m - 1, i0 + step))
             upto = np.searchsorted(n, (n[i] * 5) // 4, side="right")  # sizes ascend: later blocks are skipped
@@ -288,29 +329,41 @@ def cross_pairs(rows: DataFrame) -> DataFrame:
             most = np.where(same, np.minimum(most, bound), most)
             sure = same & (over[left] + over[right] - lead_n[left] >= need)
             ok &= most >= need
-            left, right, sure = left[ok], right[ok], sure[ok]
+            left, right, sure, need = left[ok], right[ok], sure[ok], need[ok]
+            times = np.ones(len(left), np.int32)
+            if by_open is not None and len(left):
+                until = int(i[-1]) + 1
+                after = lambda k: n[k] - n[k] // 5 - 1
+                ok = sure | (by_open.count(i0, until, left, right) + np.maximum(after(left), after(right)) >= need)
+                ok &= by_long.count(i0, until, left, right, below=token[0]) == 0
+                times = by_long.count(i0, until, left, right).astype(np.int32)[ok]
+                left, right, sure = left[ok], right[ok], sure[ok]
             if len(left) == 0:
                 continue
             swap = cls[left] > cls[right]
             a, b = np.where(swap, right, left), np.where(swap, left, right)
             yield pa.RecordBatch.from_arrays([pa.array(cls[a]), pa.array(cls[b]), pa.array(n[a].astype(np.int32)), pa.array(n[b].astype(np.int32)),
-                                              pa.array(pos[a].astype(np.int32)), pa.array(pos[b].astype(np.int32)), pa.array(sure)],
-                                             names=["a", "b", "a_n", "b_n", "a_pos", "b_pos", "sure"])
+                                              pa.array(pos[a].astype(np.int32)), pa.array(pos[b].astype(np.int32)), pa.array(sure), pa.array(times)],
+                                             names=["a", "b", "a_n", "b_n", "a_pos", "b_pos", "sure", "times"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
             cols = [batch.column(c).fill_null(-1).to_numpy().astype(np.int64) for c in ("token", "n", "pos", "cls", "comp", "leader", "overlap", "leader_n")]
+            for name in ("open", "long"):
+                arrays = np.empty(batch.num_rows, object)
+                arrays[:] = [v.values.to_numpy() if v.is_valid else None for v in batch.column(name)]
+                cols.append(arrays)
             if rest is not None:
                 cols = [np.r_[r, c] for r, c in zip(rest, cols, strict=True)]
             if len(cols[0]) == 0:
                 continue
             heads = np.flatnonzero(np.r_[True, cols[0][1:] != cols[0][:-1]])
             for a, b in zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True):
-                yield from pairs_of(*(c[a:b] for c in cols[1:]))
+                yield from pairs_of(*(c[a:b] for c in cols))
             rest = [c[heads[-1]:] for c in cols]
         if rest is not None and len(rest[0]):
-            yield from pairs_of(*rest[1:])
+            yield from pairs_of(*rest)
 
     parts = shuffle_parts(rows.sparkSession)
     return rows.repartition(parts, "token").sortWithinPartitions("token", "n", "pos", "cls").mapInArrow(run, schema)
@@ -371,9 +424,16 @@ def links(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     best = reduce(DataFrame.unionByName, answers).groupBy(F.col("a").alias("cls")).agg(
         F.max_by("b", "overlap").alias("leader"), F.max("overlap").alias("overlap"), F.max_by("b_n", "overlap").alias("leader_n"))
     rows = placed(comps)
-    mixed = rows.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("token")
-    met = cross_pairs(rows.join(mixed, "token", "left_semi").join(best, "cls", "left"))
-    found = met.groupBy("a", "b", "a_n", "b_n").agg(F.count("*").cast("int").alias("common"), F.max("a_pos").alias("a_pos"),
+    mixed = rows.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size")).where("low < high")
+    rows = scratch.write(rows.join(mixed.select("token", "size"), "token"), "mixed")
+    long_list = F.col("size") >= LONG_LIST
+    held = rows.join(rows.where(long_list).select("cls").distinct(), "cls").groupBy("cls").agg(
+        F.sort_array(F.collect_list("token")).alias("open"), F.sort_array(F.collect_list(F.when(long_list, F.col("token")))).alias("long"))
+    none = F.lit(None).cast("array<long>")
+    rows = rows.where(~long_list).withColumn("open", none).withColumn("long", none).unionByName(rows.where(long_list).join(held, "cls"))
+    met = cross_pairs(rows.join(best, "cls", "left"))
+    # positions are those of one shared list, at most the last one's: the bound stays an upper one
+    found = met.groupBy("a", "b", "a_n", "b_n").agg(F.sum("times").cast("int").alias("common"), F.max("a_pos").alias("a_pos"),
                                                     F.max("b_pos").alias("b_pos"), F.max("sure").alias("sure"))
     may = may_link(*(F.col(c) for c in ("common", "a_n", "a_pos", "b_n", "b_pos")))
     left = scratch.write(found.where(F.col("sure") | may).select("a", "b", "a_n", "b_n", "common", "sure"), "open")
@@ -388,7 +448,7 @@ def links(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     rest = sides.where(F.coalesce("a_comp", "a") != F.coalesce("b_comp", "b"))
     answers.append(compare(rest, texts, scratch, "rest"))
     comps = grown(answers, "comps")
-    scratch.drop("listed", "texts", "open")
+    scratch.drop("listed", "texts", "open", "mixed")
     return members, comps
 
 

@@ -95,6 +95,7 @@ def test_join_borderline_groups(spark, monkeypatch, hot):
             rows.append((len(rows) + 1, " ".join(own)))
     docs = cases.texts(spark, rows)
     if hot:
+        monkeypatch.setattr(ngram_join, "LONG_LIST", 2)
         monkeypatch.setattr(ngram_join, "hot_shingles", lambda d, f=ngram_join.hot_shingles: f(d, most=500, in_task=1, in_all=3))
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(docs).collect()}
     assert got == brute_components(rows)
