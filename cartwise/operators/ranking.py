@@ -33,8 +33,8 @@ def running_sums(df: DataFrame, order_col: str, sum_cols: list[str], buckets: in
     tmp = "_bucket"
     # written once: the quantile fit and the bucketing pass both read it
     src = materialize(df.withColumn("_ord", F.col(order_col).cast("double")), "running-sums-input")
-    buckets = max(buckets, -(-src.count() // ROWS_PER_BUCKET))  # bucket size stays bounded as data grows
-    qd = QuantileDiscretizer(numBuckets=buckets, inputCol="_ord", outputCol=tmp, relativeError=1e-3,
+    buckets = max(buckets, -(-src.count() // ROWS_PER_BUCKET))  # and cut precisely enough to tell that many apart
+    qd = QuantileDiscretizer(numBuckets=buckets, inputCol="_ord", outputCol=tmp, relativeError=1 / (4 * buckets),
                              handleInvalid="keep")
     bucketed = qd.fit(src).transform(src)
     totals = bucketed.groupBy(tmp).agg(*[F.sum(c).alias(c + "_tot") for c in sum_cols])

@@ -171,6 +171,16 @@ def lines_view(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None
     return out
 
 
+def dropped_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(reason, n_lines): source lines that ``lines_view`` leaves out, so that nothing goes unnoticed."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    part = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
+    orders = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.lit(True).alias("has_order"))
+    joined = li.join(part, "l_partkey", "left").join(orders, "l_orderkey", "left")
+    reason = F.when(F.col("has_order").isNull(), "no order").when(F.col("p_name").isNull(), "no named part")
+    return joined.groupBy(reason.alias("reason")).agg(F.count("*").alias("n_lines")).where("reason IS NOT NULL")
+
+
 def visits_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
     return ev.select(

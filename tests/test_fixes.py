@@ -156,3 +156,17 @@ def test_line_scans_of_one_eval_set_are_pruned(spark):
         plan = registry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         scans = [x for x in plan.splitlines() if "FileScan" in x and "product_id" in x and "basket-line-facts" in x]
         assert scans and all("PartitionFilters: [isnotnull(eval_set" in x for x in scans), name
+
+
+def test_the_adapter_drops_no_line_of_the_tables(spark):
+    from conftest import SF_SMALL
+
+    from cartwise.sources.views import dropped_rows
+    assert dropped_rows(spark, SF_SMALL).collect() == []
+
+
+def test_running_sums_tell_many_buckets_apart(spark):
+    from cartwise.operators.ranking import running_sums
+    df = spark.range(20_000).selectExpr("id AS v", "1 AS one")
+    out = running_sums(df, "v", ["one"], buckets=2_000).agg({"one_cum": "max"}).first()[0]
+    assert out == 20_000
