@@ -18,7 +18,7 @@ from cartwise.llm.common import ship
 
 ship(__name__)
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 _M64 = (1 << 64) - 1
 
