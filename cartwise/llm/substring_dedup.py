@@ -1,17 +1,22 @@
 r"""Substring dedup by hashing text units: the earliest occurrence of a unit stays, later ones go.
 
 A unit is a line, or with ``units="sentence"`` (the default) a sentence of a
-line: a line is cut after ``.``, ``!`` or ``?`` and before a capitalised word,
-because passages that are pasted into the middle of a line share no whole line
-or paragraph. Units are normalised (lower case, single spaces) and hashed to
-128 bits; every digest is grouped over the corpus, with partial sums before the
-shuffle, and the smallest doc_id that has it keeps it (inside a document the
-first position does). Repeated units of a document go in runs: a run of
-consecutive repeated units is removed if it has at least ``MIN_WORDS`` words,
-so that a short phrase which happens to recur is left alone.
-
-A document lists only digests that an earlier document has, never another
-document's text; no group of copies is gathered in one place.
+line: a line is cut after ``.``, ``!`` or ``?`` and before a capitalised word.
+With sentences, every window of ``MIN_WORDS`` words of a text is a unit as well,
+because a passage pasted into the middle of a line need not hold a border: all
+words of a passage that lie in a repeated window go, from its first word to its
+last. For windows, a code point of a script without spaces is a word (half a
+word when a run is measured), and only ASCII letters change case. Units are
+normalised (lower case, single spaces) and hashed; the smallest doc_id that has
+a key keeps it (inside a document the first position does; windows that overlap
+their first position stay). Repeated units of a document go in runs: a run is
+removed if it has at least ``MIN_WORDS`` words, so that a short phrase which
+happens to recur is left alone.
+
+Keys are 64 bits, shuffled packed (8 bytes and a share of a doc_id each) into
+parts that a task sorts one at a time. A document lists only keys that an
+earlier document has, never another document's text. A key that every document
+has costs its part 16 bytes a document.
 
 Defined results: null text stays null and has no units; a text may become
 empty. Rows of one doc_id rank together, so repeated rows keep the same units;
@@ -20,6 +25,7 @@ rows with a null doc_id are left as they are and rank nowhere.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -30,11 +36,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from cartwise.llm.common import id_text, ship, table
+from cartwise.llm import textvec
+from cartwise.llm.common import id_text, shuffle_parts, ship, table
 
 ship(__name__)
 
 MIN_WORDS = 8
+#: Keys that a task packs at once.
+PACK = 2 << 20
 PREFIX = "__substring_"
 
 #: What separates two units.
@@ -42,8 +51,8 @@ BORDERS = {"line": r"\n", "paragraph": r"\n\s*\n",
            "sentence": r"\n|(?<=[.!?])[^\S\n]+|[^\S\n]+(?=\p{Lu}(?:\p{Ll}|\s|$))"}
 
 
-def split_units(text: str, border: regex.Pattern) -> list[tuple[int, int, bytes, int]]:
-    """Start, end, digest and word count of each unit that has a word."""
+def sentences(text: str, border: regex.Pattern) -> list[tuple[int, int, bytes, int]]:
+    """Start, end, digest and word count of each unit between borders that has a word."""
     out, at = [], 0
     edges = [m.span() for m in border.finditer(text)]
     edges.append((len(text), len(text)))
@@ -55,62 +64,197 @@ def split_units(text: str, border: regex.Pattern) -> list[tuple[int, int, bytes,
     return out
 
 
+def lone(data: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """Marks of the bytes at which a code point of a script without spaces begins, and of those and the bytes after one."""
+    if len(data) == 0 or data.max() < 0xE0:
+        return None
+    second = np.r_[data[1:], np.uint8(0)]
+    lead = (((data >= 0xE3) & (data <= 0xE9)) | ((data == 0xE0) & (second >= 0xB8) & (second <= 0xBB))
+            | ((data == 0xE1) & (((second >= 0x80) & (second <= 0x82)) | (second == 0x9E) | (second == 0x9F)))
+            | ((data == 0xF0) & (second >= 0xA0)))
+    cuts = lead.copy()
+    at = np.flatnonzero(lead)
+    after = at + np.where(data[at] == 0xF0, 4, 3)
+    cuts[after[after < len(data)]] = True
+    return lead, cuts
+
+
+def tokens(data: np.ndarray, borders: np.ndarray) -> textvec.Words:
+    """Words of a block of texts, ASCII letters in lower case; a code point of a script without spaces is one."""
+    marks = lone(data)
+    return textvec.words(textvec.LOWER[data], borders, textvec.NOT_SPACE, None if marks is None else marks[1])
+
+
+def whole_text(border: regex.Pattern) -> bool:
+    """Whether passages are looked for at every word, too, and not only between borders."""
+    return border.pattern == BORDERS["sentence"]
+
+
+def window_keys(values: pa.Array) -> Iterator[np.ndarray]:
+    """The keys of all windows of ``MIN_WORDS`` words, text by text."""
+    for _, block, edges in textvec.blocks(*textvec.column(values)):
+        found = tokens(block, edges)
+        grams = textvec.grams(found.hash, MIN_WORDS).view(np.int64)
+        for a, b in zip(found.first[:-1].tolist(), found.first[1:].tolist(), strict=True):
+            yield grams[a:max(a, b - MIN_WORDS + 1)]
+
+
+def split_units(text: str, border: regex.Pattern) -> list[tuple[int, int, bytes, int]]:
+    """Start, end, digest and word count of each unit: those between borders, then the windows."""
+    out = sentences(text, border)
+    if whole_text(border):
+        data = np.frombuffer(text.encode(), np.uint8)
+        found = tokens(data, np.array([0, len(data)]))
+        point = np.cumsum((data & 0xC0) != 0x80)  # code points up to and with each byte
+        out += [(int(point[b]) - 1, int(point[e - 1]), key.tobytes(), MIN_WORDS) for b, e, key in
+                zip(found.start, found.end[MIN_WORDS - 1:], textvec.grams(found.hash, MIN_WORDS), strict=False)]
+    return out
+
+
 def as_pair(digests: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
 
 
-def digests(docs: DataFrame, units: str) -> DataFrame:
-    """(h1, h2, doc_id): the distinct unit digests of every document."""
+def digests(docs: DataFrame, units: str, parts: int) -> DataFrame:
+    """Keys of all units, packed: for each batch and part of the keys the keys, and the documents with how many each has."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         border = regex.compile(BORDERS[units])
+
+        def packed(keys, ids, counts):
+            keys, doc, names = np.concatenate(keys), np.repeat(np.arange(len(ids)), counts), np.array(ids, np.int64)
+            part = (keys.view(np.uint64) >> np.uint64(24)) % np.uint64(parts)
+            order = np.argsort(part.astype(np.int32), kind="stable")
+            keys, doc, part = keys[order], doc[order], part[order]
+            heads = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+            rows = []
+            for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(part)], strict=True):
+                firsts = np.flatnonzero(np.r_[True, doc[a + 1:b] != doc[a:b - 1]])
+                sizes = np.diff(np.r_[firsts, b - a]).astype(np.int32)
+                steps = np.diff(names[doc[a + firsts]], prepend=0)  # mostly small: they compress
+                rows.append((int(part[a]), keys[a:b].tobytes(), zlib.compress(steps.tobytes(), 1), zlib.compress(sizes.tobytes(), 1)))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 3), strict=True)],
+                                              names=["part", "keys", "ids", "counts"])
+
+        keys, ids, counts, size = [], [], [], 0
         for batch in batches:
-            keys, counts = [], []
-            for text in batch.column("text"):
-                own = {d for _, _, d, _ in split_units(text.as_py(), border)}
-                keys.extend(own)
+            texts = batch.column("text")
+            windows = window_keys(texts) if whole_text(border) else [np.zeros(0, np.int64)] * len(texts)
+            for text, doc_id, own in zip(texts, batch.column("doc_id").to_pylist(), windows, strict=True):
+                found = sentences(text.as_py(), border)
+                if found:
+                    own = np.r_[own, as_pair([d for _, _, d, _ in found])[:, 0]]
+                keys.append(own)
+                ids.append(doc_id)
                 counts.append(len(own))
-            pair = as_pair(keys)
-            yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1]), pa.array(np.repeat(batch.column("doc_id").to_numpy(), counts))],
-                                             names=["h1", "h2", "doc_id"])
+                size += len(own)
+                if size >= PACK:
+                    yield packed(keys, ids, counts)
+                    keys, ids, counts, size = [], [], [], 0
+        if size:
+            yield packed(keys, ids, counts)
 
-    return id_text(docs).where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(run, "h1 long, h2 long, doc_id long")
+    return id_text(docs).where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(run, "part int, keys binary, ids binary, counts binary")
 
 
 def seen_earlier(docs: DataFrame, units: str) -> DataFrame:
-    """For each document that has any: the first halves of its units' digests that a smaller doc_id has."""
-    held = digests(docs, units)
-    shared = held.groupBy("h1", "h2").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last")).where("keeper < last").drop("last")
-    later = held.join(shared, ["h1", "h2"]).where("doc_id > keeper")
-    return later.groupBy(F.col("doc_id").alias(PREFIX + "key")).agg(F.collect_set("h1").alias(PREFIX + "seen"))
+    """For each document that has any: the keys of its units that a smaller doc_id has."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def later(blocks):
+            keys, ids = (np.concatenate(x) for x in zip(*blocks, strict=True))
+            order = np.argsort(keys)
+            keys, ids = keys[order], ids[order]
+            heads = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+            late = ids > np.repeat(np.minimum.reduceat(ids, heads), np.diff(np.r_[heads, len(keys)]))
+            keys, ids = keys[late], ids[late]
+            order = np.argsort(ids, kind="stable")
+            keys, ids = keys[order], ids[order]
+            heads = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]][:len(ids)])
+            for a in range(0, len(heads), 10_000):
+                own = heads[a:a + 10_000]
+                edges = np.r_[own, heads[a + 10_000] if a + 10_000 < len(heads) else len(ids)]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[own]), pa.ListArray.from_arrays(pa.array((edges - edges[0]).astype(np.int32)), pa.array(keys[edges[0]:edges[-1]]))],
+                                                 names=["doc_id", "keys"])
+
+        last, blocks = None, []
+        for batch in batches:
+            for part, *packed in zip(*(batch.column(c) for c in ("part", "keys", "ids", "counts")), strict=True):
+                if blocks and part.as_py() != last:
+                    yield from later(blocks)
+                    blocks = []
+                last = part.as_py()
+                keys, steps, counts = (x.as_buffer() for x in packed)
+                ids = np.cumsum(np.frombuffer(zlib.decompress(steps), np.int64))
+                blocks.append((np.frombuffer(keys, np.int64).copy(), np.repeat(ids, np.frombuffer(zlib.decompress(counts), np.int32))))
+        if blocks:
+            yield from later(blocks)
+
+    tasks = shuffle_parts(docs.sparkSession)
+    held = digests(docs, units, 2 * tasks).repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(run, "doc_id long, keys array<long>")
+    return held.groupBy(F.col("doc_id").alias(PREFIX + "key")).agg(F.flatten(F.collect_list("keys")).alias(PREFIX + "seen"))
+
+
+def repeated_windows(text: str, seen: set[int], min_words: int) -> list[tuple[int, int]]:
+    """(start, end) of runs of words that lie in windows which were seen, or which the text has further up without overlap."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    found = tokens(data, np.array([0, len(data)]))
+    keys = textvec.grams(found.hash, MIN_WORDS).view(np.int64)
+    if len(keys) == 0:
+        return []
+    _, first, which = np.unique(keys, return_index=True, return_inverse=True)
+    gone = np.arange(len(keys)) - first[which] >= MIN_WORDS
+    if seen:
+        gone |= np.isin(keys, np.fromiter(seen, np.int64, len(seen)))
+    at = np.flatnonzero(gone)
+    if len(at) == 0:
+        return []
+    breaks = np.flatnonzero(np.diff(at) > MIN_WORDS)
+    point = np.cumsum((data & 0xC0) != 0x80)
+    marks = lone(data)
+    # two code points of a script without spaces count as a word
+    measure = np.r_[0, np.cumsum(np.ones(len(found.start)) if marks is None else np.where(marks[0][found.start], 0.5, 1))]
+    out = []
+    for a, b in zip(at[np.r_[0, breaks + 1]].tolist(), (at[np.r_[breaks, len(at) - 1]] + MIN_WORDS).tolist(), strict=True):
+        if measure[b] - measure[a] >= min_words:
+            out.append((int(point[found.start[a]]) - 1, int(point[found.end[b - 1] - 1])))
+    return out
 
 
 def cut(text: str, seen: set[int], border: regex.Pattern, min_words: int) -> tuple[str, list[tuple[int, int]], int]:
     """The text without its repeated runs, their (start, end) in the given text, and how many units they held."""
-    units = split_units(text, border)
+    units = sentences(text, border)
     firsts = as_pair([d for _, _, d, _ in units])[:, 0].tolist() if units else []
     met: set[bytes] = set()
-    gone, runs, n = [], [], 0
+    gone = []
     for i, (_, _, digest, _) in enumerate(units):
         if firsts[i] in seen or digest in met:
             gone.append(i)
         met.add(digest)
-    spans, j = [], 0
+    runs, j = [], 0  # start, end, and where the kept text goes on
     while j < len(gone):
         k = j
         while k + 1 < len(gone) and gone[k + 1] == gone[k] + 1:
             k += 1
         if sum(units[i][3] for i in gone[j:k + 1]) >= min_words:
-            runs.append((gone[j], gone[k]))
-            n += k - j + 1
+            last = gone[k]
+            runs.append((units[gone[j]][0], units[last][1], units[last + 1][0] if last + 1 < len(units) else len(text)))
         j = k + 1
-    kept, at = [], 0
-    for first, last in runs:
-        begin, end = units[first][0], units[last][1]
-        spans.append((begin, end))
+    if whole_text(border):
+        for begin, end in repeated_windows(text, seen, min_words):
+            runs.append((begin, end, len(text) - len(text[end:].lstrip())))
+        runs.sort()
+    merged: list[tuple[int, int, int]] = []
+    for begin, end, on in runs:
+        if merged and begin <= merged[-1][2]:
+            before = merged.pop()
+            begin, end, on = before[0], max(end, before[1]), max(on, before[2])
+        merged.append((begin, end, on))
+    kept, at, n = [], 0, 0
+    for begin, end, on in merged:
         kept.append(text[at:begin])
-        at = units[last + 1][0] if last + 1 < len(units) else len(text)
+        at = on
+        n += max(1, sum(begin <= b and e <= end for b, e, _, _ in units))
     kept.append(text[at:])
-    return "".join(kept), spans, n
+    return "".join(kept), [(begin, end) for begin, end, _ in merged], n
 
 
 def deduplicate(docs: DataFrame, units: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
@@ -129,7 +273,7 @@ def deduplicate(docs: DataFrame, units: str = "sentence", min_words: int = MIN_W
             texts, spans, counts = [], [], []
             ids = batch.column(keyed)
             for text, known, key in zip(batch.column(at), batch.column(seen_at), ids, strict=True):
-                text, known = text.as_py(), set(known.as_py() or ())
+                text, known = text.as_py(), set(known.values.to_pylist() if known.is_valid else ())
                 if text is None or not key.is_valid:
                     texts.append(text)
                     spans.append([])

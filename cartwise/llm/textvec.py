@@ -100,8 +100,8 @@ def blocks(data: np.ndarray, borders: np.ndarray, size: int = BLOCK_BYTES) -> It
         r = e
 
 
-def words(data: np.ndarray, borders: np.ndarray, in_word: np.ndarray) -> Words:
-    """Words (runs of ``in_word`` bytes inside one row) of a block and their hashes."""
+def words(data: np.ndarray, borders: np.ndarray, in_word: np.ndarray, cuts: np.ndarray | None = None) -> Words:
+    """Words (runs of ``in_word`` bytes inside one row, cut before the bytes marked in ``cuts``) of a block and their hashes."""
     n = len(data)
     if n == 0:
         zero = np.zeros(0, np.int64)
@@ -111,6 +111,8 @@ def words(data: np.ndarray, borders: np.ndarray, in_word: np.ndarray) -> Words:
     begins[1:] &= ~inside[:-1]
     heads = borders[:-1][borders[:-1] < n]
     begins[heads] = inside[heads]
+    if cuts is not None:
+        begins |= cuts & inside
     ends = np.zeros(n + 1, dtype=bool)
     ends[1:n] = inside[:-1] & (~inside[1:] | begins[1:])
     ends[n] = inside[-1]

@@ -336,6 +336,22 @@ def test_passages_match_a_sequential_pass(spark):
     assert got == want
 
 
+def test_passages_without_borders_go_from_first_to_last_word(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 8)))
+    passage, chinese = " ".join(word() for _ in range(60)), "".join(chr(rng.randint(0x4E00, 0x9FA0)) for _ in range(60))
+    sides = [[" ".join(word() for _ in range(9)) for _ in range(2)] for _ in range(4)]
+    other = ["".join(chr(rng.randint(0x4E00, 0x9FA0)) for _ in range(20)) for _ in range(4)]
+    rows = [(1, f"{sides[0][0]} {passage} {sides[0][1]}"), (2, f"{sides[1][0]} {passage} {sides[1][1]}"),
+            (3, f"{sides[2][0]} {passage.upper()} {sides[2][1]}"), (4, f"{other[0]}{chinese}{other[1]}"), (5, f"{other[2]}{chinese}。{other[3]}"),
+            (6, f"{sides[3][0]} {' '.join(passage.split()[:7])} {sides[3][1]}")]
+    got = {r.doc_id: r for r in substring_dedup.deduplicate(cases.texts(spark, rows)).collect()}
+    assert [got[i].text for i in (1, 4, 6)] == [rows[i - 1][1] for i in (1, 4, 6)]
+    assert [got[i].text for i in (2, 3)] == [" ".join(s) for s in sides[1:3]]
+    assert got[5].text == f"{other[2]}。{other[3]}"
+    assert [(s.start, s.end) for s in got[5][substring_dedup.PREFIX + "removed"]] == [(20, 80)]
+
+
 def test_lines_and_paragraphs(spark):
     a, b = "one two three four five six seven eight nine", "x y z"
     rows = [(1, f"{a}\n{b}"), (2, f"{b}\n{a.upper()}\nend"), (3, f"{b}\n\n{a}")]
