@@ -9,9 +9,10 @@ last. For windows, a code point of a script without spaces is a word (half a
 word when a run is measured), and only ASCII letters change case. Units are
 normalised (lower case, single spaces) and hashed; the smallest doc_id that has
 a key keeps it (inside a document the first position does; windows that overlap
-their first position stay). Repeated units of a document go in runs: a run is
-removed if it has at least ``MIN_WORDS`` words, so that a short phrase which
-happens to recur is left alone.
+their first position stay). Repeated units of a document go in runs: a run of
+sentences is removed if it has at least ``MIN_WORDS`` words or ``WORD_POINTS``
+times as many code points, so that a short phrase which happens to recur is left
+alone. Whole lines and paragraphs have no minimum.
 
 Keys are 64 bits, shuffled packed (8 bytes and a share of a doc_id each) into
 parts that a task sorts one at a time. A document lists only keys that an
@@ -42,6 +43,8 @@ from cartwise.llm.common import id_text, shuffle_parts, ship, table
 ship(__name__)
 
 MIN_WORDS = 8
+#: Code points that count as a word where a run of units between borders has few spaces.
+WORD_POINTS = 6
 #: Keys that a task packs at once.
 PACK = 2 << 20
 PREFIX = "__substring_"
@@ -234,9 +237,10 @@ def cut(text: str, seen: set[int], border: regex.Pattern, min_words: int) -> tup
         k = j
         while k + 1 < len(gone) and gone[k + 1] == gone[k] + 1:
             k += 1
-        if sum(units[i][3] for i in gone[j:k + 1]) >= min_words:
-            last = gone[k]
-            runs.append((units[gone[j]][0], units[last][1], units[last + 1][0] if last + 1 < len(units) else len(text)))
+        first, last = gone[j], gone[k]
+        points = sum(len(text[b:e].strip()) for b, e, _, _ in units[first:last + 1])
+        if points >= WORD_POINTS * min_words or sum(u[3] for u in units[first:last + 1]) >= min_words:
+            runs.append((units[first][0], units[last][1], units[last + 1][0] if last + 1 < len(units) else len(text)))
         j = k + 1
     if whole_text(border):
         for begin, end in repeated_windows(text, seen, min_words):
@@ -257,8 +261,14 @@ def cut(text: str, seen: set[int], border: regex.Pattern, min_words: int) -> tup
     return "".join(kept), [(begin, end) for begin, end, _ in merged], n
 
 
-def deduplicate(docs: DataFrame, units: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
-    """All columns of ``docs`` with the text cut, and ``PREFIX`` columns: removed (start, end) spans and unit count."""
+def deduplicate(docs: DataFrame, units: str = "sentence", min_words: int | None = None) -> DataFrame:
+    """All columns of ``docs`` with the text cut, and ``PREFIX`` columns: removed (start, end) spans and unit count.
+
+    ``min_words`` is the least length of a run; if none is given, ``MIN_WORDS``
+    for sentences, and none for whole lines and paragraphs.
+    """
+    if min_words is None:
+        min_words = MIN_WORDS if units == "sentence" else 0
     seen = seen_earlier(docs, units)
     joined = docs.join(seen, F.col("doc_id").cast("long") == F.col(PREFIX + "key"), "left").drop(PREFIX + "key")
     plain = joined.toDF(*(f"c{i}" for i in range(len(joined.columns))))  # names with dots cannot be addressed

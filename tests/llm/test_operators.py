@@ -361,6 +361,19 @@ def test_lines_and_paragraphs(spark):
     assert got[1] == rows[0][1] and got[2] == rows[1][1] and got[3] == rows[2][1]
 
 
+def test_short_lines_and_lines_without_spaces_go(spark):
+    thai = "".join(chr(0x0E01 + i * 7 % 40) for i in range(30))
+    rows = [(1, f"home | about\n{thai}\nfirst text"), (2, f"home | about\nsecond text\n{thai}")]
+    for units, gap in (("line", "\n"), ("paragraph", "\n\n")):
+        given = [(i, t.replace("\n", gap)) for i, t in rows]
+        got = {r.doc_id: r.text for r in substring_dedup.deduplicate(cases.texts(spark, given), units=units).collect()}
+        assert got == {1: given[0][1], 2: "second text" + gap}
+    long = "".join(chr(0xAC00 + i * 131 % 11_000) for i in range(60))  # one word of a script with spaces
+    rows = [(1, f"{long}\nfirst text"), (2, f"{long}\nsecond text"), (3, f"{long[:20]}\nthird"), (4, f"{long[:20]}\nfourth")]
+    got = {r.doc_id: r.text for r in substring_dedup.deduplicate(cases.texts(spark, rows)).collect()}
+    assert got == dict(rows) | {2: "second text"}
+
+
 # ---- 10: urls
 
 def test_url_rules_and_terms():
