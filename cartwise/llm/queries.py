@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from cartwise.llm import bpe, chat_format, decontamination, ngram_join, quality_classifier, quality_rules, sharding, substring_dedup, toxicity, url_filters
+from cartwise.llm import (bpe, chat_format, decontamination, lexical_search, ngram_join, quality_classifier, quality_rules, sharding, simhash,
+                          source_audit, substring_dedup, toxicity, url_filters)
 
 QUERIES = {
     "op1_ngram_join": ngram_join.query,
@@ -15,9 +16,14 @@ QUERIES = {
     "op8_sharding": sharding.query,
     "op9_substring_dedup": substring_dedup.query,
     "op10_url_filters": url_filters.query,
+    "op11_source_audit": source_audit.query,
+    "op12_simhash": simhash.query,
+    "op13_lexical_search": lexical_search.query,
 }
 
 ORACLE = {
     "op4_decontamination": decontamination.ORACLE,
     "op10_url_filters": url_filters.oracle(),
+    "op11_source_audit": source_audit.ORACLE,
+    "op13_lexical_search": lexical_search.ORACLE,
 }
