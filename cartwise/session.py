@@ -70,6 +70,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a written intermediate table that no later step reads."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def materialize(df, name: str, partition_by: list[str] | None = None):
     """Write ``df`` as a parquet table under the shared checkpoint folder and read it back.
 

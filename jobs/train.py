@@ -28,6 +28,8 @@ def main(argv=None) -> None:
     ap.add_argument("--output", required=True)
     ap.add_argument("--kind", default="gbm", choices=["gbm", "glm", "rf"])
     ap.add_argument("--params", default="{}", help="JSON booster-style parameters")
+    ap.add_argument("--rounds", type=int, default=M.ROUNDS, help="boosting rounds at most")
+    ap.add_argument("--patience", type=int, default=M.PATIENCE, help="rounds without a better held-out loss that end boosting")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("cartwise-train").getOrCreate()
@@ -35,10 +37,15 @@ def main(argv=None) -> None:
     params = json.loads(args.params)
     frame = spark.read.parquet(os.path.join(args.frames, "train_frame"))
     train = materialize(M.validation_flag(M.vectorize(frame)), "train-vectors")
-    fit = {"gbm": lambda d: M.train_gbm(d, params), "glm": lambda d: M.train_glm(d, **params),
-           "rf": lambda d: M.train_rf(d, params)}[args.kind]
-    model = fit(train.where(~F.col("is_valid")))
-    model.write().overwrite().save(os.path.join(args.output, "model"))
+    where = os.path.join(args.output, "model")
+    if args.kind == "gbm":
+        model = M.train_gbm(train, {"num_boost_round": args.rounds, **params}, "is_valid", args.patience)
+        model.save(spark, where)
+        M.loss_history(spark, model).write.mode("overwrite").json(os.path.join(args.output, "loss_history"))
+    else:
+        rows = train.where(~F.col("is_valid"))
+        model = M.train_glm(rows, **params) if args.kind == "glm" else M.train_rf(rows, params)
+        model.write().overwrite().save(where)
     # scored once, read by every metric
     valid = materialize(M.score(model, train.where(F.col("is_valid"))).withColumnRenamed("label", "reordered")
                         .withColumn("reordered", F.col("reordered").cast("int")), "valid-scores")

@@ -69,24 +69,18 @@ def test_cluster_without_shared_folder_is_an_error():
 
 
 def test_every_booster_parameter_is_mapped_or_refused():
-    given = {"max_depth": 6, "eta": 0.1, "gamma": 0.7, "subsample": 0.76, "colsample_bytree": 0.95, "colsample_bylevel": 0.5,
+    given = {"max_depth": 6, "eta": 0.1, "gamma": 0, "subsample": 0.76, "colsample_bytree": 0.95, "colsample_bylevel": 0.5,
              "min_child_weight": 10, "verbose": 1, "silent": 1, "lambda": 0, "objective": "binary:logistic"}
     got = M.spark_params(given)
-    assert got == {"maxDepth": 6, "stepSize": 0.1, "minInfoGain": 0.7, "subsamplingRate": 0.76, "minInstancesPerNode": 10,
+    assert got == {"maxDepth": 6, "stepSize": 0.1, "subsamplingRate": 0.76, "minInstancesPerNode": 10,
                    "featureSubsetStrategy": str(0.95 * 0.5)}
-    for name in ("lambda", "alpha", "reg_lambda"):
+    for name in ("lambda", "alpha", "reg_lambda", "gamma"):
         with pytest.raises(ValueError, match=name):
             M.spark_params({name: 10})
     with pytest.raises(ValueError, match="no_such"):
         M.spark_params({"no_such": 1})
 
 
-def test_patience_keeps_the_best_round():
-    assert M.best_round([0.9, 0.8, 0.7, 0.75, 0.74, 0.73, 0.1], patience=3) == 3
-    assert M.best_round([0.9, 0.8, 0.7, 0.75, 0.6], patience=3) == 5
-    assert M.best_round([0.5], patience=30) == 1
-
-
 def test_a_repeated_candidate_is_refused(spark):
     rows = spark.createDataFrame([(1, 7, 0.5), (1, 7, 0.4), (1, 8, 0.3)], "user_id long, product_id long, p double")
     with pytest.raises(Exception, match="an item twice"):

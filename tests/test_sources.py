@@ -45,3 +45,21 @@ def test_jobs_end_to_end(spark, tmp_path):
     baskets = spark.read.parquet(str(tmp_path / "out" / "baskets"))
     test_users = spark.read.parquet(str(tmp_path / "frames" / "test_frame")).select("user_id").distinct().count()
     assert baskets.count() == test_users
+
+
+def test_saved_booster_scores_a_new_frame(spark, tmp_path):
+    import os
+    import sys
+    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "jobs"))
+    import build_dataset
+    import score
+    import train
+    from conftest import SF_SMALL
+    frames, out = str(tmp_path / "frames"), str(tmp_path / "out")
+    build_dataset.main(["--input", SF_SMALL, "--output", frames, "--leak-free"])
+    train.main(["--frames", frames, "--output", out, "--rounds", "6", "--patience", "2", "--params", '{"max_depth": 2, "lambda": 2}'])
+    history = spark.read.json(out + "/loss_history")
+    assert 1 <= history.where("kept").count() <= history.count() <= 6
+    score.main(["--model", out + "/model", "--frame", frames + "/test_frame", "--output", out + "/scores"])
+    scores = spark.read.parquet(out + "/scores")
+    assert scores.count() == spark.read.parquet(frames + "/test_frame").count() and scores.where("p > 0 AND p < 1").count() == scores.count()
