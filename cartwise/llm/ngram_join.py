@@ -1,7 +1,7 @@
 r"""N-gram Jaccard self-join by set-relation skipping, and the components of its links.
 
-A document's set holds its distinct 5-word shingles (64-bit hashes); two link
-when ``100 * |intersection| >= 80 * |union|``. Equal sets form one class, told by
+A document's set holds its distinct 5-word shingles (64-bit hashes, A-Z
+lower-cased); two link when ``100 * |intersection| >= 80 * |union|``. Equal sets form one class, told by
 a 64-bit digest; all work below is on classes, so copies cost nothing.
 
 Index. Shingles have one global order: rare ones by hash, then the most
@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwise.llm import textvec
-from cartwise.llm.common import Scratch, id_text, shuffle_parts, ship, table
+from cartwise.llm.common import Scratch, annotate, id_text, shuffle_parts, ship, table
 from cartwise.llm.components import components
 
 ship(__name__)
@@ -64,15 +64,18 @@ CLASS_MEMORY = 1 << 18
 LEADS = 2
 #: Entries from which on a list's pairs are first held against all that the two classes share.
 LONG_LIST = 16
-#: Rows up to which the list of wanted documents is broadcast; beyond, it is joined by a shuffle.
-BROADCAST_ROWS = 1 << 20
+#: Entries from which on a list is cut into blocks; every pair of blocks is a group of its own.
+SPLIT_LIST = 1 << 12
+#: Pairs, and numbers of a dense block, that a task looks at together.
+PAIRS_AT_ONCE = 1 << 18
+DENSE_CELLS = 1 << 21
 
 
 def row_sets(text) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of every row of an Arrow string column."""
     data, borders = textvec.column(text)
     for _, block, edges in textvec.blocks(data, borders):
-        found = textvec.words(block, edges, textvec.NOT_SPACE)
+        found = textvec.words(textvec.LOWER[block], edges, textvec.NOT_SPACE)
         grams = textvec.grams(found.hash, SHINGLE)
         for a, b in zip(found.first[:-1].tolist(), found.first[1:].tolist(), strict=True):
             if b - a >= SHINGLE:
@@ -216,7 +219,6 @@ def shared_lists(entries: DataFrame) -> DataFrame:
 def texts_of(classes: DataFrame, members: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     """(cls, text): the text of one document of each class, written once for all comparisons."""
     ids = scratch.write(members.join(classes, "cls").groupBy("cls").agg(F.min("doc_id").alias("doc_id")), "ids")
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
     # rows that share a doc_id may be of other classes: those are told apart by their class when compared
     return scratch.write(docs.join(ids, "doc_id").select("cls", "text"), "texts")
 
@@ -273,7 +275,7 @@ class Shared:
         held = common[inverse]
         self.row = np.repeat(np.arange(len(arrays)), [len(x) for x in arrays])[held]
         self.column = (np.cumsum(common) - 1)[inverse[held]]
-        self.block = max(64, (1 << 23) // max(1, len(self.values)))
+        self.block = max(64, DENSE_CELLS // max(1, len(self.values)))
 
     def dense(self, a: int, b: int, width: int) -> np.ndarray:
         x, y = np.searchsorted(self.row, (a, b))
@@ -298,8 +300,9 @@ class Shared:
 def cross_pairs(rows: DataFrame) -> DataFrame:
     """Pairs of one list in different components that sizes, positions and known overlaps leave open.
 
-    Input columns: token, cls, n, pos, comp, leader, overlap, leader_n (the last
-    three null where a class was compared with no leader). ``sure`` marks pairs
+    Input columns: cell, side, token, cls, n, pos, comp, leader, overlap, leader_n (the last
+    three null where a class was compared with no leader). A cell is a list or two blocks
+    of a long one: rows of side -1 meet all others, those of a side only other sides. ``sure`` marks pairs
     that the lower bound links. In long lists ``open`` and ``long`` hold the shingles
     that a class has in any open and in any long list: pairs that share too few
     are left out, the others make one row, in the first long list that they
@@ -307,10 +310,10 @@ def cross_pairs(rows: DataFrame) -> DataFrame:
     """
     schema = "a long, b long, a_n int, b_n int, a_pos int, b_pos int, sure boolean, times int"
 
-    def pairs_of(token, n, pos, cls, comp, leader, over, lead_n, opened, lengthy) -> Iterator[pa.RecordBatch]:
+    def pairs_of(_, side, token, n, pos, cls, comp, leader, over, lead_n, opened, lengthy) -> Iterator[pa.RecordBatch]:
         m = len(cls)
         by_open, by_long = (Shared(opened), Shared(lengthy)) if m > 1 and opened[0] is not None else (None, None)
-        step = max(1, (1 << 20) // m)
+        step = max(1, PAIRS_AT_ONCE // m)
         if by_open is not None:
             step = max(1, min(step, by_open.block, by_long.block))
         for i0 in range(0, m - 1, step):
@@ -322,7 +325,7 @@ def cross_pairs(rows: DataFrame) -> DataFrame:
             left = np.repeat(i, counts)
             right = np.arange(len(left)) - np.repeat(np.cumsum(counts) - counts, counts) + left + 1
             need = needed_overlap(n[left] + n[right])
-            ok = (comp[left] != comp[right]) & (np.minimum(pos[left], pos[right]) + np.minimum(n[left] - pos[left], n[right] - pos[right]) >= need)
+            ok = (comp[left] != comp[right]) & ((side[left] < 0) | (side[left] != side[right])) & (np.minimum(pos[left], pos[right]) + np.minimum(n[left] - pos[left], n[right] - pos[right]) >= need)
             most = np.minimum(n[left], n[right])
             same = (leader[left] == leader[right]) & (over[left] >= 0) & (over[right] >= 0)
             bound = np.minimum(over[left] + n[right] - over[right], over[right] + n[left] - over[left])
@@ -349,7 +352,7 @@ def cross_pairs(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
-            cols = [batch.column(c).fill_null(-1).to_numpy().astype(np.int64) for c in ("token", "n", "pos", "cls", "comp", "leader", "overlap", "leader_n")]
+            cols = [batch.column(c).fill_null(-1).to_numpy().astype(np.int64) for c in ("cell", "side", "token", "n", "pos", "cls", "comp", "leader", "overlap", "leader_n")]
             for name in ("open", "long"):
                 arrays = np.empty(batch.num_rows, object)
                 arrays[:] = [v.values.to_numpy() if v.is_valid else None for v in batch.column(name)]
@@ -366,7 +369,25 @@ def cross_pairs(rows: DataFrame) -> DataFrame:
             yield from pairs_of(*rest)
 
     parts = shuffle_parts(rows.sparkSession)
-    return rows.repartition(parts, "token").sortWithinPartitions("token", "n", "pos", "cls").mapInArrow(run, schema)
+    return rows.repartition(parts, "cell").sortWithinPartitions("cell", "n", "pos", "cls").mapInArrow(run, schema)
+
+
+def cells(rows: DataFrame, split: int) -> DataFrame:
+    """``rows`` of entries with their list's ``size``, placed in cells (``cell``, ``side``).
+
+    A list of up to ``split`` entries is one cell. A longer one is cut into bands of set sizes (linked
+    sets are in one band or in neighbours, as 1.3 > 5 / 4) and blocks by hash; a cell holds two blocks of
+    one band, or one block each of two neighbours, so every pair that may link meets once.
+    """
+    rows = (rows.withColumn("blocks", F.ceil(F.col("size") / split)).withColumn("band", F.floor(F.log("n") / math.log(1.3)))
+            .withColumn("part", F.pmod(F.xxhash64("cls", "token"), F.col("blocks"))))
+    whole = "array(named_struct('cell', token, 'side', -1))"
+    meets = ("flatten(transform(sequence(0L, blocks - 1), x -> array("
+             "named_struct('cell', xxhash64(token, band, band, least(x, part), greatest(x, part)), 'side', if(x = part, -1, if(x < part, 1, 0))), "
+             "named_struct('cell', xxhash64(token, band, band + 1, part, x), 'side', 0), "
+             "named_struct('cell', xxhash64(token, band - 1, band, x, part), 'side', 1))))")
+    placed = rows.withColumn("at", F.explode(F.expr(f"if(blocks = 1, {whole}, {meets})")))
+    return placed.select("*", "at.cell", "at.side").drop("at", "blocks", "band", "part")
 
 
 def candidates(met: DataFrame) -> DataFrame:
@@ -431,7 +452,7 @@ def links(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
         F.sort_array(F.collect_list("token")).alias("open"), F.sort_array(F.collect_list(F.when(long_list, F.col("token")))).alias("long"))
     none = F.lit(None).cast("array<long>")
     rows = rows.where(~long_list).withColumn("open", none).withColumn("long", none).unionByName(rows.where(long_list).join(held, "cls"))
-    met = cross_pairs(rows.join(best, "cls", "left"))
+    met = cross_pairs(cells(rows.join(best, "cls", "left"), SPLIT_LIST))
     # positions are those of one shared list, at most the last one's: the bound stays an upper one
     found = met.groupBy("a", "b", "a_n", "b_n").agg(F.sum("times").cast("int").alias("common"), F.max("a_pos").alias("a_pos"),
                                                     F.max("b_pos").alias("b_pos"), F.max("sure").alias("sure"))
@@ -452,24 +473,49 @@ def links(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     return members, comps
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document."""
-    docs = id_text(docs)
+def judged(docs: DataFrame) -> DataFrame:
+    """doc_id, n, cls (null: an empty set or a null id) and component_id of every document."""
     scratch = Scratch(docs.sparkSession, "ngram-join")
     members, comps = links(docs, scratch)
     named = members.join(comps, "cls", "left").withColumn("top", F.coalesce("comp", "cls"))
     least = named.where("top IS NOT NULL").groupBy("top").agg(F.min("doc_id").alias("least"))
-    return named.join(least, "top", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
+    return named.join(least, "top", "left").select("doc_id", "n", "cls", F.coalesce("least", "doc_id").alias("component_id"))
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id of every document."""
+    return judged(id_text(docs)).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
+
+
+def class_column(docs: DataFrame) -> DataFrame:
+    """``docs`` with the digest of each row's shingles (null: an empty set)."""
+    def make():
+        return lambda text: [pa.array([class_of(own) if len(own) else None for own in row_sets(text)], pa.int64())]
+
+    return annotate(docs, "__ngram_", "cls long", make)
 
 
 def clean_documents(docs: DataFrame) -> DataFrame:
-    """The documents, all columns, without those whose component has a smaller id; of a repeated doc_id one row stays."""
-    found = jaccard_components(docs)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__ngram_key")).distinct()
-    kept = docs.join(gone, F.col("doc_id").cast("long") == F.col("__ngram_key"), "left_anti")
-    if found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept
-    return kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id IS NULL"))
+    """The documents, all columns, without those whose component has a smaller id.
+
+    Rows with one doc_id are judged by their own texts: of those with equal sets one row stays (if the
+    component keeps any), those with other sets are told apart by their class. Rows with a null doc_id stay.
+    """
+    found = judged(id_text(docs)).where("doc_id IS NOT NULL")
+    # the classes of an id; rows without a class (empty sets) are components of their own
+    per_class = found.groupBy("doc_id", "cls").agg(F.min("component_id").alias("component_id"), F.count("*").alias("copies"))
+    odd = per_class.where("doc_id <> component_id OR copies > 1").select(
+        F.col("doc_id").alias("__ngram_key"), F.col("cls").alias("__ngram_of"), (F.col("doc_id") != F.col("component_id")).alias("__ngram_gone"))
+    odd = Scratch(docs.sparkSession, "ngram-odd").write(odd, "odd")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    marked = class_column(docs)
+    same = (F.col("doc_id").cast("long") == F.col("__ngram_key")) & F.col("__ngram_cls").eqNullSafe(F.col("__ngram_of"))
+    kept = marked.join(odd.where("__ngram_gone"), same, "left_anti")
+    repeated = odd.where("NOT __ngram_gone")
+    if repeated.isEmpty():
+        return kept.select(*columns)
+    once = kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "__ngram_cls"])
+    return kept.join(repeated, same, "left_anti").unionByName(once).select(*columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,6 +24,7 @@ from cartwise.llm import (bpe, chat_format, components, decontamination, ngram_j
 from cartwise.llm.common import Scratch  # noqa: E402
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def table(name, sf=SF_CHECK):
@@ -50,7 +51,7 @@ def test_matches_sql(spark, name):
 # ---- 1: join
 
 def shingles(text):
-    w = WORD.findall(text or "")
+    w = WORD.findall((text or "").translate(ASCII_LOWER))
     return frozenset(tuple(w[i:i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
 
 
@@ -96,11 +97,29 @@ def test_join_borderline_groups(spark, monkeypatch, hot):
     docs = cases.texts(spark, rows)
     if hot:
         monkeypatch.setattr(ngram_join, "LONG_LIST", 2)
+        monkeypatch.setattr(ngram_join, "SPLIT_LIST", 3)
         monkeypatch.setattr(ngram_join, "hot_shingles", lambda d, f=ngram_join.hot_shingles: f(d, most=500, in_task=1, in_all=3))
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(docs).collect()}
     assert got == brute_components(rows)
 
 
+def test_join_ignores_ascii_case_only(spark):
+    words = [f"Wort{i}" for i in range(30)]
+    rows = [(1, " ".join(words)), (2, " ".join(words).upper()), (3, " ".join(words).lower()), (4, "ÉTÉ a b c d"), (5, "été a b c d"), (6, "ÉTÉ A B C D")]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(cases.texts(spark, rows)).collect()}
+    assert got == brute_components(rows) == {1: (26, 1), 2: (26, 1), 3: (26, 1), 4: (1, 4), 5: (1, 5), 6: (1, 4)}
+
+
+def test_clean_documents_judges_repeated_ids_by_their_texts(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(12)) for c in "xyz")
+    rows = [(3, one), (7, one), (7, two), (8, two), (8, three), (8, three), (9, None), (9, ""), (9, one), (None, one), (None, one)]
+    got = sorted((str(r.doc_id), str(r.text)) for r in ngram_join.clean_documents(cases.texts(spark, rows)).collect())
+    want = [(3, one), (7, two), (8, three), (None, one), (None, one)]
+    empty = [t for i, t in got if i == "9"]
+    assert [r for r in got if r[0] != "9"] == sorted((str(i), str(t)) for i, t in want)
+    assert len(empty) == 1 and empty[0] in ("None", "")
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (200, 199), (199, 200)]
     got = components.components(spark.createDataFrame(edges, "u long, v long"), Scratch(spark, "t-cc")).collect()
