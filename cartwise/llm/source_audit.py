@@ -11,7 +11,7 @@ apart is an integer (``shares``, ``apart``).
    on average). One task a shard builds a minimal perfect hash: level after level
    of bits, a key that is alone on its bit stays, the rest go on; a key's slot is the
    number of bits before its own. The shard stores its keys in slot order.
-3. Recount: shards are broadcast, at most ``PASS_SHARDS`` at a time. The words of
+3. Recount: shards are broadcast, about ``PASS_TERMS`` terms at a time. The words of
    each (lang, source) group are looked up in blocks; a slot counts only if its
    stored key is the word itself. Every group has a dense array of slots, which the
    counts are added to; arrays leave a task as (slot, count) lists when they hold
@@ -51,7 +51,8 @@ MIN_DOCS = 10
 TOP = 10
 TABLE_TERMS = 1 << 18
 SHARD_TERMS = 1 << 12
-PASS_SHARDS = 128
+#: Terms broadcast at once, on average (shards are dealt by hash); they fix the number of shards in a pass.
+PASS_TERMS = 1 << 19
 DENSE_CELLS = 1 << 23
 #: Positions of a level for each key that reaches it.
 SPARSITY = 1.5
@@ -223,11 +224,11 @@ class Index:
 
 
 def recount(docs: DataFrame, shards: int, loaded: list[tuple], cells: int = DENSE_CELLS) -> DataFrame:
-    """(lang, source, shard, slot, n): partial counts of one pass. ``loaded``: rows of ``SHARD``, at most ``PASS_SHARDS``."""
+    """(lang, source, shard, slot, n): partial counts of one pass. ``loaded``: the rows of ``SHARD`` of this pass."""
     by_lang: dict[str, list[tuple]] = {}
     for lang, *own in loaded:
         by_lang.setdefault(lang, []).append(tuple(own))
-    shared = docs.sparkSession.sparkContext.broadcast(by_lang)  # size: about PASS_SHARDS x SHARD_TERMS terms
+    shared = docs.sparkSession.sparkContext.broadcast(by_lang)  # size: about PASS_TERMS terms
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = {lang: Index(own, shards) for lang, own in shared.value.items()}
@@ -313,7 +314,7 @@ def compare(cells: pa.Table, shard: pa.Table) -> pa.Table:
                     names=["lang", "part", "source", "item", "value"])
 
 
-def audit(docs: DataFrame, min_docs: int = MIN_DOCS, shard_terms: int = SHARD_TERMS, pass_shards: int = PASS_SHARDS) -> DataFrame:
+def audit(docs: DataFrame, min_docs: int = MIN_DOCS, shard_terms: int = SHARD_TERMS, pass_terms: int = PASS_TERMS) -> DataFrame:
     """lang, source, part, item, value and rank: every pair of sources of a language, and the terms that set a source apart."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "source-audit")
@@ -321,7 +322,8 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, shard_terms: int = SHARD_TE
     groups = docs.select("lang", "source").distinct()
     counted = document_counts(docs).groupBy("lang", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs)
     kept = scratch.write(counted.select("lang", "term"), "kept")
-    shards = -(-kept.count() // shard_terms)
+    n_kept = kept.count()
+    shards = -(-n_kept // shard_terms)
     pairs = groups.join(groups.withColumnRenamed("source", "item"), "lang").where("source <> item")
     place = Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item")
     if not shards:
@@ -329,6 +331,7 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, shard_terms: int = SHARD_TE
         return nothing.withColumn("rank", F.row_number().over(place))
 
     built = scratch.write(build_shards(kept, shards), "shards")
+    pass_shards = max(1, built.count() * pass_terms // n_kept)
     numbered = built.select("lang", "shard").withColumn("turn", F.floor((F.row_number().over(Window.orderBy("shard", "lang")) - 1) / pass_shards).cast("int"))
     turns = scratch.write(numbered, "turns")  # one small row a shard
     counts = None

@@ -191,7 +191,7 @@ def audited(df):
     return {(r.lang, r.source, r.part, r.item, r.value, r["rank"]) for r in df.collect()}
 
 
-@pytest.mark.parametrize("bounds", [{}, {"shard_terms": 40, "pass_shards": 3}])
+@pytest.mark.parametrize("bounds", [{}, {"shard_terms": 40, "pass_terms": 60}])
 def test_audit_against_brute_force(spark, monkeypatch, bounds):
     if bounds:  # many shards, passes and flushes
         monkeypatch.setattr(source_audit, "TABLE_TERMS", 50)
