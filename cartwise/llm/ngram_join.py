@@ -64,6 +64,8 @@ CLASS_MEMORY = 1 << 18
 LEADS = 2
 #: Entries from which on a list's pairs are first held against all that the two classes share.
 LONG_LIST = 16
+#: Rows up to which the list of wanted documents is broadcast; beyond, it is joined by a shuffle of the texts.
+BROADCAST_ROWS = 1 << 20
 #: Entries from which on a list is cut into blocks; every pair of blocks is a group of its own.
 SPLIT_LIST = 1 << 12
 #: Pairs, and numbers of a dense block, that a task looks at together.
@@ -219,6 +221,7 @@ def shared_lists(entries: DataFrame) -> DataFrame:
 def texts_of(classes: DataFrame, members: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     """(cls, text): the text of one document of each class, written once for all comparisons."""
     ids = scratch.write(members.join(classes, "cls").groupBy("cls").agg(F.min("doc_id").alias("doc_id")), "ids")
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
     # rows that share a doc_id may be of other classes: those are told apart by their class when compared
     return scratch.write(docs.join(ids, "doc_id").select("cls", "text"), "texts")
 

@@ -2,15 +2,18 @@ r"""Substring dedup by hashing text units: the earliest occurrence of a unit sta
 
 A unit is a line, or with ``units="sentence"`` (the default) a sentence of a
 line: a line is cut after ``.``, ``!`` or ``?`` and before a capitalised word.
-With sentences, every window of ``MIN_WORDS`` words of a text is a unit as well,
-because a passage pasted into the middle of a line need not hold a border: all
-words of a passage that lie in a repeated window go, from its first word to its
-last. For windows, a code point of a script without spaces is a word (half a
+A passage pasted into the middle of a line need not hold such a border. So texts are also
+cut where their words alone say so: before a word whose hash (of it and the next word) is
+smaller than those of the ``REACH`` words on either side. Such pieces have at least ``REACH`` + 1
+words, 7 on average, and are cut alike wherever the passage stands; two adjacent
+pieces, so 8 words or more, are a unit. Of a passage without sentence borders everything
+between its first and its last own cut goes; on average 6 words at either end stay.
+For pieces, a code point of a script without spaces is a word (half a
 word when a run is measured), and only ASCII letters change case. Units are
 normalised (lower case, single spaces) and hashed; the smallest doc_id that has
-a key keeps it (inside a document the first position does; windows that overlap
-their first position stay). Repeated units of a document go in runs: a run of
-sentences is removed if it has at least ``MIN_WORDS`` words or ``WORD_POINTS``
+a key keeps it (inside a document the first position does; units that overlap
+their first position stay). Repeated units of a document go in runs: a run
+is removed if it has at least ``MIN_WORDS`` words or ``WORD_POINTS``
 times as many code points, so that a short phrase which happens to recur is left
 alone. Whole lines and paragraphs have no minimum.
 
@@ -20,8 +23,10 @@ earlier document has, never another document's text. A key that every document
 has costs its part 16 bytes a document.
 
 Defined results: null text stays null and has no units; a text may become
-empty. Rows of one doc_id rank together, so repeated rows keep the same units;
-rows with a null doc_id are left as they are and rank nowhere.
+empty; texts of any length are read whole, one batch of them at a time; an empty table gives an
+empty result. Rows of one doc_id rank together, so repeated rows keep the same units;
+rows with a null doc_id are left as they are and rank nowhere. A column of ``docs`` that begins
+with ``__substring_`` is refused.
 """
 
 from __future__ import annotations
@@ -43,6 +48,8 @@ from cartwise.llm.common import id_text, shuffle_parts, ship, table
 ship(__name__)
 
 MIN_WORDS = 8
+#: Words on either side that a cut inside a text is the smallest of.
+REACH = 3
 #: Code points that count as a word where a run of units between borders has few spaces.
 WORD_POINTS = 6
 #: Keys that a task packs at once.
@@ -93,24 +100,57 @@ def whole_text(border: regex.Pattern) -> bool:
     return border.pattern == BORDERS["sentence"]
 
 
-def window_keys(values: pa.Array) -> Iterator[np.ndarray]:
-    """The keys of all windows of ``MIN_WORDS`` words, text by text."""
+def pieces(found: textvec.Words) -> tuple[np.ndarray, np.ndarray]:
+    """Where the pieces of a block's texts begin (word numbers), and the row of each."""
+    n, rows = len(found.hash), np.repeat(np.arange(len(found.first) - 1), np.diff(found.first))
+    if n == 0:
+        return np.zeros(0, np.int64), rows
+    score = np.r_[textvec.grams(found.hash, 2), np.uint64(0)]
+    score[found.first[1:][np.diff(found.first) > 0] - 1] = 0  # a text's last word has no next one: no cut within its reach
+    low = np.ones(n, bool)
+    for d in range(1, REACH + 1):  # the words on both sides exist, and score higher
+        less = (rows[:-d] == rows[d:]) & (score[:-d] < score[d:])
+        more = (rows[:-d] == rows[d:]) & (score[:-d] > score[d:])
+        low &= np.r_[less, np.zeros(min(d, n), bool)] & np.r_[np.zeros(min(d, n), bool), more]
+    low[found.first[:-1][np.diff(found.first) > 0]] = True
+    begin = np.flatnonzero(low)
+    return begin, rows[begin]
+
+
+def text_units(found: textvec.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first word, last word + 1 and key of each unit of a block: two adjacent pieces, or a text that is one piece."""
+    begin, row = pieces(found)
+    if len(begin) == 0:
+        return begin, begin, begin, np.zeros(0, np.int64)
+    end = np.r_[begin[1:], len(found.hash)]
+    at = np.arange(len(found.hash)) - np.repeat(begin, end - begin)
+    key = textvec.mix(np.add.reduceat(found.hash * textvec.powers("word", int(at.max()) + 1)[at], begin) + (end - begin).astype(np.uint64))
+    both = np.r_[row[1:] == row[:-1], False]
+    alone = ~both & ~np.r_[False, both[:-1]] & (end - begin >= MIN_WORDS)
+    keys = np.where(both, np.r_[textvec.grams(key, 2), np.uint64(0)], key)
+    last = np.where(both, np.r_[end[1:], 0], end)
+    use = both | alone
+    return row[use], begin[use], last[use], keys[use].view(np.int64)
+
+
+def text_keys(values: pa.Array) -> Iterator[np.ndarray]:
+    """The keys of all such units, text by text."""
     for _, block, edges in textvec.blocks(*textvec.column(values)):
-        found = tokens(block, edges)
-        grams = textvec.grams(found.hash, MIN_WORDS).view(np.int64)
-        for a, b in zip(found.first[:-1].tolist(), found.first[1:].tolist(), strict=True):
-            yield grams[a:max(a, b - MIN_WORDS + 1)]
+        row, _, _, keys = text_units(tokens(block, edges))
+        first = np.searchsorted(row, np.arange(len(edges)))
+        for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+            yield keys[a:b]
 
 
 def split_units(text: str, border: regex.Pattern) -> list[tuple[int, int, bytes, int]]:
-    """Start, end, digest and word count of each unit: those between borders, then the windows."""
+    """Start, end, digest and word count of each unit: those between borders, then those between its own cuts."""
     out = sentences(text, border)
     if whole_text(border):
         data = np.frombuffer(text.encode(), np.uint8)
         found = tokens(data, np.array([0, len(data)]))
         point = np.cumsum((data & 0xC0) != 0x80)  # code points up to and with each byte
-        out += [(int(point[b]) - 1, int(point[e - 1]), key.tobytes(), MIN_WORDS) for b, e, key in
-                zip(found.start, found.end[MIN_WORDS - 1:], textvec.grams(found.hash, MIN_WORDS), strict=False)]
+        out += [(int(point[found.start[b]]) - 1, int(point[found.end[e - 1] - 1]), key.tobytes(), e - b)
+                for _, b, e, key in zip(*(x.tolist() if i < 3 else x for i, x in enumerate(text_units(found))), strict=True)]
     return out
 
 
@@ -141,7 +181,7 @@ def digests(docs: DataFrame, units: str, parts: int) -> DataFrame:
         keys, ids, counts, size = [], [], [], 0
         for batch in batches:
             texts = batch.column("text")
-            windows = window_keys(texts) if whole_text(border) else [np.zeros(0, np.int64)] * len(texts)
+            windows = text_keys(texts) if whole_text(border) else [np.zeros(0, np.int64)] * len(texts)
             for text, doc_id, own in zip(texts, batch.column("doc_id").to_pylist(), windows, strict=True):
                 found = sentences(text.as_py(), border)
                 if found:
@@ -160,7 +200,7 @@ def digests(docs: DataFrame, units: str, parts: int) -> DataFrame:
 
 
 def seen_earlier(docs: DataFrame, units: str) -> DataFrame:
-    """For each document that has any: the keys of its units that a smaller doc_id has."""
+    """For each document that has any: the keys of its units that a smaller doc_id has, one row a key before they are listed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def later(blocks):
             keys, ids = (np.concatenate(x) for x in zip(*blocks, strict=True))
@@ -169,14 +209,11 @@ def seen_earlier(docs: DataFrame, units: str) -> DataFrame:
             heads = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
             late = ids > np.repeat(np.minimum.reduceat(ids, heads), np.diff(np.r_[heads, len(keys)]))
             keys, ids = keys[late], ids[late]
-            order = np.argsort(ids, kind="stable")
+            new = np.ones(len(keys), bool)
+            order = np.lexsort((ids, keys))
             keys, ids = keys[order], ids[order]
-            heads = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]][:len(ids)])
-            for a in range(0, len(heads), 10_000):
-                own = heads[a:a + 10_000]
-                edges = np.r_[own, heads[a + 10_000] if a + 10_000 < len(heads) else len(ids)]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[own]), pa.ListArray.from_arrays(pa.array((edges - edges[0]).astype(np.int32)), pa.array(keys[edges[0]:edges[-1]]))],
-                                                 names=["doc_id", "keys"])
+            new[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])  # once for a document that has a key often
+            yield pa.RecordBatch.from_arrays([pa.array(ids[new]), pa.array(keys[new])], names=["doc_id", "key"])
 
         last, blocks = None, []
         for batch in batches:
@@ -192,31 +229,31 @@ def seen_earlier(docs: DataFrame, units: str) -> DataFrame:
             yield from later(blocks)
 
     tasks = shuffle_parts(docs.sparkSession)
-    held = digests(docs, units, 2 * tasks).repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(run, "doc_id long, keys array<long>")
-    return held.groupBy(F.col("doc_id").alias(PREFIX + "key")).agg(F.flatten(F.collect_list("keys")).alias(PREFIX + "seen"))
+    held = digests(docs, units, 2 * tasks).repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(run, "doc_id long, key long")
+    return held.groupBy(F.col("doc_id").alias(PREFIX + "key")).agg(F.collect_list("key").alias(PREFIX + "seen"))
 
 
 def repeated_windows(text: str, seen: set[int], min_words: int) -> list[tuple[int, int]]:
-    """(start, end) of runs of words that lie in windows which were seen, or which the text has further up without overlap."""
+    """(start, end) of runs of words that lie in units which were seen, or which the text has further up without overlap."""
     data = np.frombuffer(text.encode(), np.uint8)
     found = tokens(data, np.array([0, len(data)]))
-    keys = textvec.grams(found.hash, MIN_WORDS).view(np.int64)
+    _, begin, end, keys = text_units(found)
     if len(keys) == 0:
         return []
     _, first, which = np.unique(keys, return_index=True, return_inverse=True)
-    gone = np.arange(len(keys)) - first[which] >= MIN_WORDS
+    gone = begin >= end[first[which]]
     if seen:
         gone |= np.isin(keys, np.fromiter(seen, np.int64, len(seen)))
-    at = np.flatnonzero(gone)
-    if len(at) == 0:
+    if not gone.any():
         return []
-    breaks = np.flatnonzero(np.diff(at) > MIN_WORDS)
+    begin, end = begin[gone], end[gone]
+    breaks = np.flatnonzero(begin[1:] > end[:-1])
     point = np.cumsum((data & 0xC0) != 0x80)
     marks = lone(data)
     # two code points of a script without spaces count as a word
     measure = np.r_[0, np.cumsum(np.ones(len(found.start)) if marks is None else np.where(marks[0][found.start], 0.5, 1))]
     out = []
-    for a, b in zip(at[np.r_[0, breaks + 1]].tolist(), (at[np.r_[breaks, len(at) - 1]] + MIN_WORDS).tolist(), strict=True):
+    for a, b in zip(begin[np.r_[0, breaks + 1]].tolist(), end[np.r_[breaks, len(end) - 1]].tolist(), strict=True):
         if measure[b] - measure[a] >= min_words:
             out.append((int(point[found.start[a]]) - 1, int(point[found.end[b - 1] - 1])))
     return out
@@ -269,6 +306,8 @@ def deduplicate(docs: DataFrame, units: str = "sentence", min_words: int | None
     """
     if min_words is None:
         min_words = MIN_WORDS if units == "sentence" else 0
+    if any(c.lower().startswith(PREFIX) for c in docs.columns):
+        raise ValueError(f"a column begins with {PREFIX}")
     seen = seen_earlier(docs, units)
     joined = docs.join(seen, F.col("doc_id").cast("long") == F.col(PREFIX + "key"), "left").drop(PREFIX + "key")
     plain = joined.toDF(*(f"c{i}" for i in range(len(joined.columns))))  # names with dots cannot be addressed

@@ -355,20 +355,67 @@ def test_passages_match_a_sequential_pass(spark):
     assert got == want
 
 
-def test_passages_without_borders_go_from_first_to_last_word(spark):
+def test_passages_without_borders_go_between_their_own_cuts(spark):
+    """Of a passage without sentence borders the middle goes, wherever it stands; what is not repeated stays whole."""
     rng = random.Random(9)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 8)))
-    passage, chinese = " ".join(word() for _ in range(60)), "".join(chr(rng.randint(0x4E00, 0x9FA0)) for _ in range(60))
-    sides = [[" ".join(word() for _ in range(9)) for _ in range(2)] for _ in range(4)]
-    other = ["".join(chr(rng.randint(0x4E00, 0x9FA0)) for _ in range(20)) for _ in range(4)]
-    rows = [(1, f"{sides[0][0]} {passage} {sides[0][1]}"), (2, f"{sides[1][0]} {passage} {sides[1][1]}"),
-            (3, f"{sides[2][0]} {passage.upper()} {sides[2][1]}"), (4, f"{other[0]}{chinese}{other[1]}"), (5, f"{other[2]}{chinese}。{other[3]}"),
-            (6, f"{sides[3][0]} {' '.join(passage.split()[:7])} {sides[3][1]}")]
+    rows, passages, sides = [], [], []
+    for k in range(30):
+        passage = " ".join(word() for _ in range(60))
+        for copy in range(2):
+            left, right = (" ".join(word() for _ in range(rng.randint(1, 30))) for _ in range(2))
+            rows.append((2 * k + copy, f"{left} {passage.upper() if k % 3 == 0 and copy else passage} {right}"))
+            sides.append((left, right))
+        passages.append(passage)
+    short = " ".join(passages[0].split()[:7])
+    rows.append((100, f"{word()} {short} {word()}"))
+    chinese = ["".join(chr(rng.randint(0x4E00, 0x9FA0)) for _ in range(90)) for _ in range(3)]
+    rows += [(101, chinese[0] + chinese[1]), (102, f"{chinese[2]}{chinese[1]}。")]
     got = {r.doc_id: r for r in substring_dedup.deduplicate(cases.texts(spark, rows)).collect()}
-    assert [got[i].text for i in (1, 4, 6)] == [rows[i - 1][1] for i in (1, 4, 6)]
-    assert [got[i].text for i in (2, 3)] == [" ".join(s) for s in sides[1:3]]
-    assert got[5].text == f"{other[2]}。{other[3]}"
-    assert [(s.start, s.end) for s in got[5][substring_dedup.PREFIX + "removed"]] == [(20, 80)]
+    left_over = []
+    for i, text in rows:
+        spans = [(s.start, s.end) for s in got[i][substring_dedup.PREFIX + "removed"]]
+        if i % 2 == 0 and i < 100 or i in (100, 101):
+            assert got[i].text == text and spans == []
+        elif i < 100:
+            (start, end), (left, right) = spans[0], sides[i]
+            assert len(spans) == 1 and start > len(left) and end < len(text) - len(right)  # only words of the passage
+            assert got[i].text == text[:start] + text[end:].lstrip()
+            left_over.append(60 - len(text[start:end].split()))
+        else:
+            (start, end), = spans
+            assert start >= 90 and end <= 180 and end - start >= 50
+    assert sum(left_over) / len(left_over) <= 14 and max(left_over) <= 40
+
+
+def test_units_inside_a_text_depend_on_its_words_alone():
+    """Brute force: cuts where a pair of words has the smallest hash of all within reach, units of two pieces."""
+    import numpy as np
+    import pyarrow as pa
+
+    from cartwise.llm import textvec
+    rng = random.Random(1)
+    texts = [" ".join(rng.choice(["a", "b", "cc", "ddd", "é", "f"]) for _ in range(n)) for n in (0, 1, 3, 7, 8, 9, 40, 300, 2)] + ["x " * 50]
+    got = list(substring_dedup.text_keys(pa.array(texts)))
+    assert len(got) == len(texts)
+    data, borders = textvec.column(pa.array(texts))
+    found = substring_dedup.tokens(data, borders)
+    rows, begins, ends, keys = substring_dedup.text_units(found)
+    by_words = {}
+    for r, text in enumerate(texts):
+        words = text.split()
+        score = [int(textvec.grams(found.hash[found.row(r)][i:i + 2], 2)[0]) if i + 1 < len(words) else None for i in range(len(words))]
+        cuts = [i for i in range(len(words)) if i == 0 or (3 <= i < len(words) - 3 and all(
+            score[j] is not None and score[i] < score[j] for j in range(i - 3, i + 4) if j != i))]
+        edges = [*cuts, len(words)]
+        want = [(a, c) for a, _, c in zip(edges, edges[1:], edges[2:])] or ([(0, len(words))] if len(words) >= 8 else [])
+        own = rows == r
+        base = found.first[r]
+        assert list(zip((begins[own] - base).tolist(), (ends[own] - base).tolist())) == want, (r, want)
+        assert np.array_equal(keys[own], got[r])
+        for (a, b), key in zip(want, got[r].tolist()):
+            assert by_words.setdefault(tuple(words[a:b]), key) == key
+    assert len(set(by_words.values())) == len(by_words)
 
 
 def test_lines_and_paragraphs(spark):
