@@ -23,6 +23,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
 from collections import Counter
 from operator import mul
 
@@ -96,12 +97,15 @@ def train(labels: np.ndarray, doc: np.ndarray, word: np.ndarray, count: np.ndarr
     known = usual[word]
     doc, word = doc[known], (np.cumsum(usual) - 1)[word[known]]
     share = (np.log2(1 + count[known]).astype(np.float32) / total[doc])[:, None]
-    vocabulary = words.filter(pa.array(usual)).to_pylist()
-    parts = [subwords(w) for w in vocabulary]
-    sizes = np.array([len(p) for p in parts])
-    owner = np.repeat(np.arange(len(parts), dtype=np.int32), sizes)
+    vocabulary = words.filter(pa.array(usual))
+    parts, sizes = array("i"), np.empty(len(vocabulary), np.int64)
+    for k, w in enumerate(vocabulary):
+        own = subwords(w.as_py())
+        parts.extend(own)
+        sizes[k] = len(own)
+    owner = np.repeat(np.arange(len(vocabulary), dtype=np.int32), sizes)
     sizes = sizes.astype(np.float32)
-    used, bucket = np.unique(np.array([b for p in parts for b in p], np.int32), return_inverse=True)
+    used, bucket = np.unique(np.frombuffer(parts, np.int32), return_inverse=True)
     by_word, by_bucket = np.argsort(word, kind="stable"), np.argsort(bucket, kind="stable")
     doc_heads, word_heads = borders(doc), borders(word[by_word])
     owner_heads, bucket_heads = borders(owner), borders(bucket[by_bucket])
