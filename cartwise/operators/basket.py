@@ -234,6 +234,7 @@ def _select_one(uid: int, p: np.ndarray, items: np.ndarray, p_none: float | None
 
 
 def _curve_one(uid: int, p: np.ndarray, items: np.ndarray, p_none: float | None = None) -> pd.DataFrame:
+    _unique(items)
     with_none, without = expected_f1(p, p_none)
     n1 = with_none.shape[0]
     return pd.DataFrame({"user_id": np.full(2 * n1, uid, dtype="int64"),

@@ -7,9 +7,10 @@ are expressed as aggregates joined back on small keyed frames.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.operators.ranking import average_ranks, exact_quantiles
@@ -216,6 +217,45 @@ def chi_square(df: DataFrame, row: str, col: str) -> DataFrame:
                        total.cast("long").alias("n"))
 
 
+def chi_square_tail(stat: Column, dof: Column) -> Column:
+    """P(a chi-square variable with ``dof`` degrees of freedom exceeds ``stat``), as a native expression; null without freedom.
+
+    It is the upper regularised incomplete gamma function Q(a, x) at a = dof / 2, x = stat / 2: below x = a + 1 one
+    minus its power series, above it its continued fraction. Both settle within a few times sqrt(a) steps.
+    """
+    x, a = stat.cast("double") / 2, dof.cast("double") / 2
+    steps = F.sequence(F.lit(1).cast("long"), (F.lit(100) + 15 * F.sqrt(a)).cast("long"))
+    below = F.floor((dof - 1) / 2)
+    # ln of gamma(a): a - 1, a - 2, ... down to 1, or to 1/2 and then gamma(1/2) = sqrt(pi)
+    logs = F.aggregate(F.when(below >= 1, F.sequence(F.lit(1).cast("long"), below)).otherwise(F.array().cast("array<bigint>")),
+                       F.lit(0.0), lambda acc, k: acc + F.log(a - k))
+    ln_gamma = logs + F.when(dof % 2 == 1, F.lit(0.5 * math.log(math.pi))).otherwise(0.0)
+    front = F.exp(a * F.log(x) - x - ln_gamma)
+
+    def struct(**fields: Column) -> Column:
+        return F.struct(*(c.cast("double").alias(n) for n, c in fields.items()))
+
+    def more(acc: Column, k: Column) -> Column:
+        term = acc["term"] * x / (a + k)
+        return struct(term=term, total=acc["total"] + term)
+
+    def deeper(acc: Column, k: Column) -> Column:
+        up = -k * (k - a)
+        b = acc["b"] + 2.0
+        c, d = b + up / acc["c"], 1.0 / (up * acc["d"] + b)
+        return struct(b=b, c=c, d=d, h=acc["h"] * c * d)
+
+    series = 1.0 - front * F.aggregate(steps, struct(term=1.0 / a, total=1.0 / a), more)["total"]
+    b0 = x + 1.0 - a
+    fraction = front * F.aggregate(steps, struct(b=b0, c=F.lit(1e300), d=1.0 / b0, h=1.0 / b0), deeper)["h"]
+    return F.when(dof < 1, F.lit(None).cast("double")).when(x <= 0, F.lit(1.0)).when(x < a + 1, series).otherwise(fraction)
+
+
+def chi_square_pvalue(df: DataFrame, row: str, col: str) -> DataFrame:
+    """``chi_square`` with its p-value, for categories of any type and number (rounded to 9 digits)."""
+    return chi_square(df, row, col).select("chi2", "dof", F.round(chi_square_tail(F.col("chi2"), F.col("dof")), 9).alias("p_value"))
+
+
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 
@@ -228,17 +268,3 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def chi_square_test_ml(df: DataFrame, row: str, col: str) -> DataFrame:
-    """χ² statistic, degrees of freedom and p-value from Spark ML's ChiSquareTest.
-
-    Cross-check of ``chi_square``; ML builds the contingency table with a
-    distributed aggregation over (feature value, label) pairs.
-    """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import ChiSquareTest
-
-    data = VectorAssembler(inputCols=[row], outputCol="features").transform(
-        df.select(F.col(row).cast("double").alias(row), F.col(col).cast("double").alias("label")))
-    res = ChiSquareTest.test(data, "features", "label", flatten=True)
-    return res.select(F.round("statistic", 6).alias("chi2"), F.col("degreesOfFreedom").cast("long").alias("dof"),
-                      F.col("pValue").alias("p_value"))

@@ -32,6 +32,12 @@ def read(spark: SparkSession, folder: str, name: str, kind: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def lines_without_order(tables: BasketTables) -> DataFrame:
+    """(reason, n_lines): lines that enter no feature, as ``views.dropped_rows`` lists them for the star schema."""
+    return tables.line_facts.where(F.col("eval_set").isNull()).agg(F.count("*").alias("n_lines")).where("n_lines > 0").select(
+        F.lit("no order").alias("reason"), "n_lines")
+
+
 def load_retail(spark: SparkSession, folder: str, kind: str = "csv") -> BasketTables:
     orders = materialize(read(spark, folder, "orders", kind), "retail-orders", partition_by=["eval_set"])
     lines = read(spark, folder, "order_products__prior", kind).unionByName(read(spark, folder, "order_products__train", kind))

@@ -1,6 +1,7 @@
 """Inputs that the driver tables do not hold: nulls, long ids, clumped and hot groups, mixed histories, real CSV tables."""
 
 import json
+import math
 import os
 import sys
 from types import SimpleNamespace
@@ -8,12 +9,13 @@ from types import SimpleNamespace
 import numpy as np
 import pytest
 from conftest import make_lines, make_orders, make_products
+from pyspark.sql import functions as F
 
 from cartwise import session
 from cartwise.models import fit as M
 from cartwise.operators import basket, evaluate, ordered, profile
 from cartwise.plans import assemble
-from cartwise.sources import csv_io
+from cartwise.sources import csv_io, retail
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "jobs"))
 
@@ -85,6 +87,30 @@ def test_a_repeated_candidate_is_refused(spark):
     rows = spark.createDataFrame([(1, 7, 0.5), (1, 7, 0.4), (1, 8, 0.3)], "user_id long, product_id long, p double")
     with pytest.raises(Exception, match="an item twice"):
         basket.select(rows).collect()
+    with pytest.raises(Exception, match="an item twice"):
+        basket.expected_f1_curve(rows).collect()
+
+
+def test_chi_square_tail_of_even_and_odd_degrees(spark):
+    def tail(stat, dof):  # finite sums for whole and half numbers
+        x = stat / 2
+        if dof % 2 == 0:
+            return sum(math.exp(k * math.log(x) - x - math.lgamma(k + 1)) for k in range(dof // 2))
+        return math.erfc(math.sqrt(x)) + sum(math.exp((k + 0.5) * math.log(x) - x - math.lgamma(k + 1.5)) for k in range((dof - 1) // 2))
+
+    given = [(s, d) for d in (1, 2, 3, 7, 138, 139, 2001) for s in (0.01 * d, 0.6 * d, 0.97 * d, d + 2.0, 1.1 * d, 1.5 * d, 6.0 * d)]
+    rows = spark.createDataFrame([*given, (0.0, 4), (3.0, 0)], "stat double, dof long").withColumn(
+        "p", profile.chi_square_tail(F.col("stat"), F.col("dof"))).collect()
+    for r in rows[:-2]:
+        assert r.p == pytest.approx(tail(r.stat, r.dof), abs=1e-9, rel=1e-6)
+    assert (rows[-2].p, rows[-1].p) == (1.0, None)
+
+
+def test_chi_square_pvalue_of_text_categories(spark):
+    rows = [(f"a{i % 3}", f"b{i % 4 if i % 5 else 0}") for i in range(600)] + [(None, "b0"), ("a0", None)]
+    got = profile.chi_square_pvalue(spark.createDataFrame(rows, "a string, b string"), "a", "b").first()
+    assert got.dof == 6 and got.p_value == pytest.approx(sum(math.exp(k * math.log(got.chi2 / 2) - got.chi2 / 2 - math.lgamma(k + 1)) for k in range(3))
+                                                        if got.chi2 > 0 else 1.0, abs=1e-9)
 
 
 def test_basket_f1_solves_once(spark):
@@ -94,6 +120,13 @@ def test_basket_f1_solves_once(spark):
     assert (got.first().n_users, got.first().mean_f1) == (2, pytest.approx(1.0))
 
 
+def test_lines_without_an_order_are_counted(spark, tmp_path):
+    _retail(spark, str(tmp_path))
+    assert retail.lines_without_order(retail.load_retail(spark, str(tmp_path))).collect() == []
+    make_lines(spark, [(90_001, 1, 1, 0), (90_001, 2, 2, 0)]).write.mode("append").option("header", True).csv(f"{tmp_path}/order_products__prior.csv")
+    assert [tuple(r) for r in retail.lines_without_order(retail.load_retail(spark, str(tmp_path))).collect()] == [("no order", 2)]
+
+
 def _retail(spark, folder):
     orders, lines = [], {"prior": [], "train": []}
     number = 0
