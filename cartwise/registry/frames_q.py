@@ -116,8 +116,7 @@ def q_union_prior_train(spark, sf_dir):
 SELECT DISTINCT o.user_id, l.product_id FROM order_products_v l JOIN orders_v o ON l.order_id = o.order_id""",
                                     views=_V))
 def q_distinct_pairs(spark, sf_dir):
-    b = basket(spark, sf_dir)
-    return b.lines.join(b.orders.select("order_id", "user_id"), "order_id").select("user_id", "product_id").distinct()
+    return basket(spark, sf_dir).line_facts.select("user_id", "product_id").distinct()
 
 
 @register("duplicate_row_check", compose("""
@@ -286,8 +285,7 @@ SELECT o.user_id, round(CAST(sum(l.reordered) AS DOUBLE) / count(*), 6) AS reord
        round(CAST(sum(l.reordered) AS DOUBLE) / count(*) * 100, 6) AS reorder_percent
 FROM order_products_v l JOIN orders_v o ON l.order_id = o.order_id GROUP BY o.user_id""", views=_V))
 def q_fn_ratio_percent(spark, sf_dir):
-    b = basket(spark, sf_dir)
-    g = (b.lines.join(b.orders.select("order_id", "user_id"), "order_id").groupBy("user_id")
+    g = (basket(spark, sf_dir).line_facts.groupBy("user_id")
          .agg(F.sum("reordered").alias("r"), F.count(F.lit(1)).alias("n")))
     return S.round_doubles(g.select("user_id", S.ratio(F.col("r"), F.col("n")).alias("reorder_ratio"),
                                     S.ratio(F.col("r"), F.col("n"), percent=True).alias("reorder_percent")))
