@@ -59,9 +59,9 @@ def keyword_reorder_rate(lines: DataFrame, products: DataFrame, pattern: str) ->
     reorder percentage (the pivot the exploration builds, without a
     value-discovery job: the pivot values are given).
     """
-    j = lines.select("product_id", "reordered").join(
-        products.select("product_id", "product_name"), "product_id", "inner")
-    flagged = j.select(F.col("product_name").rlike("(?i)" + pattern).alias("is_match"), "reordered")
+    # the pattern is matched once a product, not once a line
+    marked = products.select("product_id", F.col("product_name").rlike("(?i)" + pattern).alias("is_match"))
+    flagged = lines.select("product_id", "reordered").join(marked, "product_id", "inner").select("is_match", "reordered")
     piv = flagged.groupBy("is_match").pivot("reordered", [0, 1]).count()
     piv = piv.select("is_match",
                      F.coalesce(F.col("0"), F.lit(0)).alias("not_reordered"),

@@ -144,9 +144,9 @@ def q_f_beta_from_counts(spark, sf_dir):
     # equi-join on (user, order number): a user with very many orders is spread over tasks
     prev = (t.join(b.orders.select("user_id", F.col("order_number").alias("prev_number"), "order_id"),
                    ["user_id", "prev_number"]).select("user_id", "order_id"))
-    pred = prev.join(b.lines.select("order_id", "product_id"), "order_id").select("user_id", "product_id")
-    truth = (t.join(b.lines.select(F.col("order_id").alias("t_order"), "product_id"), "t_order")
-             .select("user_id", "product_id"))
+    # a user's order before the train order is a prior one: each side reads its own partition of the lines
+    pred = prev.join(b.lines_in("prior").select("order_id", "product_id"), "order_id").select("user_id", "product_id")
+    truth = b.lines_in("train").select("user_id", "product_id")
     return round_doubles(B.f_scores(B.set_counts(pred, truth), betas=(1.0, 2.0)))
 
 
