@@ -7,10 +7,13 @@ among the rest,
     without "None":  E[F1] = E[ 2K / (k + K + R) ]
     with "None":     E[F1] = E[ 2K / (k + 1 + K + R) ] + 2 * P(no item) / (k + 2)
 
-K and R are Poisson-binomial, so all 2(n+1) expectations come from an
-O(n^2) dynamic program: the distribution of K for every prefix (forward)
-and E[1 / (c + R)] for every suffix (backward). The best (k, None) is the
-argmax; ties go to "with None", then to the smaller k.
+K and R are Poisson-binomial. Up to ``TREE_ABOVE`` candidates all 2(n+1)
+expectations come from an O(n^2) dynamic program: the distribution of K for
+every prefix (forward) and E[1 / (c + R)] for every suffix (backward). Above
+it they come from divide and conquer over the cut-off k in O(n log^2 n)
+(``_expected_f1_tree``). The best (k, None) is the argmax; ties (values within
+``TIE``, so that the order of summation decides nothing) go to "with None",
+then to the smaller k.
 
 Spark side: rows are shuffled by user into an explicit number of
 partitions, sorted by (user, probability), and streamed through
@@ -18,7 +21,7 @@ partitions, sorted by (user, probability), and streamed through
 go to the NumPy solver. A user's candidate list has one row per product the
 user bought, so it is bounded by the product dimension, not by the data
 volume; no candidate is dropped. The solver's memory is O(n^2) only up to
-``DENSE_MAX_CANDIDATES`` and O(n sqrt(n)) above it; small users (up to
+``DENSE_MAX_CANDIDATES`` and O(n log n) above it; small users (up to
 ``VECTOR_MAX_CANDIDATES``) are solved for all k in whole-array operations.
 """
 
@@ -40,10 +43,16 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Solver tiers by a user's candidate count n (measured on this machine):
 # up to VECTOR_MAX all k are summed at once over whole tables (about 2x faster
 # for 20-200 candidates, slower above ~500); up to DENSE_MAX one k at a time
-# over the (n+1)^2 prefix table (8 MB at 1024); above it the prefix
-# distributions are recomputed per block from sqrt(n) checkpoints.
+# over the (n+1)^2 prefix table (8 MB at 1024); above it divide and conquer.
+# (With a larger ``tree_above`` the prefix distributions are recomputed per
+# block from sqrt(n) checkpoints: the O(n^2) form without an O(n^2) table.)
 VECTOR_MAX_CANDIDATES = 256
 DENSE_MAX_CANDIDATES = 1024
+TREE_ABOVE = DENSE_MAX_CANDIDATES
+#: Expected scores closer than this count as equal.
+TIE = 1e-12
+#: Weights of up to this many numbers are applied by shifted sums, longer ones by FFT.
+_SHIFT_MAX = 33
 
 
 def _step(col: np.ndarray, q: float) -> np.ndarray:
@@ -119,8 +128,75 @@ def _expected_f1_dense(p: np.ndarray, p_none: float) -> tuple[np.ndarray, np.nda
     return with_none, without
 
 
+def _hit_tree(p: np.ndarray) -> list[np.ndarray]:
+    """Distributions of the hits in every block of 1, 2, 4, ... items: ``tree[l][b, i]`` = P(i hits in block b)."""
+    tree = [np.stack([1.0 - p, p], axis=1)]
+    while len(tree[-1]) > 1:
+        left, right = tree[-1][0::2], tree[-1][1::2]
+        h = left.shape[1] - 1
+        if h + 1 <= _SHIFT_MAX:
+            both = np.zeros((len(left), 2 * h + 1))
+            for r in range(h + 1):
+                both[:, r:r + h + 1] += left[:, r:r + 1] * right
+        else:
+            n = 4 * h
+            both = np.fft.irfft(np.fft.rfft(left, n) * np.fft.rfft(right, n), n)[:, :2 * h + 1]
+            np.maximum(both, 0.0, out=both)
+        tree.append(both)
+    return tree
+
+
+def _after_hits(x: np.ndarray, w: np.ndarray, first: int, size: int) -> np.ndarray:
+    """sum_r w[b, r] * x[..., b, c + r] for c = first .. first + size - 1 (every c + r is inside x)."""
+    m = w.shape[1]
+    if m <= _SHIFT_MAX:
+        out = np.zeros((*x.shape[:-1], size))
+        for r in range(m):
+            out += w[:, r:r + 1] * x[..., first + r:first + r + size]
+        return out
+    n = x.shape[-1]  # a power of two; what wraps around lies beyond the c that are taken
+    return np.fft.irfft(np.fft.rfft(x, n) * np.conj(np.fft.rfft(w, n)), n)[..., first:first + size]
+
+
+def _expected_f1_tree(p: np.ndarray, p_none: float) -> tuple[np.ndarray, np.ndarray]:
+    """All k at once, by halving the range of k.
+
+    A node is a block [a, a + s) of items and the cut-offs k inside it. Items before
+    the block are predicted for all those k, items behind it never; with X and Y their
+    hits, the node holds u(c) = E[1 / (c + X + Y)] and v(c) = E[X / (c + X + Y)] for
+    the 2s values c = a .. a + 2s - 1, all that its cut-offs can ask for. The left half
+    adds the right half's hits to Y, the right half adds the left half's hits r to X,
+    which also turns X into X + r; both are correlations with a block's distribution
+    of hits. At one item E[F1](k = a) = 2 v(a) once the item itself joins Y. Every
+    level costs one set of FFTs over 2n numbers, all blocks of a level in one call.
+    """
+    n = p.shape[0]
+    size = 1 << n.bit_length()  # more than n items, so that k = n has a block; the added ones never hit
+    padded = np.zeros(size)
+    padded[:n] = p
+    tree = _hit_tree(padded)
+    c = np.arange(2 * size, dtype=np.float64)
+    u = np.empty((2, 1, 2 * size))  # with None (every denominator one larger), without
+    u[0, 0] = 1.0 / (c + 1.0)
+    u[1, 0, 0] = 0.0  # nothing predicted and nothing hit scores 0
+    u[1, 0, 1:] = 1.0 / c[1:]
+    v = np.zeros_like(u)
+    s = size
+    for hits in reversed(tree[:-1]):
+        h = s // 2
+        left, right = hits[0::2], hits[1::2]
+        moved = left * np.arange(h + 1)
+        half_u = np.stack([_after_hits(u, right, 0, s), _after_hits(u, left, h, s)], axis=2)
+        half_v = np.stack([_after_hits(v, right, 0, s),
+                           _after_hits(v, left, h, s) + _after_hits(u, moved, h, s)], axis=2)
+        u, v = (x.reshape(2, -1, s) for x in (half_u, half_v))
+        s = h
+    both = 2.0 * ((1.0 - padded) * v[:, :, 0] + padded * v[:, :, 1])[:, :n + 1]
+    return both[0] + 2.0 * p_none / (np.arange(n + 1) + 2.0), both[1]
+
+
 def expected_f1(p: np.ndarray, p_none: float | None = None, dense_max: int = DENSE_MAX_CANDIDATES,
-                vector_max: int = VECTOR_MAX_CANDIDATES) -> tuple[np.ndarray, np.ndarray]:
+                vector_max: int = VECTOR_MAX_CANDIDATES, tree_above: int = TREE_ABOVE) -> tuple[np.ndarray, np.ndarray]:
     """(E_with_none[k], E_without_none[k]) for k = 0..n; ``p`` sorted descending."""
     p = np.asarray(p, dtype=np.float64)
     n = p.shape[0]
@@ -128,6 +204,8 @@ def expected_f1(p: np.ndarray, p_none: float | None = None, dense_max: int = DEN
         p_none = float(np.prod(1.0 - p))
     if n <= vector_max:
         return _expected_f1_dense(p, p_none)
+    if n > max(dense_max, tree_above):
+        return _expected_f1_tree(p, p_none)
     # inv[c] = E[1 / (c + R)], inv_none[c] = E[1 / (c + 1 + R)], R over the items after k
     c = np.arange(2 * n + 2, dtype=np.float64)
     inv = np.zeros_like(c)
@@ -151,7 +229,7 @@ def best_basket(p: np.ndarray, p_none: float | None = None) -> tuple[int, bool,
     """(best_k, predict_none, max_expected_f1); ties → with None, then smaller k."""
     with_none, without = expected_f1(p, p_none)
     both = np.concatenate([with_none, without])
-    ix = int(np.argmax(both))
+    ix = int(np.argmax(both >= both.max() - TIE))
     n1 = with_none.shape[0]
     return (ix if ix < n1 else ix - n1), ix < n1, float(both[ix])
 

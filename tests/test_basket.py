@@ -64,6 +64,55 @@ def test_each_tier_against_brute_force(tier):
     assert np.allclose(a, w, atol=1e-12) and np.allclose(b, wo, atol=1e-12)
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 8, 9, 33, 64, 65, 200, 1023, 1024, 1025, 3000])
+@pytest.mark.parametrize("shape", [0.3, 1.0, 4.0])
+def test_tree_agrees_with_one_k_at_a_time(n, shape):
+    p = np.sort(np.random.default_rng(n).random(n) ** shape)[::-1]
+    for none in (None, 0.25):
+        tree = B.expected_f1(p, none, vector_max=0, dense_max=0, tree_above=0)
+        plain = B.expected_f1(p, none, vector_max=0, dense_max=0, tree_above=n)
+        assert np.allclose(tree[0], plain[0], rtol=0, atol=2e-13) and np.allclose(tree[1], plain[1], rtol=0, atol=2e-13)
+        assert np.argmax(np.concatenate(tree)) == np.argmax(np.concatenate(plain))
+
+
+@pytest.mark.parametrize("p", [np.zeros(40), np.ones(40), np.r_[np.ones(20), np.zeros(21)], np.full(70, 0.5)])
+def test_tree_on_certain_and_equal_items(p):
+    tree, plain = B.expected_f1(p, vector_max=0, dense_max=0, tree_above=0), B.expected_f1(p, vector_max=0, dense_max=0)
+    assert np.allclose(tree, plain, rtol=0, atol=1e-13)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.floats(0.0, 1.0), min_size=1, max_size=8))
+def test_tree_against_brute_force(ps):
+    p = np.sort(np.array(ps))[::-1]
+    assert np.allclose(B.expected_f1(p, vector_max=0, dense_max=0, tree_above=0), brute(p), rtol=0, atol=1e-12)
+
+
+def test_hundred_thousand_candidates_in_seconds():
+    import time
+    p = np.sort(np.random.default_rng(1).random(100_000) ** 6)[::-1]
+    t0 = time.perf_counter()
+    k, none, f1 = B.best_basket(p)
+    assert time.perf_counter() - t0 < 20  # the O(n^2) forms need minutes
+    # one cut-off checked on its own: hits before and after it by direct convolution of normal-sized blocks
+    total = p.sum()
+    spread = np.sqrt((p * (1 - p)).sum())
+    assert not none and 0 < k < 100_000
+    assert f1 == pytest.approx(2 * p[:k].sum() / (k + total), abs=3 * spread / total)
+
+
+@pytest.mark.parametrize("n", [256, 257, 1024, 1025])
+def test_best_cut_is_the_same_on_both_sides_of_a_tier(n):
+    rng = np.random.default_rng(n)
+    for p in (rng.random(n) ** 3, np.full(n, 0.2), np.repeat(rng.random(1 + n // 4), 4)[:n]):
+        p = np.sort(p)[::-1]
+        found = set()
+        for tier in (dict(vector_max=n), dict(vector_max=0, dense_max=n), dict(vector_max=0, dense_max=0, tree_above=0)):
+            both = np.concatenate(B.expected_f1(p, **tier))
+            found.add(int(np.argmax(both >= both.max() - B.TIE)))
+        assert len(found) == 1 and B.best_basket(p)[0] == found.pop() % (n + 1)
+
+
 def test_tie_prefers_none_then_small_k():
     # all-zero probabilities: predicting only "None" (k=0) is optimal with E[F1] = 1
     k, none, f1 = B.best_basket(np.zeros(3))

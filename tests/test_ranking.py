@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from cartwise.operators import evaluate as E
 from cartwise.operators.ranking import average_ranks, running_sums
@@ -45,3 +46,35 @@ def test_exact_quantiles_match_numpy(spark):
     got = df.limit(1).select(*[c.alias(f"q{i}") for i, c in enumerate(cols)]).collect()[0]
     expect = np.quantile(x, [0.1, 0.25, 0.5, 0.75, 0.9])  # linear interpolation
     assert list(got) == pytest.approx(list(expect))
+
+
+def test_longs_above_two_to_53_rank_apart(spark):
+    big = 2 ** 53
+    df = spark.createDataFrame([(v,) for v in [big + 1, big, big + 2, big + 1, -big - 1, -big]], "x long")
+    got = {r.x: r.rx for r in average_ranks(df, "x", "rx").collect()}
+    assert got == {-big - 1: 1.0, -big: 2.0, big: 3.0, big + 1: 4.5, big + 2: 6.0}
+
+
+def test_ranks_of_other_types(spark):
+    df = spark.sql("SELECT * FROM VALUES ('b', DATE'2020-01-02', CAST(1.10 AS DECIMAL(20,2))), ('a', DATE'2019-01-01', 1.20), "
+                   "('b', DATE'2021-01-01', 1.10) AS t(s, d, c)")
+    assert {r.s: r.r for r in average_ranks(df, "s", "r").collect()} == {"a": 1.0, "b": 2.5}
+    assert sorted((str(r.d), r.r) for r in average_ranks(df, "d", "r").collect()) == [("2019-01-01", 1.0), ("2020-01-02", 2.0), ("2021-01-01", 3.0)]
+    assert {float(r.c): r.r for r in average_ranks(df, "c", "r").collect()} == {1.1: 1.5, 1.2: 3.0}
+
+
+def test_ranges_ascend_keep_ties_and_share_the_rows(spark):
+    from cartwise.operators.ranking import value_ranges
+    df = spark.range(40_000).selectExpr("(id * 7919) % 20000 AS v")  # every value twice
+    rows = value_ranges(df, "v", buckets=40).groupBy("_bucket").agg({"v": "min", "*": "count"}).orderBy("_bucket").collect()
+    tops = value_ranges(df, "v", buckets=40).groupBy("v").agg(F.countDistinct("_bucket").alias("n")).agg({"n": "max"}).first()[0]
+    assert tops == 1  # a value is in one range only
+    least = [r["min(v)"] for r in rows]
+    assert least == sorted(least) and sum(r["count(1)"] for r in rows) == 40_000
+    assert len(rows) >= 30 and max(r["count(1)"] for r in rows) <= 3 * 40_000 / 40
+
+
+def test_every_running_sum_of_many_ranges(spark):
+    df = spark.range(20_000).selectExpr("id AS v", "id % 3 AS w")
+    out = running_sums(df, "v", ["w"], buckets=50).where("w_cum <> (v div 3) * 3 + CASE v % 3 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 3 END")
+    assert out.count() == 0
