@@ -11,8 +11,10 @@ of fewer than ``WINDOW`` words is one window; winnowing guarantees nothing
 that short, so such windows are looked up at every document word.
 
 The benchmark is the query set: it is read in blocks of at most about
-``BLOCK_BYTES`` of text (by a hash of the item), each broadcast as sorted
-arrays, and documents pass through one map per block without any shuffle.
+``BLOCK_BYTES`` of text (by a hash of the item), each indexed in numpy on the
+driver (about 12 bytes a benchmark word, no Python object per word) and
+broadcast as sorted arrays, and documents pass through one map per block
+without any shuffle.
 
 Defined results: null and empty texts have no words and are clean; items
 without words occur nowhere; items with the same id count once, a null
@@ -46,10 +48,11 @@ FIELDS = "n_words long, hit_start array<long>, hit_end array<long>, items array<
 
 
 class Index(NamedTuple):
-    """Fingerprints, and by window length the sorted window hashes with the items of each."""
+    """Fingerprints, item names, and by window length: sorted window hashes, where the items of each begin, item numbers."""
 
     fingerprints: np.ndarray
-    windows: dict[int, tuple[np.ndarray, list[list[str]]]]
+    names: list[str]
+    windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
 def winnow(gram_hashes: np.ndarray, width: int) -> np.ndarray:
@@ -75,25 +78,39 @@ def among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return np.where(ordered[at] == values, at, -1)
 
 
-def build_index(items: list[tuple[str, str]]) -> Index:
-    data, borders = textvec.column(pa.array([text for _, text in items], pa.large_string()))
-    found = textvec.words(textvec.LOWER[data], borders, textvec.ALNUM)
-    prints, windows = [], {}
-    for i, (item, _) in enumerate(items):
-        hashes = found.hash[found.row(i)]
-        if len(hashes) == 0:
-            continue
-        length = min(WINDOW, len(hashes))
-        if length == WINDOW:
-            grams = textvec.grams(hashes, GRAM)
-            prints.append(grams[winnow(grams, WINDOW - GRAM + 1)])
-        for h in np.unique(textvec.grams(hashes, length)).tolist():
-            windows.setdefault(length, {}).setdefault(h, set()).add(item)
+def build_index(items: pa.Table) -> Index:
+    """Index of a table of (item, text), built in blocks of whole items."""
+    import pyarrow.compute as pc
+
+    ids = items["item"].combine_chunks()
+    names = pc.unique(ids)
+    number = np.asarray(pc.index_in(ids, names), np.int32)
+    data, borders = textvec.column(items["text"])
+    prints, held = [], {}
+    for at, block, edges in textvec.blocks(data, borders):
+        found = textvec.words(textvec.LOWER[block], edges, textvec.ALNUM)
+        n_words = np.diff(found.first)
+        row = np.repeat(np.arange(len(n_words)), n_words)
+        row_end, size = found.first[1:][row], np.minimum(n_words, WINDOW)[row]
+        for length in np.unique(size).tolist():
+            starts = np.flatnonzero(size == length)
+            starts = starts[starts + length <= row_end[starts]]
+            held.setdefault(length, []).append((textvec.grams(found.hash, length)[starts], number[at + row[starts]]))
+        grams = textvec.grams(found.hash, GRAM)
+        picked = winnow(grams, WINDOW - GRAM + 1)
+        # fingerprints of windows across two items are left out where their gram is, and are harmless otherwise
+        prints.append(np.unique(grams[picked[picked + GRAM <= row_end[picked]]]))
     tables = {}
-    for length, held in windows.items():
-        order = np.array(sorted(held), np.uint64)
-        tables[length] = (order, [sorted(held[h]) for h in order.tolist()])
-    return Index(np.unique(np.concatenate(prints)) if prints else np.zeros(0, np.uint64), tables)
+    for length, parts in held.items():
+        hashes, owner = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((owner, hashes))
+        hashes, owner = hashes[order], owner[order]
+        new = np.ones(len(hashes), bool)
+        new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+        hashes, owner = hashes[new], owner[new]
+        order, first = np.unique(hashes, return_index=True)
+        tables[length] = (order, np.append(first, len(hashes)), owner)
+    return Index(np.unique(np.concatenate(prints)) if prints else np.zeros(0, np.uint64), names.to_pylist(), tables)
 
 
 def find_windows(index: Index, found: textvec.Words) -> list[tuple[int, np.ndarray, np.ndarray]]:
@@ -101,7 +118,7 @@ def find_windows(index: Index, found: textvec.Words) -> list[tuple[int, np.ndarr
     out = []
     n = len(found.hash)
     row_end = np.repeat(found.first[1:], np.diff(found.first))
-    for length, (hashes, _) in index.windows.items():
+    for length, (hashes, _, _) in index.windows.items():
         if length == WINDOW:
             grams = textvec.grams(found.hash, GRAM)
             picked = winnow(grams, WINDOW - GRAM + 1)
@@ -132,7 +149,7 @@ def match(index: Index, text: pa.Array) -> list[pa.Array]:
         if len(found.hash) == 0:
             continue
         for length, begin, which in find_windows(index, found):
-            names = index.windows[length][1]
+            _, first, owner = index.windows[length]
             rows = np.searchsorted(found.first, begin, side="right") - 1
             for r, b, w in zip(rows.tolist(), (begin - found.first[rows]).tolist(), which.tolist(), strict=True):
                 if ends[at + r] and starts[at + r][-1] <= b <= ends[at + r][-1]:
@@ -140,9 +157,9 @@ def match(index: Index, text: pa.Array) -> list[pa.Array]:
                 else:
                     starts[at + r].append(b)
                     ends[at + r].append(b + length)
-                items[at + r].update(names[w])
+                items[at + r].update(owner[first[w]:first[w + 1]].tolist())
     return [pa.array(n_words), pa.array(starts, pa.list_(pa.int64())), pa.array(ends, pa.list_(pa.int64())),
-            pa.array([sorted(s) for s in items], pa.list_(pa.string()))]
+            pa.array([sorted(index.names[i] for i in s) for s in items], pa.list_(pa.string()))]
 
 
 def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES):
@@ -152,7 +169,7 @@ def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES):
     size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     n = -(-size // block_bytes)
     for b in range(n):
-        yield [(r.item, r.text) for r in items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == b).collect()]
+        yield items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == b).toArrow()
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -163,8 +180,9 @@ def mark(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES)
     out, scratch, count = docs, None, 0
     names = [f.split()[0] for f in FIELDS.split(", ")]
 
-    def one_block(out: DataFrame, items: list[tuple[str, str]]) -> DataFrame:
-        shared = spark.sparkContext.broadcast(tuple(build_index(items)))  # size: a block's; plain types, as broadcasts pickle classes by name
+    def one_block(out: DataFrame, items: pa.Table | None) -> DataFrame:
+        index = build_index(items) if items is not None else Index(np.zeros(0, np.uint64), [], {})
+        shared = spark.sparkContext.broadcast(tuple(index))  # size: a block's; plain types, as broadcasts pickle classes by name
         out = annotate(out, PREFIX, FIELDS, lambda: lambda text: match(Index(*shared.value), text))
         new = F.struct(*(F.col(PREFIX + f).alias(f) for f in names))
         old = [F.col(held)] if held in out.columns else []
@@ -176,7 +194,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES)
         if count % BLOCKS_IN_STAGE == 0:
             scratch = scratch or Scratch(spark, "decontamination")
             out = scratch.write(out, f"pass-{count}")
-    return out if count else one_block(out, [])
+    return out if count else one_block(out, None)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
