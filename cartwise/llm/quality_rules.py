@@ -12,9 +12,11 @@ aggregated. A floor on each spread regularises the covariance (constant
 statistics, small groups). A document is rejected if its squared Mahalanobis
 distance, scaled to the chi-square median, is over ``CUT``.
 
-Groups of fewer than ``MIN_GROUP`` rows are pooled by language; a pool that
-small rejects nothing. Defined results: null text has no words (and fails the
-base rules); null lang or source is a value of its own; repeated rows repeat.
+Every row is judged: a group of fewer than ``MIN_GROUP`` passing rows by the
+estimate over all rows of its language, a language of fewer than ``MIN_LANGUAGE``
+(where half the rows do not span the space) by the estimate over all rows.
+Defined results: null text has no words (and fails the base rules); null lang or
+source is a value of its own; repeated rows repeat; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 
 MIN_GROUP = 60
+MIN_LANGUAGE = 12
 STEPS = 4
 #: Squared distance beyond which a row is an outlier: chi-square with 5 degrees of freedom passes it once in 10^8.
 CUT = 46.0
@@ -47,7 +50,9 @@ FEATURES = {
     "capitals": (lambda: F.log1p(100 * F.col("n_capitals") / (F.col("word_chars") + 50)), 0.35),
 }
 D = len(FEATURES)
-BINS = 50
+#: Bins a unit of log(1 + x), and their greatest number: no statistic of a text gets beyond it.
+BINS = 400
+MOST_BINS = 9000
 
 
 def counts(docs: DataFrame) -> DataFrame:
@@ -127,11 +132,13 @@ def estimate(rows: DataFrame) -> DataFrame:
 
 def first_estimate(rows: DataFrame) -> DataFrame:
     """Medians, and quartile spreads on the diagonal."""
-    long = rows.select("pool", F.posexplode(F.array(*(F.floor(F.col(f"x{i}") * BINS) for i in range(D)))).alias("at", "bin"))
+    bins = (F.least(F.floor(F.log1p(f"x{i}") * BINS), F.lit(MOST_BINS)) for i in range(D))
+    long = rows.select("pool", F.posexplode(F.array(*bins)).alias("at", "bin"))
     edges = [binned_quantile(long, ["pool", "at"], "bin", q).withColumnRenamed("edge", f"q{int(q * 100)}") for q in (0.25, 0.5, 0.75)]
     parts = edges[0].join(edges[1], ["pool", "at"]).join(edges[2], ["pool", "at"])
-    spread = (F.col("q75") - F.col("q25")) / BINS / 1.349
-    wide = parts.groupBy("pool").agg(*(F.max(F.when(F.col("at") == i, F.col("q50") / BINS)).alias(f"m{i}") for i in range(D)),
+    value = {q: F.expm1(F.col(q) / BINS) for q in ("q25", "q50", "q75")}
+    spread = (value["q75"] - value["q25"]) / 1.349
+    wide = parts.groupBy("pool").agg(*(F.max(F.when(F.col("at") == i, value["q50"])).alias(f"m{i}") for i in range(D)),
                                      *(F.max(F.when(F.col("at") == i, spread)).alias(f"s{i}") for i in range(D)))
     floors = [floor for _, floor in FEATURES.values()]
     low = [F.sqrt(F.col(f"s{i}") * F.col(f"s{i}") + floors[i] ** 2).alias(f"l{i}{i}") if i == j else F.lit(0.0).alias(f"l{i}{j}")
@@ -148,20 +155,30 @@ def bin_edge(edge: str) -> Column:
     return F.exp(F.col(edge) / 40.0)
 
 
+def pools(groups: DataFrame) -> DataFrame:
+    """Per (lang, source) of ``groups`` (with its row count n): the pool that judges it, and all pools that its rows estimate."""
+    langs = groups.groupBy("lang").agg(F.sum("n").alias("lang_n"), F.min("n").alias("least"))
+    langs = langs.withColumn("lang_judges", (F.col("least") < MIN_GROUP) & (F.col("lang_n") >= MIN_LANGUAGE))
+    all_judge = langs.agg(F.min("lang_n") < MIN_LANGUAGE).scalar()
+    own = F.concat(F.lit("source:"), F.length("lang").cast("string"), F.lit(":"), "lang", "source")  # no two pairs share it
+    of_lang, of_all = F.concat(F.lit("lang:"), "lang"), F.lit("all")
+    has_own = F.col("n") >= MIN_GROUP
+    judge_pool = F.when(has_own, own).when(F.col("lang_n") >= MIN_LANGUAGE, of_lang).otherwise(of_all)
+    into = F.array_compact(F.array(F.when(has_own, own), F.when(F.col("lang_judges"), of_lang), F.when(all_judge, of_all)))
+    return groups.join(langs, "lang").select("lang", "source", judge_pool.alias("pool"), into.alias("into"))
+
+
 def judge(docs: DataFrame) -> DataFrame:
-    """doc_id, the counts, base_failed, kept, and the scaled squared distance (null where no group is large enough)."""
+    """doc_id, the counts, base_failed, kept, and the scaled squared distance (null only where a group's rows all fail the base rules)."""
     scratch = Scratch(docs.sparkSession, "quality-rules")
     counted = scratch.write(counts(docs).withColumn("base_failed", base_failed()), "counts")
     named = counted.withColumn("lang", F.coalesce("lang", F.lit("\u0000"))).withColumn("source", F.coalesce("source", F.lit("\u0000")))
-    passing = named.where("NOT base_failed")
-    large = scratch.write(passing.groupBy("lang", "source").count().where(F.col("count") >= MIN_GROUP).select("lang", "source", F.lit(True).alias("large")), "large")
-    pooled = named.join(large, ["lang", "source"], "left").withColumn(
-        "pool", F.when(F.col("large"), F.concat_ws("\u0001", "lang", "source")).otherwise(F.col("lang")))
-    vectors = pooled.select("doc_id", "base_failed", "pool", *(f().alias(f"x{i}") for i, (f, _) in enumerate(FEATURES.values())),
+    groups = scratch.write(named.where("NOT base_failed").groupBy("lang", "source").agg(F.count("*").alias("n")), "groups")
+    pooled = named.join(scratch.write(pools(groups), "pools"), ["lang", "source"], "left")
+    vectors = pooled.select("doc_id", "base_failed", "pool", "into", *(f().alias(f"x{i}") for i, (f, _) in enumerate(FEATURES.values())),
                             *(c for c in counted.columns if c.startswith("n_") or c == "word_chars"))
-    rows = vectors.where("NOT base_failed").select("pool", *(f"x{i}" for i in range(D)))
-    enough = rows.groupBy("pool").count().where(F.col("count") >= MIN_GROUP).select("pool")
-    now = scratch.write(first_estimate(rows).join(enough, "pool", "left_semi"), "estimate-0")
+    rows = vectors.where("NOT base_failed").select(F.explode("into").alias("pool"), *(f"x{i}" for i in range(D)))
+    now = scratch.write(first_estimate(rows), "estimate-0")
     for step in range(1, STEPS + 1):
         far = distances(rows, now)
         half = scratch.write(binned_quantile(far, ["pool"], "bin", 0.5), f"half-{step}")

@@ -10,6 +10,7 @@ import zlib
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -160,7 +161,6 @@ def test_quality_held_out_accuracy(spark):
 
 
 def test_isotonic_is_monotone_and_fits():
-    import numpy as np
     got = quality_classifier.isotonic(np.array([1., 2, 1, 4]), np.array([1., 0, 1, 4]))
     assert np.allclose(got, [1 / 3, 1 / 3, 1, 1])
 
@@ -216,6 +216,31 @@ def test_decontamination_brute_force(spark, block_bytes):
     assert {r.doc_id: (r.n_words, r.n_hit, r.items_sha256) for r in got} == {i: brute_hits(t, items) for i, t in rows}
 
 
+def test_benchmark_index_holds_every_window_in_bounded_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+    rng = random.Random(5)
+    items = [(f"i{i % 900}", " ".join(rng.choice("abcdefgh") + str(rng.randint(0, 300)) for _ in range(rng.choice((0, 1, 4, 9, 10, 11, 300)))))
+             for i in range(2000)]
+    rows = pa.table({"item": pa.array([i for i, _ in items]), "text": pa.array([t for _, t in items])})
+    tracemalloc.start()
+    index = decontamination.build_index(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20  # a block of a MB and arrays; no object per word
+    want = {}
+    for item, t in items:
+        w = t.split()
+        k = min(10, len(w))
+        for i in range(len(w) - k + 1 if k else 0):
+            want.setdefault((k, " ".join(w[i:i + k])), set()).add(item)
+    have = {k: {tuple(sorted(index.names[j] for j in owner[a:b])) for a, b in zip(first[:-1], first[1:])}
+            for k, (_, first, owner) in index.windows.items()}
+    assert sum(len(h) for h, _, _ in index.windows.values()) == len(want)
+    assert have == {k: {tuple(sorted(v)) for (n, _), v in want.items() if n == k} for k in have}
+
+
 # ---- 5: rules
 
 def test_rule_counts_brute_force(spark):
@@ -246,6 +271,59 @@ def test_rules_keep_clean_and_reject_junk(spark):
     assert sum(not r.kept for r, q in judged if not q) >= 0.9 * sum(not q for _, q in judged)
 
 
+def prose(rng, n):
+    words = [rng.choice("abdegilmnoprstuv") + rng.choice("aeiou") * rng.randint(1, 2) + rng.choice("dlmnrst") * rng.randint(0, 2) for _ in range(400)]
+    return " ".join(rng.choice(words) for _ in range(n))
+
+
+def junk(rng, n):
+    return " ".join("".join(rng.choice("#*$%&|<>ABCDEFGH") for _ in range(rng.randint(15, 60))) for _ in range(n))
+
+
+@pytest.mark.parametrize("rare", [58, 14, 3])
+def test_rules_judge_rare_languages_and_small_sources(spark, rare):
+    rng = random.Random(rare)
+    rows = [(i, prose(rng, rng.randint(30, 200)), "en", "web" if i % 2 else "books") for i in range(300)]
+    rows += [(1000 + i, prose(rng, rng.randint(30, 200)), "xx", "web") for i in range(rare - 1)] + [(1999, junk(rng, 60), "xx", "web")]
+    rows += [(2000 + i, prose(rng, rng.randint(30, 200)), "en", None) for i in range(5)] + [(2999, junk(rng, 60), "en", None)]
+    got = {r.doc_id: r for r in quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert {i for i, r in got.items() if not r.kept} == {1999, 2999}
+    assert all(r.distance is not None for r in got.values())
+
+
+def test_rules_against_numpy(spark):
+    """Concentration steps with exact quantiles over the whole group, in place of bins."""
+    rng = random.Random(8)
+    texts = [prose(rng, rng.randint(12, 400)) for _ in range(470)] + [junk(rng, rng.randint(12, 90)) for _ in range(30)]
+    frame = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality_rules.judge(frame).collect()}
+    x = []
+    for i, t in enumerate(texts):
+        r, capitals = got[i], len(re.findall("[A-Z]", t))
+        x.append((np.log1p(r.n_words), (r.word_chars + 125) / (r.n_words + 25), np.log1p(100 * r.n_symbols / (r.n_words + 10)),
+                  np.log1p(100 * (r.n_repeat_words + 5 * r.n_dup_lines) / (r.n_words + 10)), np.log1p(100 * capitals / (r.word_chars + 50))))
+    x = np.array(x)
+    floors = np.diag([f ** 2 for _, f in quality_rules.FEATURES.values()])
+    low, middle, high = np.quantile(x, [0.25, 0.5, 0.75], axis=0)
+    mean, cov = middle, np.diag(((high - low) / 1.349) ** 2) + floors
+    far = lambda: np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+    for _ in range(quality_rules.STEPS):
+        near = x[far() <= np.median(far())]
+        mean, cov = near.mean(axis=0), np.cov(near.T, bias=True) + floors
+    d = far() / max(np.median(far()) / quality_rules.CHI2_MEDIAN, 0.5)
+    mine = np.array([got[i].distance for i in range(len(texts))])
+    assert np.allclose(mine, d, rtol=0.1, atol=0.1)
+    clear = abs(d / quality_rules.CUT - 1) > 0.1
+    assert clear.sum() >= 480 and (np.array([got[i].kept for i in range(len(texts))]) == (d <= quality_rules.CUT))[clear].all()
+    assert not any(got[i].kept for i in range(470, 500))
+
+
+def test_rules_bins_are_bounded(spark):
+    rows = [(i, "x" * (10 ** (i % 6)) + " y" * (12 + i), "en", "s") for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert quality_rules.judge(frame).count() == 40
+
+
 # ---- 7: chat
 
 def test_chat_round_trip(spark):
@@ -390,7 +468,6 @@ def test_passages_without_borders_go_between_their_own_cuts(spark):
 
 def test_units_inside_a_text_depend_on_its_words_alone():
     """Brute force: cuts where a pair of words has the smallest hash of all within reach, units of two pieces."""
-    import numpy as np
     import pyarrow as pa
 
     from cartwise.llm import textvec
