@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cartwise.functions.scalar import round_doubles
@@ -54,6 +55,33 @@ def q_scan_csv_untyped(spark, sf_dir):
     return csv_io.scan_csv_untyped(spark, path, ORDER_TYPES)
 
 
+_SPOILED = compose("""
+, good AS (SELECT * FROM orders_v WHERE order_hour_of_day <> 23),
+r AS (SELECT 'order_number' AS column_name, 'out of range' AS reason FROM good WHERE order_number * 16 > 127
+      UNION ALL SELECT 'order_dow', 'not a number' FROM good WHERE order_dow = 0
+      UNION ALL SELECT 'order_hour_of_day', 'not an integer' FROM good WHERE order_hour_of_day = 12
+      UNION ALL SELECT '(line)', 'number of fields' FROM orders_v WHERE order_hour_of_day = 23)
+SELECT column_name, reason, count(*) AS n_rejected FROM r GROUP BY 1, 2
+UNION ALL SELECT '(rows)', 'read', count(*) FROM good""", views=("orders_v",))
+
+
+@register("scan_csv_rejects", _SPOILED)
+def q_scan_csv_rejects(spark, sf_dir):
+    """Orders as text lines with cells of the wrong kind and lines with a field too many: what is read and what is rejected."""
+    cells = {
+        "order_id": F.col("order_id"), "user_id": F.col("user_id"), "order_number": F.col("order_number") * 16,
+        "order_dow": F.when(F.col("order_dow") == 0, "sunday").otherwise(F.col("order_dow").cast("string")),
+        "order_hour_of_day": F.concat(F.col("order_hour_of_day").cast("string"), F.when(F.col("order_hour_of_day") == 12, ".5").otherwise("")),
+        "days_since_prior_order": F.coalesce(F.col("days_since_prior_order").cast("string"), F.lit(""))}
+    line = F.concat_ws(",", *[c.cast("string") for c in cells.values()], F.when(F.col("order_hour_of_day") == 23, "late"))
+    path = csv_io.new_scratch(spark, "orders-spoiled")
+    basket(spark, sf_dir).orders.select(line.alias("value")).write.text(path)
+    rows, rejects = csv_io.scan_csv_checked(spark, path, ORDER_TYPES | {"order_number": "tinyint"}, names=list(cells))
+    read = rows.agg(F.count("*").alias("n_rejected")).select(F.lit("(rows)").alias("column_name"), F.lit("read").alias("reason"), "n_rejected")
+    counts = csv_io.reject_counts(rejects).select(F.coalesce("column", F.lit("(line)")).alias("column_name"), "reason", "n_rejected")
+    return counts.unionByName(read)
+
+
 def _user_features_roundtrip(spark, sf_dir):
     b = basket(spark, sf_dir)
     uf = user.user_features(split_inputs(b.orders, b.lines, b.products, line_facts=b.line_facts))
@@ -87,24 +115,39 @@ def q_scan_as_factor(spark, sf_dir):
                                    "mean_count_of_products"))
 
 
+_LABEL = "count_ord_no_prev_purchased_items"
+
+
 @register("scan_labelled_matrix")
 def q_scan_labelled_matrix(spark, sf_dir):
     """Manifest CSV → (features vector, label) with the label found by name."""
     data, names = _user_features_roundtrip(spark, sf_dir)
     df = csv_io.scan_with_manifest(spark, data, names, types={"user_id": "long"})
-    label = "count_ord_no_prev_purchased_items"
     cols = csv_io.read_manifest(spark, names)
-    feats = [c for c in cols if c not in ("user_id", label)]
+    feats = [c for c in cols if c not in ("user_id", _LABEL)]
     out = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep").transform(df)
-    return out.select("user_id", F.col(label).alias("label"),
-                      F.lit(csv_io.label_index(cols, label)).alias("label_index"), "features")
+    return out.select("user_id", F.col(_LABEL).alias("label"),
+                      F.lit(csv_io.label_index(cols, _LABEL)).alias("label_index"), "features")
+
+
+_MATRIX = [c for c in USER_COLS if c != _LABEL]
+
+
+@register("scan_labelled_matrix_cells", compose(" UNION ALL ".join(
+    f"SELECT user_id, round({_LABEL}, 6) AS label, {1 + USER_COLS.index(_LABEL)} AS label_index, {i} AS position, "
+    f"round({c}, 6) AS value FROM uf" for i, c in enumerate(_MATRIX)), "uf"))
+def q_scan_labelled_matrix_cells(spark, sf_dir):
+    """The labelled matrix, one row a vector entry: label and layout as other engines see them."""
+    out = q_scan_labelled_matrix(spark, sf_dir)
+    return round_doubles(out.select("user_id", "label", "label_index", F.posexplode(vector_to_array("features")).alias("position", "value")))
 
 
-@register("scan_folds")
+@register("scan_folds", compose("""
+SELECT l.*, o.user_id, CAST(CAST(('0x' || substr(md5(CAST(o.user_id AS VARCHAR)), 1, 13)) AS BIGINT) % 3 AS INTEGER) AS fold
+FROM order_products_v l JOIN orders_v o ON l.order_id = o.order_id""", views=_V))
 def q_scan_folds(spark, sf_dir):
     """Lines split into 3 fold files by a hash of user_id and read back as one set."""
     b = basket(spark, sf_dir)
-    lines = b.lines.join(b.orders.select("order_id", "user_id"), "order_id")
     path = csv_io.new_scratch(spark, "folds")
-    csv_io.write_folds(lines, path, key="user_id", folds=3)
+    csv_io.write_folds(b.line_facts.select(*b.lines.columns, "user_id"), path, key="user_id", folds=3)
     return csv_io.scan_folds(spark, path)

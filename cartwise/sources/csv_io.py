@@ -38,7 +38,62 @@ def scan_csv_untyped(spark: SparkSession, path: str, types: dict[str, str]) -> D
     ``types`` stay strings.
     """
     raw = spark.read.option("header", True).csv(path)
-    return raw.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in raw.columns])
+    text = {c: F.col(f"`{c}`") for c in raw.columns}
+    return raw.select(*[text[c].try_cast(types[c]).alias(c) if c in types else text[c] for c in raw.columns])
+
+
+#: Holds a line as it stands when its number of fields is not the schema's.
+LINE = "__line"
+#: Bits of the integer types, by the names that Spark takes.
+INTEGER_BITS = {"tinyint": 8, "byte": 8, "smallint": 16, "short": 16, "int": 32, "integer": 32, "bigint": 64, "long": 64}
+
+
+def reject_reason(text: F.Column, kind: str) -> F.Column:
+    """Why ``text`` is no value of type ``kind`` (null where it is one, and where there is no text)."""
+    number = text.try_cast("double")
+    fits = text.isNull() | text.try_cast(kind).isNotNull()
+    if kind in INTEGER_BITS:
+        wrong = (F.when(number.isNull() | F.isnan(number), "not a number")
+                 .when(F.abs(number) >= float(2 ** (INTEGER_BITS[kind] - 1)), "out of range").otherwise("not an integer"))
+    elif kind in ("double", "float") or kind.startswith("decimal"):
+        wrong = F.when(number.isNull(), "not a number").otherwise("out of range")
+    else:
+        wrong = F.lit(f"not a {kind}")
+    return F.when(~fits, wrong)
+
+
+def scan_csv_checked(spark: SparkSession, path: str, types: dict[str, str],
+                     names: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """``scan_csv_untyped`` that keeps what it cannot read: ``(rows, rejects)``.
+
+    ``rows`` are the lines with the right number of fields, cast in bulk; a cell
+    that does not parse is null in them. ``rejects`` (column, text, reason) has a row for
+    each such cell, and one with a null column and the whole line for each line with too
+    few or too many fields, so rows and rejected lines add up to the lines of the files.
+    Both read the files once, without a shuffle. ``names`` are the columns of files
+    without a header. At least one column must be typed.
+    """
+    header = names is None
+    names = spark.read.option("header", True).csv(path).columns if header else names
+    typed = [c for c in names if c in types]
+    if not typed:
+        raise ValueError(f"no column of {path} is typed: there is nothing to check")
+    schema = StructType([StructField(n, StringType()) for n in (*names, LINE)])
+    raw = (spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE").option("columnPruning", False)
+           .option("columnNameOfCorruptRecord", LINE).csv(path))
+    text = {c: F.col(f"`{c}`") for c in names}
+    # always true where LINE is null: Spark refuses to read the column of malformed lines alone (a count would)
+    whole = F.col(LINE).isNull() & (F.coalesce(F.length(text[names[0]]), F.lit(0)) >= 0)
+    rows = raw.where(whole).select(*[(text[c].try_cast(types[c]) if c in types else text[c]).alias(c) for c in names])
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), text[c].alias("text"), reject_reason(text[c], types[c]).alias("reason")) for c in typed])
+    line = F.array(F.struct(F.lit(None).cast("string").alias("column"), F.col(LINE).alias("text"), F.lit("number of fields").alias("reason")))
+    found = F.when(whole, F.filter(cells, lambda x: x["reason"].isNotNull())).otherwise(line)
+    return rows, raw.select(F.inline(found))
+
+
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    """(column, reason, n_rejected) of the second frame of ``scan_csv_checked``."""
+    return rejects.groupBy("column", "reason").agg(F.count("*").alias("n_rejected"))
 
 
 def manifest_text(columns: list[str]) -> str:
@@ -92,10 +147,15 @@ def label_index(columns: list[str], label: str) -> int:
     return columns.index(label)
 
 
+def fold_of(key: F.Column, folds: int) -> F.Column:
+    """Fold (0 .. folds - 1) of a key by the first 52 bits of its text's MD5: other engines compute the same one."""
+    digest = F.md5(F.coalesce(key.cast("string"), F.lit("")))
+    return F.pmod(F.conv(F.substring(digest, 1, 13), 16, 10).cast("long"), F.lit(folds)).cast("int")
+
+
 def write_folds(df: DataFrame, path: str, key: str = "user_id", folds: int = 3) -> str:
     """Write ``df`` split into ``folds`` files by a hash of ``key`` (partitioned folders)."""
-    (df.withColumn("fold", F.pmod(F.xxhash64(F.col(key)), F.lit(folds)).cast("int"))
-     .write.mode("overwrite").partitionBy("fold").parquet(path))
+    df.withColumn("fold", fold_of(F.col(key), folds)).write.mode("overwrite").partitionBy("fold").parquet(path)
     return path
 
 

@@ -4,17 +4,20 @@ Each is ``<folder>/<name>.csv`` (header, every column read as text and cast in
 bulk) or ``<folder>/<name>.parquet``. Lines get their order's attributes,
 eval_set and basket size in one join and are written once, partitioned by
 eval_set, as the feature plans expect. A line whose order is absent is kept
-with a null user: no feature of a user counts it.
+in the stored lines with a null user and a null eval_set: it enters no feature and is
+counted by ``lines_without_order``. Cells that do not parse are counted by ``rejected``.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwise.plans.base import ORDER_ATTRS, basket_sizes
 from cartwise.session import materialize
-from cartwise.sources.csv_io import scan_csv_untyped
+from cartwise.sources.csv_io import reject_counts, scan_csv_checked, scan_csv_untyped
 from cartwise.sources.views import BasketTables
 
 TYPES = {
@@ -32,6 +35,14 @@ def read(spark: SparkSession, folder: str, name: str, kind: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def rejected(spark: SparkSession, folder: str) -> DataFrame:
+    """(table, column, reason, n_rejected): cells of the CSV tables that ``read`` takes as null, and lines with
+    a wrong number of fields (null column; they are read with what fields they have)."""
+    counts = (reject_counts(scan_csv_checked(spark, f"{folder}/{name}.csv", types)[1]).select(F.lit(name).alias("table"), "*")
+              for name, types in TYPES.items())
+    return reduce(DataFrame.unionByName, counts)
+
+
 def lines_without_order(tables: BasketTables) -> DataFrame:
     """(reason, n_lines): lines that enter no feature, as ``views.dropped_rows`` lists them for the star schema."""
     return tables.line_facts.where(F.col("eval_set").isNull()).agg(F.count("*").alias("n_lines")).where("n_lines > 0").select(

@@ -24,7 +24,7 @@ from cartwise.plans import assemble  # noqa: E402
 from cartwise.plans.base import split_inputs  # noqa: E402
 from cartwise.plans.user import REFERENCE_KEYWORDS  # noqa: E402
 from cartwise.session import ensure_checkpoint_dir  # noqa: E402
-from cartwise.sources.retail import lines_without_order, load_retail  # noqa: E402
+from cartwise.sources.retail import lines_without_order, load_retail, rejected  # noqa: E402
 from cartwise.sources.views import dropped_rows, load_basket  # noqa: E402
 
 
@@ -42,6 +42,8 @@ def main(argv=None) -> None:
     b = load_basket(spark, args.input, materialize=True) if args.format == "star" else load_retail(spark, args.input, args.format)
     dropped = dropped_rows(spark, args.input) if args.format == "star" else lines_without_order(b)
     dropped.write.mode("overwrite").json(os.path.join(args.output, "dropped_lines"))
+    if args.format == "csv":
+        rejected(spark, args.input).write.mode("overwrite").json(os.path.join(args.output, "rejected_cells"))
     leak_free = args.leak_free
     words = tuple(w.strip().lower() for w in args.keywords.split(",") if w.strip())
     if leak_free:

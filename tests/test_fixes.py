@@ -127,6 +127,14 @@ def test_lines_without_an_order_are_counted(spark, tmp_path):
     assert [tuple(r) for r in retail.lines_without_order(retail.load_retail(spark, str(tmp_path))).collect()] == [("no order", 2)]
 
 
+def test_cells_that_do_not_parse_are_counted(spark, tmp_path):
+    _retail(spark, str(tmp_path))
+    assert retail.rejected(spark, str(tmp_path)).collect() == []
+    spark.createDataFrame([("90001", "u7", "1", "2")], "order_id string, product_id string, add_to_cart_order string, reordered string") \
+        .write.mode("append").option("header", True).csv(f"{tmp_path}/order_products__train.csv")
+    assert [tuple(r) for r in retail.rejected(spark, str(tmp_path)).collect()] == [("order_products__train", "product_id", "not a number", 1)]
+
+
 def _retail(spark, folder):
     orders, lines = [], {"prior": [], "train": []}
     number = 0
