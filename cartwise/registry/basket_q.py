@@ -150,16 +150,58 @@ def q_f_beta_from_counts(spark, sf_dir):
     return round_doubles(B.f_scores(B.set_counts(pred, truth), betas=(1.0, 2.0)))
 
 
-@register("basket_select")
+# The expected F1 of every cut-off, from the distributions of the hits before it (fwd) and behind it (bwd).
+_CURVE_SQL = """
+, rk AS (SELECT user_id, product_id, reordered, p, count(*) OVER (PARTITION BY user_id) AS n,
+                row_number() OVER (PARTITION BY user_id ORDER BY p DESC, product_id) AS i FROM sc),
+fwd(user_id, k, d) AS (
+  SELECT DISTINCT user_id, CAST(0 AS BIGINT), [1.0::DOUBLE] FROM rk
+  UNION ALL
+  SELECT f.user_id, f.k + 1, [coalesce(f.d[j + 1], 0.0) * (1 - r.p) + CASE WHEN j > 0 THEN f.d[j] * r.p ELSE 0.0 END FOR j IN range(f.k + 2)]
+  FROM fwd f JOIN rk r ON r.user_id = f.user_id AND r.i = f.k + 1),
+bwd(user_id, k, d) AS (
+  SELECT DISTINCT user_id, n, [1.0::DOUBLE] FROM rk
+  UNION ALL
+  SELECT b.user_id, b.k - 1, [coalesce(b.d[j + 1], 0.0) * (1 - r.p) + CASE WHEN j > 0 THEN b.d[j] * r.p ELSE 0.0 END FOR j IN range(r.n - b.k + 2)]
+  FROM bwd b JOIN rk r ON r.user_id = b.user_id AND r.i = b.k),
+hit AS (SELECT user_id, k, unnest(d) AS ph, unnest(range(k + 1)) AS h FROM fwd),
+mix AS (SELECT t.user_id, t.k, t.ph, t.h, unnest(b.d) AS pr, unnest(range(len(b.d))) AS r
+         FROM hit t JOIN bwd b ON b.user_id = t.user_id AND b.k = t.k),
+nothing AS (SELECT user_id, d[1] AS p_none FROM bwd WHERE k = 0),
+e AS (SELECT user_id, k, sum(ph * pr * 2 * h / (k + 1 + h + r)) AS w, sum(CASE WHEN h > 0 THEN ph * pr * 2 * h / (k + h + r) ELSE 0.0 END) AS wo
+      FROM mix GROUP BY user_id, k),
+curve AS (SELECT e.user_id, CAST(k AS INTEGER) AS k, true AS with_none, w + 2 * p_none / (k + 2) AS expected_f1 FROM e JOIN nothing ON e.user_id = nothing.user_id
+          UNION ALL SELECT user_id, CAST(k AS INTEGER), false, wo FROM e),
+best AS (SELECT user_id, k AS best_k, with_none AS pred_none, expected_f1 AS max_f1 FROM (
+           SELECT *, max(expected_f1) OVER (PARTITION BY user_id) AS top FROM curve) t
+         WHERE expected_f1 >= top - 1e-12
+         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY with_none DESC, k) = 1)
+"""
+
+
+def curve_sql(body: str) -> str:
+    return lf_sql(_CURVE_SQL + body, scored=True).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@register("basket_select", curve_sql("""
+SELECT b.user_id, b.best_k, b.pred_none, round(b.max_f1, 6) AS max_f1, CAST(max(r.n) AS INTEGER) AS n_candidates,
+       coalesce(string_agg(CAST(r.product_id AS VARCHAR), '|' ORDER BY r.i) FILTER (WHERE r.i <= b.best_k), '') AS products
+FROM best b JOIN rk r ON r.user_id = b.user_id GROUP BY b.user_id, b.best_k, b.pred_none, b.max_f1"""))
 def q_basket_select(spark, sf_dir):
-    return B.select(_scored(spark, sf_dir))
+    # the list as text, so that it hashes the same in any engine
+    return round_doubles(B.select(_scored(spark, sf_dir)).withColumn("products", F.array_join("products", "|")))
 
 
-@register("expected_f1_curve")
+@register("expected_f1_curve", curve_sql("SELECT user_id, k, with_none, round(expected_f1, 6) AS expected_f1 FROM curve"))
 def q_expected_f1_curve(spark, sf_dir):
-    return B.expected_f1_curve(_scored(spark, sf_dir))
+    return round_doubles(B.expected_f1_curve(_scored(spark, sf_dir)))
 
 
-@register("basket_f1_eval")
+@register("basket_f1_eval", curve_sql("""
+, t AS (SELECT b.user_id, b.best_k + CAST(b.pred_none AS INTEGER) AS n_pred, greatest(sum(r.reordered), 1) AS n_true,
+               sum(CASE WHEN r.i <= b.best_k THEN r.reordered ELSE 0 END)
+               + CASE WHEN b.pred_none AND sum(r.reordered) = 0 THEN 1 ELSE 0 END AS tp
+        FROM best b JOIN rk r ON r.user_id = b.user_id GROUP BY b.user_id, b.best_k, b.pred_none)
+SELECT count(*) AS n_users, round(avg(2.0 * tp / (n_pred + n_true)), 6) AS mean_f1 FROM t"""))
 def q_basket_f1_eval(spark, sf_dir):
-    return E.basket_f1(_scored(spark, sf_dir))
+    return round_doubles(E.basket_f1(_scored(spark, sf_dir)))
