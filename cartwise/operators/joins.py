@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: The total of orders that goes with each calendar column.
+CALENDAR_TOTALS = {"order_dow": "total_ord_count_p_dow", "order_hour_of_day": "total_ord_count_p_ohod"}
+
+
 def lines_orders(lines: DataFrame, orders: DataFrame) -> DataFrame:
     """Order lines ⟕ orders on order_id."""
     return lines.join(orders, "order_id", "left")
@@ -56,10 +60,13 @@ def composite_key(left: DataFrame, right: DataFrame, keys=("user_id", "product_i
     return left.join(right, list(keys), how)
 
 
+def orders_by(orders: DataFrame, column: str, name: str) -> DataFrame:
+    return orders.groupBy(column).agg(F.count("order_id").alias(name))
+
+
 def calendar_counts(orders: DataFrame) -> DataFrame:
     """Orders ⟕ per-dow totals ⟕ per-hour totals; AQE broadcasts the small sides by their measured size."""
-    dow = orders.groupBy("order_dow").agg(F.count("order_id").alias("total_ord_count_p_dow"))
-    hour = orders.groupBy("order_hour_of_day").agg(F.count("order_id").alias("total_ord_count_p_ohod"))
-    return (orders.select("user_id", "order_id", "order_dow", "order_hour_of_day")
-            .join(dow, "order_dow", "left")
-            .join(hour, "order_hour_of_day", "left"))
+    kept = orders.select("user_id", "order_id", "order_dow", "order_hour_of_day")
+    for column, name in CALENDAR_TOTALS.items():
+        kept = kept.join(orders_by(orders, column, name), column, "left")
+    return kept

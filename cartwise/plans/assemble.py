@@ -6,11 +6,11 @@ selected by name (never by position):
     user_id, product_id, [reordered], 2 time, 8 user, 21 product, 3 user×product
 
 Join plan of the training frame: the line facts carry each order's day and
-hour, so the time totals (key domains of 7 and 24 values) are broadcast onto
-them; the product features are broadcast after a row-count check; user
-features are attached to the user×product frame first, so the line-sized
-frame is shuffled once, on (user_id, product_id). Every feature side is
-unique on its key, so no join multiplies rows.
+hour, so the time totals (key domains of 7 and 24 values) are small sides that
+the planner broadcasts. User and product features are attached to the user×product frame, so
+the line-sized frame meets them in one join and is shuffled once, on (user_id,
+product_id), a key that no hot product or hot user fills alone. Every feature side is unique on its
+key, so no join multiplies rows.
 """
 
 from __future__ import annotations
@@ -37,8 +37,9 @@ class FeatureSet:
     """The four feature frames of one input, each built once.
 
     With ``materialize=True`` (default) the shared line facts are written
-    once and so are the product features (one row per product); their file
-    size is what decides between a broadcast and a shuffle join.
+    once and so are the product features (one row per product) and the calendar totals; the
+    planner chooses their joins by the size of the files. (Totals that are not written have no
+    measured size yet when the line-sized side of their join is shuffled.)
     """
 
     def __init__(self, fi: FeatureInput, keywords: tuple[str, ...] = FIXTURE_KEYWORDS,
@@ -48,8 +49,10 @@ class FeatureSet:
         self.product = product_features(self.fi, faithful_streaks)
         self.user_product = user_product_features(self.fi)
         self.time = time_features(self.fi.orders)
+        self.dow, self.hour = orders_per_dow(self.fi.orders), orders_per_hour(self.fi.orders)
         self.product_side = self.product
         if materialize:
+            self.dow, self.hour = write_table(self.dow, "orders-per-dow"), write_table(self.hour, "orders-per-hour")
             self.product = write_table(self.product, "product-features")
             self.product_side = self.product  # read from files: the planner knows its size
 
@@ -66,20 +69,19 @@ def train_frame_from(fs: FeatureSet) -> DataFrame:
     """Every feature line with its label (analysed behaviour: features and
     labels come from the same lines).
 
-    The line facts already carry each order's user, day and hour, so the
-    time totals (<= 7 and <= 24 rows) are broadcast onto them directly, the
-    product side is broadcast after its size check, and user features are
-    first attached to the user×product frame: the line-sized frame is
-    shuffled once, on (user_id, product_id).
+    Every line's (user, product) is a row of the user×product frame, so the product
+    features travel with that frame too and the lines are shuffled once. Lines
+    without a user keep their product's features alone, those without a product none.
     """
     f = fs.fi.facts
-    up_user = fs.user_product.join(fs.user, "user_id", "left")
-    frame = (f.select("order_id", "product_id", "user_id", "order_dow", "order_hour_of_day", LABEL)
-             .join(orders_per_dow(fs.fi.orders), "order_dow", "left")
-             .join(orders_per_hour(fs.fi.orders), "order_hour_of_day", "left")
+    own = [F.when(F.col("user_id").isNotNull(), F.col(c)).alias(c) for c in UP_FEATURES]
+    sides = (fs.user_product.select(*KEYS, *own).join(fs.user, "user_id", "left").join(fs.product_side, "product_id", "left")
+             .withColumnsRenamed({"user_id": "_user", "product_id": "_product"}))
+    frame = (f.select(*KEYS, "order_dow", "order_hour_of_day", LABEL)
+             .join(fs.dow, "order_dow", "left")
+             .join(fs.hour, "order_hour_of_day", "left")
              .withColumns({c: F.col(c).cast("double") for c in TIME_FEATURES})
-             .join(fs.product_side, "product_id", "left")
-             .join(up_user, list(KEYS), "left"))
+             .join(sides, F.col("user_id").eqNullSafe(F.col("_user")) & (F.col("product_id") == F.col("_product")), "left"))
     return frame.select(*TRAIN_COLUMNS)
 
 
@@ -106,8 +108,8 @@ def train_frame(orders: DataFrame, lines: DataFrame, products: DataFrame, leak_f
 def _attach_target_time(frame: DataFrame, targets: DataFrame, fs: FeatureSet) -> DataFrame:
     """Leak-free time features: totals of the target order's dow / hour over history orders."""
     t = (targets.select("user_id", "order_dow", "order_hour_of_day")
-         .join(orders_per_dow(fs.fi.orders), "order_dow", "left")
-         .join(orders_per_hour(fs.fi.orders), "order_hour_of_day", "left")
+         .join(fs.dow, "order_dow", "left")
+         .join(fs.hour, "order_hour_of_day", "left")
          .select("user_id", *[F.col(c).cast("double").alias(c) for c in TIME_FEATURES]))
     return (frame.join(t, "user_id", "left").join(fs.user, "user_id", "inner")
             .join(fs.product_side, "product_id", "inner"))
