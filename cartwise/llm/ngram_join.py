@@ -37,6 +37,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 from hashlib import blake2b
 
@@ -64,8 +65,10 @@ CLASS_MEMORY = 1 << 18
 LEADS = 2
 #: Entries from which on a list's pairs are first held against all that the two classes share.
 LONG_LIST = 16
-#: Rows up to which the list of wanted documents is broadcast; beyond, it is joined by a shuffle of the texts.
+#: Rows up to which a list of wanted documents or classes is broadcast; beyond, it is joined by a shuffle of the texts.
 BROADCAST_ROWS = 1 << 20
+#: Pairs of texts that go to a Python worker at once.
+PAIRS_A_BATCH = 1000
 #: Entries from which on a list is cut into blocks; every pair of blocks is a group of its own.
 SPLIT_LIST = 1 << 12
 #: Pairs, and numbers of a dense block, that a task looks at together.
@@ -229,10 +232,31 @@ def texts_of(classes: DataFrame, members: DataFrame, docs: DataFrame, scratch: S
 COMPARED = "a long, b long, overlap int, a_n int, b_n int"
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows, for rows that hold two texts each."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows if int(before) <= 0 else min(rows, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def compare(pairs: DataFrame, texts: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """(a, b, overlap, a_n, b_n) of class pairs, from their texts."""
-    sides = (pairs.select("a", "b").join(texts.select(F.col("cls").alias("a"), F.col("text").alias("a_text")), "a")
-             .join(texts.select(F.col("cls").alias("b"), F.col("text").alias("b_text")), "b"))
+    """(a, b, overlap, a_n, b_n) of class pairs, from their texts.
+
+    The pairs are written first: only texts that one of them names are shuffled to meet them.
+    """
+    pairs = scratch.write(pairs.select("a", "b"), f"{name}-pairs")
+    few = pairs.count() <= BROADCAST_ROWS
+
+    def side(key: str) -> DataFrame:
+        named = texts.join(F.broadcast(pairs.select(F.col(key).alias("cls")).distinct()), "cls", "left_semi") if few else texts
+        return named.select(F.col("cls").alias(key), F.col("text").alias(f"{key}_text"))
+
+    sides = pairs.join(side("a"), "a").join(side("b"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, held_set = None, None
@@ -251,7 +275,10 @@ def compare(pairs: DataFrame, texts: DataFrame, scratch: Scratch, name: str) ->
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), *[pa.int32()] * 3), strict=True)],
                                                  names=["a", "b", "overlap", "a_n", "b_n"])
 
-    return scratch.write(sides.mapInArrow(run, COMPARED), name)
+    with small_batches(scratch.spark, PAIRS_A_BATCH):
+        compared = scratch.write(sides.mapInArrow(run, COMPARED), name)
+    scratch.drop(f"{name}-pairs")
+    return compared
 
 
 def linked(overlap, sizes):
