@@ -57,8 +57,8 @@ SHINGLE = 5
 MOST_HOT = 1 << 18
 HOT_IN_TASK = 2
 HOT_IN_ALL = 16
-#: Shingles that a task counts at once.
-COUNT_BLOCK = 4 << 20
+#: Shingles that a task counts at once (a worker keeps the memory that this took).
+COUNT_BLOCK = 1 << 20
 #: Classes that a task remembers to list copies once.
 CLASS_MEMORY = 1 << 18
 #: Rounds of comparing every class with one leader, before lists are gone through pair by pair.
@@ -102,7 +102,8 @@ def hot_shingles(docs: DataFrame, most: int = MOST_HOT, in_task: int = HOT_IN_TA
     """The most frequent shingles, sorted. Tasks send only shingles frequent in themselves; the result's size is bounded."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(held):
-            values = np.sort(np.concatenate(held))
+            values = np.concatenate(held)
+            values.sort()
             heads = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
             times = np.diff(np.r_[heads, len(values)])
             often = times >= in_task
