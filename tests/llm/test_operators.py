@@ -100,7 +100,6 @@ def test_join_borderline_groups(spark, monkeypatch, hot):
         monkeypatch.setattr(ngram_join, "LONG_LIST", 2)
         monkeypatch.setattr(ngram_join, "SPLIT_LIST", 3)
         monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", 0)  # no side is broadcast
-        monkeypatch.setattr(ngram_join, "PAIRS_A_BATCH", 7)
         monkeypatch.setattr(ngram_join, "hot_shingles", lambda d, f=ngram_join.hot_shingles: f(d, most=500, in_task=1, in_all=3))
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(docs).collect()}
     assert got == brute_components(rows)
