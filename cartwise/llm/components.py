@@ -15,13 +15,13 @@ def _smallest(pairs: DataFrame) -> DataFrame:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     pairs = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return pairs.join(_smallest(pairs), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    return pairs.join(_smallest(pairs).hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     pairs = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = _smallest(pairs)
-    moved = pairs.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = pairs.join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
 
@@ -29,7 +29,8 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "components") ->
     """(u, v): every node that has an edge, except a component's smallest, and that smallest node.
 
     Each round is written, so that lineage stays short; rounds grow with the
-    logarithm of the longest path.
+    logarithm of the longest path. Joins are merge joins: neighbours and minima are
+    grouped by node on executors and never broadcast.
     """
     now = scratch.write(edges.where("u <> v").distinct(), f"{name}-0")
     mark, step = None, 0

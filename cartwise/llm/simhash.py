@@ -18,7 +18,8 @@ which more than ``CELL`` fingerprints meet is cut into blocks by hash, and every
 pair of blocks is a cell of its own, so no task holds more than two blocks. A cell
 answers with edges that connect what it found linked, not with all pairs: at
 most one less than its fingerprints, or 28 in cells of up to ``SMALL``. Components
-come from all edges together; no cap applies and no link is lost.
+come from all edges together; no cap applies and no link is lost. Joins are merge
+joins, so nothing that grows with the documents passes through the driver.
 
 Defined results: null, empty and word-free texts have fingerprint zero, linked like
 any other; very long texts are hashed in pieces; repeated rows give repeated
@@ -158,7 +159,8 @@ def edges(prints: DataFrame, cell: int = CELL) -> DataFrame:
     rows = table_rows(prints)
     live = rows.groupBy("key").agg(F.count("*").alias("n"), F.max("own").alias("owned")).where("owned AND n > 1").select(
         "key", F.ceil(F.col("n") / cell).alias("blocks"))
-    met = rows.join(live, "key").withColumn("block", F.pmod(F.xxhash64("fp", "key"), F.col("blocks")))
+    # a merge join whatever the planner expects: it judges the rows by the file before each fingerprint became 34 of them
+    met = rows.join(live.hint("merge"), "key").withColumn("block", F.pmod(F.xxhash64("fp", "key"), F.col("blocks")))
     cells = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda x: F.struct(F.least(x, "block").alias("i"), F.greatest(x, "block").alias("j")))
     placed = met.select("key", "fp", F.explode(cells).alias("c")).select("key", "c.i", "c.j", "fp")
     return verified(placed)
@@ -171,11 +173,11 @@ def near_duplicates(docs: DataFrame, cell: int = CELL) -> DataFrame:
     marked = scratch.write(fingerprints(docs), "fingerprints")
     classes = scratch.write(marked.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
     comps = components(edges(classes.select("fp"), cell), scratch).select(F.col("u").alias("fp"), F.col("v").alias("comp"))
-    named = classes.join(comps, "fp", "left").withColumn("top", F.coalesce("comp", "fp"))
+    named = classes.join(comps.hint("merge"), "fp", "left").withColumn("top", F.coalesce("comp", "fp"))
     least = named.groupBy("top").agg(F.min("least").alias("component_id"))
-    of_class = named.join(least, "top").select("fp", "component_id")
+    of_class = named.join(least.hint("merge"), "top").select("fp", "component_id")
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0")
-    return marked.join(of_class, "fp", "left").select("doc_id", hexed.alias("fingerprint"),
+    return marked.join(of_class.hint("merge"), "fp", "left").select("doc_id", hexed.alias("fingerprint"),
                                                       F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 

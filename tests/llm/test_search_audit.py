@@ -85,6 +85,18 @@ def test_simhash_links_of_every_kind(spark, cell):
     assert {p: found.get(p, p) for p in signed} == near(list(zip(signed, prints)))
 
 
+def test_simhash_broadcasts_no_fingerprints(spark):
+    """The planner sees a small file of fingerprints, not the 34 keys of each: no join may send them through the driver."""
+    plain = simhash.edges(spark.range(200).selectExpr("id * 2654435761 AS fp"))
+    stars = components(spark.range(200).selectExpr("id + 1 AS u", "id AS v"), Scratch(spark, "t-stars"))
+    whole = simhash.near_duplicates(cases.documents(spark))
+    assert stars.count() == 200 and {r.v for r in stars.collect()} == {0}
+    for df in (plain, whole):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_simhash_odd_rows(spark):
     got = simhash.near_duplicates(cases.documents(spark)).collect()
     by_id = {r.doc_id: r for r in got if r.doc_id is not None}
