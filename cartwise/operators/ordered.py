@@ -24,10 +24,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwise.session import materialize
+
 # Groups above this many rows are split.
 HOT_GROUP_ROWS = 1_000_000
 # Segments that a hot group is cut into (fewer where its ordering values repeat).
 SEGMENTS = 256
+# Rows of one task of a spread table.
+TASK_ROWS = 250_000
 
 
 def segment(df: DataFrame, keys: list[str], split_col: str, max_rows: int = HOT_GROUP_ROWS,
@@ -40,22 +44,46 @@ def segment(df: DataFrame, keys: list[str], split_col: str, max_rows: int = HOT_
     are literals (segment 0, not hot): Catalyst prunes every correction branch
     and the plan is the plain window. Otherwise hot groups (null keys too) are
     cut at ``SEGMENTS`` quantiles of their ordering column, so that
-    clumped values do not share a segment; equal values still do.
+    clumped values do not share a segment; equal values still do. Quantiles are
+    taken of hot groups alone.
     """
     plain = {"_seg": F.lit(0).cast("long"), "_hot": F.lit(False), "_gsize": F.lit(None).cast("long")}
-    if (df.count() if largest is None else largest) <= max_rows:
+    most = df.count() if largest is None else largest
+    hot = None if most <= max_rows else hot_groups(df, keys, max_rows)
+    if hot is None:
         return df.withColumns(plain)
     x = F.col(split_col).cast("double")
     # mergeable quantiles: a hot group is summed up in every task, never gathered in one
     cuts = F.array_distinct(F.percentile_approx(x, [i / SEGMENTS for i in range(SEGMENTS)], 40 * SEGMENTS))
-    bounds = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), cuts.alias("_cuts")).where(F.col("_n") > max_rows)
-              .withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(keys)}))
-    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)))
+    named = [f"_k{i}" for i in range(len(keys))]
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, named, strict=True)))
+    bounds = materialize(df.join(hot, same).groupBy(*named).agg(F.first("_n").alias("_n"), cuts.alias("_cuts")), "hot-bounds")
     j = df.join(bounds, same, "left")
     seg = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(
         F.greatest(F.lit(0), F.size(F.filter("_cuts", lambda c: c <= x)) - 1)).cast("long")
     return (j.withColumn("_seg", seg).withColumn("_hot", F.col("_cuts").isNotNull())
-            .withColumn("_gsize", F.col("_n")).drop("_n", "_cuts", *(f"_k{i}" for i in range(len(keys)))))
+            .withColumn("_gsize", F.col("_n")).drop("_n", "_cuts", *named))
+
+
+def hot_groups(df: DataFrame, keys: list[str], max_rows: int) -> DataFrame | None:
+    """(_k0, ..., _n): the groups above ``max_rows`` rows, written; None if there are none.
+
+    Rows are counted by a hash of the key first: a hash that holds no more than
+    ``max_rows`` rows has no hot group, and a task sends one row a hash. Only the
+    groups of fuller hashes are counted one by one.
+    """
+    number = F.pmod(F.xxhash64(*keys), F.lit(max(1024, 16 * df.count() // max_rows)))
+    full = materialize(df.groupBy(number.alias("_b")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_rows).select("_b"), "full-hashes")
+    if full.isEmpty():
+        return None
+    groups = df.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), number.alias("_b")).join(full, "_b", "left_semi")
+    hot = materialize(groups.groupBy(*(f"_k{i}" for i in range(len(keys)))).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_rows), "hot-groups")
+    return None if hot.isEmpty() else hot
+
+
+def spread(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """``df`` dealt by ``keys`` over as many tasks as its ``rows`` need: a task's windows hold ``TASK_ROWS`` on average, whatever the session's setting."""
+    return df.repartition(max(1, -(-rows // TASK_ROWS)), *keys)
 
 
 def _null_safe_left(df: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
