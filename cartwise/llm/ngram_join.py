@@ -42,7 +42,8 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartwise.llm import textvec
@@ -64,7 +65,7 @@ CLASS_MEMORY = 1 << 18
 LEADS = 2
 #: Entries from which on a list's pairs are first held against all that the two classes share.
 LONG_LIST = 16
-#: Rows up to which a list of wanted documents or classes is broadcast; beyond, it is joined by a shuffle of the texts.
+#: Rows up to which a list of wanted documents, classes, pairs or components is broadcast; beyond, it is joined by a shuffle of the larger side.
 BROADCAST_ROWS = 1 << 20
 #: Entries from which on a list is cut into blocks; every pair of blocks is a group of its own.
 SPLIT_LIST = 1 << 12
@@ -187,12 +188,14 @@ def shared_lists(entries: DataFrame) -> DataFrame:
     """The entries of lists with two or more classes, each class once.
 
     Rows arrive sorted by (token, cls), so a list is streamed and only its
-    first entry is ever held back.
+    first entry is ever held back. ``token`` is the list's number from here on: lists are counted in their task,
+    and the count is dealt over the tasks, so numbers are exact and no larger than the lists are many.
     """
     names = [c.split()[0] for c in LISTED.split(", ")]
+    parts = shuffle_parts(entries.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, pending = (None, None), None
+        last, pending, held_token, lists, task = (None, None), None, None, 0, TaskContext.get().partitionId()
         for batch in batches:
             cols = [batch.column(c).to_numpy() for c in names]
             if len(cols[0]) == 0:
@@ -213,18 +216,27 @@ def shared_lists(entries: DataFrame) -> DataFrame:
             pending = None if many[-1] else [c[-1:] for c in cols]
             last = (token[-1], cols[1][-1])
             if len(out[0]):
+                if goes_on and held_token == out[0][0]:
+                    lists -= 1
+                held_token = out[0][-1]
+                number = lists + np.cumsum(np.r_[False, out[0][1:] != out[0][:-1]])
+                lists = int(number[-1]) + 1
+                out[0] = number * parts + task
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], names=names)
 
-    parts = shuffle_parts(entries.sparkSession)
     return entries.repartition(parts, "token").sortWithinPartitions("token", "cls").mapInArrow(run, LISTED)
 
 
+def few(rows: DataFrame) -> DataFrame:
+    """A written table, broadcast up to ``BROADCAST_ROWS`` rows."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def texts_of(classes: DataFrame, members: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     """(cls, text): the text of one document of each class, written once for all comparisons."""
     ids = scratch.write(members.join(classes, "cls").groupBy("cls").agg(F.min("doc_id").alias("doc_id")), "ids")
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
     # rows that share a doc_id may be of other classes: those are told apart by their class when compared
-    return scratch.write(docs.join(ids, "doc_id").select("cls", "text"), "texts")
+    return scratch.write(docs.join(few(ids), "doc_id").select("cls", "text"), "texts")
 
 
 COMPARED = "a long, b long, overlap int, a_n int, b_n int"
@@ -233,16 +245,18 @@ COMPARED = "a long, b long, overlap int, a_n int, b_n int"
 def compare(pairs: DataFrame, texts: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(a, b, overlap, a_n, b_n) of class pairs, from their texts.
 
-    The pairs are written first: only texts that one of them names are shuffled to meet them.
+    The pairs are written first: a text meets them where it lies and is shuffled once, to its pair's other text,
+    and only texts that a pair names are shuffled.
     """
     pairs = scratch.write(pairs.select("a", "b"), f"{name}-pairs")
-    few = pairs.count() <= BROADCAST_ROWS
+    near = pairs.count() <= BROADCAST_ROWS
 
     def side(key: str) -> DataFrame:
-        named = texts.join(F.broadcast(pairs.select(F.col(key).alias("cls")).distinct()), "cls", "left_semi") if few else texts
-        return named.select(F.col("cls").alias(key), F.col("text").alias(f"{key}_text"))
+        return texts.select(F.col("cls").alias(key), F.col("text").alias(f"{key}_text"))
 
-    sides = pairs.join(side("a"), "a").join(side("b"), "b")
+    lefts = side("a").join(F.broadcast(pairs) if near else pairs, "a")
+    rights = side("b").join(F.broadcast(pairs.select("b").distinct()), "b", "left_semi") if near else side("b")
+    sides = lefts.join(rights, "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, held_set = None, None
@@ -318,19 +332,19 @@ def cross_pairs(rows: DataFrame) -> DataFrame:
     Input columns: cell, side, token, cls, n, pos, comp, leader, overlap, leader_n (the last
     three null where a class was compared with no leader). A cell is a list or two blocks
     of a long one: rows of side -1 meet all others, those of a side only other sides. ``sure`` marks pairs
-    that the lower bound links. In long lists ``open`` and ``long`` hold the shingles
-    that a class has in any open and in any long list: pairs that share too few
+    that the lower bound links. In long lists ``short`` and ``long`` hold the numbers of all open
+    lists that a class is in, the short and the long ones: pairs that share too few
     are left out, the others make one row, in the first long list that they
     share, with ``times`` such lists.
     """
     schema = "a long, b long, a_n int, b_n int, a_pos int, b_pos int, sure boolean, times int"
 
-    def pairs_of(_, side, token, n, pos, cls, comp, leader, over, lead_n, opened, lengthy) -> Iterator[pa.RecordBatch]:
+    def pairs_of(_, side, token, n, pos, cls, comp, leader, over, lead_n, brief, lengthy) -> Iterator[pa.RecordBatch]:
         m = len(cls)
-        by_open, by_long = (Shared(opened), Shared(lengthy)) if m > 1 and opened[0] is not None else (None, None)
+        by_short, by_long = (Shared(brief), Shared(lengthy)) if m > 1 and lengthy[0] is not None else (None, None)
         step = max(1, PAIRS_AT_ONCE // m)
-        if by_open is not None:
-            step = max(1, min(step, by_open.block, by_long.block))
+        if by_long is not None:
+            step = max(1, min(step, by_short.block, by_long.block))
         for i0 in range(0, m - 1, step):
             i = np.arange(i0, min(m - 1, i0 + step))
             upto = np.searchsorted(n, (n[i] * 5) // 4, side="right")  # sizes ascend: later blocks are skipped
@@ -349,12 +363,13 @@ def cross_pairs(rows: DataFrame) -> DataFrame:
             ok &= most >= need
             left, right, sure, need = left[ok], right[ok], sure[ok], need[ok]
             times = np.ones(len(left), np.int32)
-            if by_open is not None and len(left):
+            if by_long is not None and len(left):
                 until = int(i[-1]) + 1
                 after = lambda k: n[k] - n[k] // 5 - 1
-                ok = sure | (by_open.count(i0, until, left, right) + np.maximum(after(left), after(right)) >= need)
+                times = by_long.count(i0, until, left, right)
+                ok = sure | (by_short.count(i0, until, left, right) + times + np.maximum(after(left), after(right)) >= need)
                 ok &= by_long.count(i0, until, left, right, below=token[0]) == 0
-                times = by_long.count(i0, until, left, right).astype(np.int32)[ok]
+                times = times.astype(np.int32)[ok]
                 left, right, sure = left[ok], right[ok], sure[ok]
             if len(left) == 0:
                 continue
@@ -368,7 +383,7 @@ def cross_pairs(rows: DataFrame) -> DataFrame:
         rest = None
         for batch in batches:
             cols = [batch.column(c).fill_null(-1).to_numpy().astype(np.int64) for c in ("cell", "side", "token", "n", "pos", "cls", "comp", "leader", "overlap", "leader_n")]
-            for name in ("open", "long"):
+            for name in ("short", "long"):
                 arrays = np.empty(batch.num_rows, object)
                 arrays[:] = [v.values.to_numpy() if v.is_valid else None for v in batch.column(name)]
                 cols.append(arrays)
@@ -418,13 +433,17 @@ def closest(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("a").agg(F.max_by("b", share).alias("b"))
 
 
-def with_leaders(rows: DataFrame) -> DataFrame:
-    """(a, b, ...) rows of entries and their list's leader (largest score in a band of sizes) in another component."""
+def with_leaders(rows: DataFrame, score: Column) -> DataFrame:
+    """(a, b, ...) rows of entries and their list's leader (largest score in a band of sizes) in another component.
+
+    The score is taken after the shuffle, so that it is not moved.
+    """
     rows = rows.withColumn("band", F.floor(F.log("n") / math.log(1.25)))
-    chosen = rows.groupBy("token", "band").agg(*(F.max_by(c, "score").alias(k) for c, k in
-                                                 (("cls", "b"), ("n", "b_n"), ("pos", "b_pos"), ("comp", "b_comp"))))
-    return rows.join(chosen, ["token", "band"]).where("comp <> b_comp").select(
-        F.col("cls").alias("a"), "b", F.col("n").alias("a_n"), "b_n", F.col("pos").alias("a_pos"), "b_pos")
+    # one shuffle by list: a window, where an aggregate joined back would move the entries twice
+    lead = F.max(F.struct(score, "cls", "n", "pos", "comp")).over(Window.partitionBy("token", "band"))
+    return rows.withColumn("lead", lead).where("comp <> lead.comp").select(
+        F.col("cls").alias("a"), F.col("lead.cls").alias("b"), F.col("n").alias("a_n"), F.col("lead.n").alias("b_n"),
+        F.col("pos").alias("a_pos"), F.col("lead.pos").alias("b_pos"))
 
 
 def links(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
@@ -433,16 +452,16 @@ def links(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     members = described.select("doc_id", "n", "cls")
     entries = described.where("tokens IS NOT NULL").select("cls", "n", F.posexplode("tokens").alias("pos", "token")).select("token", "cls", "n", "pos")
     listed = scratch.write(shared_lists(entries), "listed")
+    texts = texts_of(listed.select("cls").distinct(), members, docs, scratch)
+    of_list, of_class = Window.partitionBy("token"), Window.partitionBy("cls")
     # a set that holds what its near copies share has most of its prefix listed: it leads first
-    score = F.floor(1000 * F.count("*") / F.max(F.floor(F.col("n") / 5) + 1)) * (1 << 40) + F.pmod(F.xxhash64("cls"), F.lit(1 << 40))
-    central = scratch.write(listed.groupBy("cls").agg(score.cast("long").alias("central")), "central")
-    texts = texts_of(central.select("cls"), members, docs, scratch)
+    central = F.floor(1000 * F.col("entries") / (F.floor(F.col("n") / 5) + 1)) * (1 << 40) + F.pmod(F.xxhash64("cls"), F.lit(1 << 40))
 
     def placed(comps: DataFrame | None) -> DataFrame:
         """Listed entries with the component so far (a class's own digest where it has no link)."""
         if comps is None:
             return listed.withColumn("comp", F.col("cls"))
-        return listed.join(comps, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+        return listed.join(few(comps), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
 
     def grown(tables: list[DataFrame], name: str) -> DataFrame:
         edges = reduce(DataFrame.unionByName, (t.where(linked(F.col("overlap"), F.col("a_n") + F.col("b_n"))).select(
@@ -452,21 +471,22 @@ def links(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     answers, comps = [], None
     for turn in range(LEADS):
         rows = placed(comps)
-        rows = rows.join(central, "cls").withColumnRenamed("central", "score") if turn == 0 else rows.withColumn("score", F.xxhash64("cls", F.lit(turn)))
-        answers.append(compare(closest(candidates(with_leaders(rows))), texts, scratch, f"led-{turn}"))
+        rows, score = (rows.withColumn("entries", F.count("*").over(of_class)), central.cast("long")) if turn == 0 else (rows, F.xxhash64("cls", F.lit(turn)))
+        answers.append(compare(closest(candidates(with_leaders(rows, score))), texts, scratch, f"led-{turn}"))
         comps = grown(answers, f"lead-comps-{turn}")
 
     # lists that still hold several components; each class with its best answer so far
     best = reduce(DataFrame.unionByName, answers).groupBy(F.col("a").alias("cls")).agg(
         F.max_by("b", "overlap").alias("leader"), F.max("overlap").alias("overlap"), F.max_by("b_n", "overlap").alias("leader_n"))
-    rows = placed(comps)
-    mixed = rows.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size")).where("low < high")
-    rows = scratch.write(rows.join(mixed.select("token", "size"), "token"), "mixed")
+    mixed = placed(comps).withColumns({"low": F.min("comp").over(of_list), "high": F.max("comp").over(of_list), "size": F.count("*").over(of_list)})
+    rows = scratch.write(mixed.where("low < high").drop("low", "high"), "mixed")
     long_list = F.col("size") >= LONG_LIST
-    held = rows.join(rows.where(long_list).select("cls").distinct(), "cls").groupBy("cls").agg(
-        F.sort_array(F.collect_list("token")).alias("open"), F.sort_array(F.collect_list(F.when(long_list, F.col("token")))).alias("long"))
-    none = F.lit(None).cast("array<long>")
-    rows = rows.where(~long_list).withColumn("open", none).withColumn("long", none).unionByName(rows.where(long_list).join(held, "cls"))
+    # a class has at most its prefix in lists, so its arrays are no longer than a text
+    most = rows.agg(F.max("token")).first()[0] or 0
+    number = F.col("token").cast("int" if most < 1 << 31 else "long")
+    held = {name: F.when(long_list, F.sort_array(F.collect_list(F.when(kind, number)).over(of_class))) for name, kind in
+            (("short", ~long_list), ("long", long_list))}
+    rows = rows.withColumns(held)
     met = cross_pairs(cells(rows.join(best, "cls", "left"), SPLIT_LIST))
     # positions are those of one shared list, at most the last one's: the bound stays an upper one
     found = met.groupBy("a", "b", "a_n", "b_n").agg(F.sum("times").cast("int").alias("common"), F.max("a_pos").alias("a_pos"),
@@ -478,9 +498,10 @@ def links(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     answers.append(compare(closest(left.where("NOT sure")), texts, scratch, "closest"))
     comps = grown(answers, "closest-comps")
     done = answers[-1].select("a", "b")
+    known = few(comps)
     sides = (left.where("NOT sure").join(done, ["a", "b"], "left_anti")
-             .join(comps.select(F.col("cls").alias("a"), F.col("comp").alias("a_comp")), "a", "left")
-             .join(comps.select(F.col("cls").alias("b"), F.col("comp").alias("b_comp")), "b", "left"))
+             .join(known.select(F.col("cls").alias("a"), F.col("comp").alias("a_comp")), "a", "left")
+             .join(known.select(F.col("cls").alias("b"), F.col("comp").alias("b_comp")), "b", "left"))
     rest = sides.where(F.coalesce("a_comp", "a") != F.coalesce("b_comp", "b"))
     answers.append(compare(rest, texts, scratch, "rest"))
     comps = grown(answers, "comps")
@@ -492,7 +513,7 @@ def judged(docs: DataFrame) -> DataFrame:
     """doc_id, n, cls (null: an empty set or a null id) and component_id of every document."""
     scratch = Scratch(docs.sparkSession, "ngram-join")
     members, comps = links(docs, scratch)
-    named = members.join(comps, "cls", "left").withColumn("top", F.coalesce("comp", "cls"))
+    named = members.join(few(comps), "cls", "left").withColumn("top", F.coalesce("comp", "cls"))
     least = named.where("top IS NOT NULL").groupBy("top").agg(F.min("doc_id").alias("least"))
     return named.join(least, "top", "left").select("doc_id", "n", "cls", F.coalesce("least", "doc_id").alias("component_id"))
 

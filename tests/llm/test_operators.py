@@ -105,6 +105,31 @@ def test_join_borderline_groups(spark, monkeypatch, hot):
     assert got == brute_components(rows)
 
 
+def test_join_numbers_lists_and_moves_entries_once_for_leaders(spark):
+    rng = random.Random(11)
+    rows = sorted({(rng.getrandbits(62) if k % 3 else 7 + k // 90, c) for k in range(300) for c in rng.sample(range(40), rng.randint(1, 6))})
+    kept = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")  # lists go on over several batches
+    try:
+        entries = spark.createDataFrame([(t, c, 10, 0) for t, c in rows + rows[:50]], ngram_join.LISTED)
+        got = [tuple(r) for r in ngram_join.shared_lists(entries).select("token", "cls").collect()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
+    lists = {}
+    for t, c in rows:
+        lists.setdefault(t, set()).add(c)
+    numbered = {}
+    for t, c in got:
+        numbered.setdefault(t, []).append(c)
+    assert sorted(map(sorted, numbered.values())) == sorted(sorted(v) for v in lists.values() if len(v) > 1)
+    assert max(numbered) < len(rows) * 8  # numbers of lists, not hashes
+    from pyspark.sql import functions as F
+
+    listed = spark.createDataFrame([(1, 1, 10, 0, 1), (1, 2, 10, 1, 2)], "token long, cls long, n int, pos int, comp long")
+    plan = ngram_join.with_leaders(listed, F.xxhash64("cls"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_join_ignores_ascii_case_only(spark):
     words = [f"Wort{i}" for i in range(30)]
     rows = [(1, " ".join(words)), (2, " ".join(words).upper()), (3, " ".join(words).lower()), (4, "ÉTÉ a b c d"), (5, "été a b c d"), (6, "ÉTÉ A B C D")]
