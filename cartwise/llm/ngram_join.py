@@ -332,14 +332,14 @@ def cross_pairs(rows: DataFrame) -> DataFrame:
     Input columns: cell, side, token, cls, n, pos, comp, leader, overlap, leader_n (the last
     three null where a class was compared with no leader). A cell is a list or two blocks
     of a long one: rows of side -1 meet all others, those of a side only other sides. ``sure`` marks pairs
-    that the lower bound links. In long lists ``short`` and ``long`` hold the numbers of all open
-    lists that a class is in, the short and the long ones: pairs that share too few
-    are left out, the others make one row, in the first long list that they
+    that the lower bound links. In long lists ``long`` holds the numbers of the long open
+    lists that a class is in, ``short`` 16-bit hashes of the others (they only bound a count from above; ``spare``:
+    how many of a class's own fell together): pairs that share too few are left out, the others make one row, in the first long list that they
     share, with ``times`` such lists.
     """
     schema = "a long, b long, a_n int, b_n int, a_pos int, b_pos int, sure boolean, times int"
 
-    def pairs_of(_, side, token, n, pos, cls, comp, leader, over, lead_n, brief, lengthy) -> Iterator[pa.RecordBatch]:
+    def pairs_of(_, side, token, n, pos, cls, comp, leader, over, lead_n, spare, brief, lengthy) -> Iterator[pa.RecordBatch]:
         m = len(cls)
         by_short, by_long = (Shared(brief), Shared(lengthy)) if m > 1 and lengthy[0] is not None else (None, None)
         step = max(1, PAIRS_AT_ONCE // m)
@@ -367,7 +367,7 @@ def cross_pairs(rows: DataFrame) -> DataFrame:
                 until = int(i[-1]) + 1
                 after = lambda k: n[k] - n[k] // 5 - 1
                 times = by_long.count(i0, until, left, right)
-                ok = sure | (by_short.count(i0, until, left, right) + times + np.maximum(after(left), after(right)) >= need)
+                ok = sure | (by_short.count(i0, until, left, right) + spare[left] + times + np.maximum(after(left), after(right)) >= need)
                 ok &= by_long.count(i0, until, left, right, below=token[0]) == 0
                 times = times.astype(np.int32)[ok]
                 left, right, sure = left[ok], right[ok], sure[ok]
@@ -382,7 +382,7 @@ def cross_pairs(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
-            cols = [batch.column(c).fill_null(-1).to_numpy().astype(np.int64) for c in ("cell", "side", "token", "n", "pos", "cls", "comp", "leader", "overlap", "leader_n")]
+            cols = [batch.column(c).fill_null(-1).to_numpy().astype(np.int64) for c in ("cell", "side", "token", "n", "pos", "cls", "comp", "leader", "overlap", "leader_n", "spare")]
             for name in ("short", "long"):
                 arrays = np.empty(batch.num_rows, object)
                 arrays[:] = [v.values.to_numpy() if v.is_valid else None for v in batch.column(name)]
@@ -417,7 +417,7 @@ def cells(rows: DataFrame, split: int) -> DataFrame:
              "named_struct('cell', xxhash64(token, band, band + 1, part, x), 'side', 0), "
              "named_struct('cell', xxhash64(token, band - 1, band, x, part), 'side', 1))))")
     placed = rows.withColumn("at", F.explode(F.expr(f"if(blocks = 1, {whole}, {meets})")))
-    return placed.select("*", "at.cell", "at.side").drop("at", "blocks", "band", "part")
+    return placed.select("*", "at.cell", "at.side").drop("at", "blocks", "band", "part", "size")
 
 
 def candidates(met: DataFrame) -> DataFrame:
@@ -439,7 +439,8 @@ def with_leaders(rows: DataFrame, score: Column) -> DataFrame:
     The score is taken after the shuffle, so that it is not moved.
     """
     rows = rows.withColumn("band", F.floor(F.log("n") / math.log(1.25)))
-    # one shuffle by list: a window, where an aggregate joined back would move the entries twice
+    # one shuffle by list: a window, where an aggregate joined back would move the entries twice; what it compares is made after it
+    rows = rows.repartition("token", "band")
     lead = F.max(F.struct(score, "cls", "n", "pos", "comp")).over(Window.partitionBy("token", "band"))
     return rows.withColumn("lead", lead).where("comp <> lead.comp").select(
         F.col("cls").alias("a"), F.col("lead.cls").alias("b"), F.col("n").alias("a_n"), F.col("lead.n").alias("b_n"),
@@ -484,9 +485,10 @@ def links(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     # a class has at most its prefix in lists, so its arrays are no longer than a text
     most = rows.agg(F.max("token")).first()[0] or 0
     number = F.col("token").cast("int" if most < 1 << 31 else "long")
-    held = {name: F.when(long_list, F.sort_array(F.collect_list(F.when(kind, number)).over(of_class))) for name, kind in
-            (("short", ~long_list), ("long", long_list))}
-    rows = rows.withColumns(held)
+    hashed = (F.pmod(F.xxhash64("token"), F.lit(1 << 16)) - (1 << 15)).cast("short")
+    held = {name: F.when(long_list, F.sort_array(F.collect_list(value).over(of_class))) for name, value in
+            (("short", F.when(~long_list, hashed)), ("long", F.when(long_list, number)))}
+    rows = rows.withColumns(held).withColumn("spare", F.size("short") - F.size(F.array_distinct("short")))
     met = cross_pairs(cells(rows.join(best, "cls", "left"), SPLIT_LIST))
     # positions are those of one shared list, at most the last one's: the bound stays an upper one
     found = met.groupBy("a", "b", "a_n", "b_n").agg(F.sum("times").cast("int").alias("common"), F.max("a_pos").alias("a_pos"),
