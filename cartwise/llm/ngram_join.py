@@ -464,17 +464,26 @@ def links(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
             return listed.withColumn("comp", F.col("cls"))
         return listed.join(few(comps), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
 
-    def grown(tables: list[DataFrame], name: str) -> DataFrame:
+    def grown(comps: DataFrame | None, tables: list[DataFrame], name: str) -> DataFrame:
+        """The components after the links of ``tables``: only links between two of ``comps`` go through rounds, as links of their smallest classes."""
         edges = reduce(DataFrame.unionByName, (t.where(linked(F.col("overlap"), F.col("a_n") + F.col("b_n"))).select(
             F.col("a").alias("u"), F.col("b").alias("v")) for t in tables))
-        return components(edges, scratch, name).select(F.col("u").alias("cls"), F.col("v").alias("comp"))
+        if comps is not None:
+            known = few(comps)
+            for end in ("u", "v"):
+                edges = edges.join(known.withColumnRenamed("cls", end), end, "left").withColumn(end, F.coalesce("comp", end)).drop("comp")
+        merged = components(edges, scratch, name).select(F.col("u").alias("cls"), F.col("v").alias("comp"))
+        if comps is None:
+            return merged
+        moved = comps.join(few(merged.select(F.col("cls").alias("comp"), F.col("comp").alias("now"))), "comp", "left")
+        return scratch.write(moved.select("cls", F.coalesce("now", "comp").alias("comp")).unionByName(merged), f"{name}-all")
 
     answers, comps = [], None
     for turn in range(LEADS):
         rows = placed(comps)
         rows, score = (rows.withColumn("entries", F.count("*").over(of_class)), central.cast("long")) if turn == 0 else (rows, F.xxhash64("cls", F.lit(turn)))
         answers.append(compare(closest(candidates(with_leaders(rows, score))), texts, scratch, f"led-{turn}"))
-        comps = grown(answers, f"lead-comps-{turn}")
+        comps = grown(comps, answers[-1:], f"lead-comps-{turn}")
 
     # lists that still hold several components; each class with its best answer so far
     best = reduce(DataFrame.unionByName, answers).groupBy(F.col("a").alias("cls")).agg(
@@ -498,7 +507,7 @@ def links(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     # a sure pair is as good as compared
     answers.append(left.where("sure").select("a", "b", F.least("a_n", "b_n").alias("overlap"), F.least("a_n", "b_n").alias("a_n"), F.least("a_n", "b_n").alias("b_n")))
     answers.append(compare(closest(left.where("NOT sure")), texts, scratch, "closest"))
-    comps = grown(answers, "closest-comps")
+    comps = grown(comps, answers[-2:], "closest-comps")
     done = answers[-1].select("a", "b")
     known = few(comps)
     sides = (left.where("NOT sure").join(done, ["a", "b"], "left_anti")
@@ -506,7 +515,7 @@ def links(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
              .join(known.select(F.col("cls").alias("b"), F.col("comp").alias("b_comp")), "b", "left"))
     rest = sides.where(F.coalesce("a_comp", "a") != F.coalesce("b_comp", "b"))
     answers.append(compare(rest, texts, scratch, "rest"))
-    comps = grown(answers, "comps")
+    comps = grown(comps, answers[-1:], "comps")
     scratch.drop("listed", "texts", "open", "mixed")
     return members, comps
 
@@ -548,8 +557,9 @@ def clean_documents(docs: DataFrame) -> DataFrame:
     columns = [F.col(f"`{c}`") for c in docs.columns]
     marked = class_column(docs)
     same = (F.col("doc_id").cast("long") == F.col("__ngram_key")) & F.col("__ngram_cls").eqNullSafe(F.col("__ngram_of"))
-    kept = marked.join(odd.where("__ngram_gone"), same, "left_anti")
-    repeated = odd.where("NOT __ngram_gone")
+    # broadcast, so that texts stay where they lie: only a list beyond BROADCAST_ROWS has them shuffled, once
+    kept = marked.join(few(odd.where("__ngram_gone")), same, "left_anti")
+    repeated = few(odd.where("NOT __ngram_gone"))
     if repeated.isEmpty():
         return kept.select(*columns)
     once = kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "__ngram_cls"])

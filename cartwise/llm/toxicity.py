@@ -190,7 +190,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
     lists = got["words"].combine_chunks()
     named = lists.flatten().dictionary_encode()
     doc = np.repeat(np.arange(len(lists), dtype=np.int32), lists.value_lengths().to_numpy())
-    return train(got["toxic"].to_numpy(), doc, named.indices.to_numpy(), got["counts"].combine_chunks().flatten().to_numpy(), named.dictionary)
+    model = train(got["toxic"].to_numpy(), doc, named.indices.to_numpy(), got["counts"].combine_chunks().flatten().to_numpy(), named.dictionary)
+    del got, lists, named, doc
+    pa.default_memory_pool().release_unused()  # else the driver keeps the sample's memory through all later steps
+    return model
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:

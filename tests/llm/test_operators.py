@@ -155,6 +155,31 @@ def test_components_of_paths_and_stars(spark):
     assert top == {i: 1 for i in range(2, 41)} | {i: 100 for i in range(101, 160)} | {200: 199}
 
 
+def test_components_of_stars_take_no_rounds(spark, monkeypatch):
+    def refused(edges):
+        raise AssertionError("a round")
+
+    monkeypatch.setattr(components, "_large_star", refused)
+    for edges in ([], [(1, 2), (3, 1), (1, 3), (9, 8), (4, 4)]):
+        got = components.components(spark.createDataFrame(edges, "u long, v long"), Scratch(spark, "t-few")).collect()
+        assert sorted((r.u, r.v) for r in got) == ([(2, 1), (3, 1), (9, 8)] if edges else [])
+
+
+def test_clean_documents_leaves_texts_where_they_lie(spark):
+    """Texts were shuffled as soon as the list of removed documents passed the session's broadcast limit."""
+    rows = [(i, " ".join(f"{i // 2}w{k}" for k in range(12))) for i in range(40)]
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        cleaned = ngram_join.clean_documents(cases.texts(spark, rows))
+        got = sorted(r.doc_id for r in cleaned.collect())
+        plan = cleaned._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert got == list(range(0, 40, 2))
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
 # ---- 2, 6: classifiers
 
 def test_toxicity_learns_held_out_and_misspelt(spark):
