@@ -24,7 +24,7 @@ import regex
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwise.llm.common import id_text, ship, table
+from cartwise.llm.common import id_text, lean, ship, table
 
 ship(__name__)
 
@@ -35,6 +35,8 @@ _PRINTED = (*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100))
 
 #: Pre-tokens whose ids a task remembers at once; beyond it the memory starts anew.
 CACHE_SIZE = 1 << 18
+#: Texts whose ids a task holds at once before it hands them on.
+ROWS_AT_ONCE = 256
 
 
 def byte_map() -> list[str]:
@@ -127,6 +129,26 @@ class Codec:
         return b"".join(map(self.pieces.__getitem__, memoryview(ids).cast("I")))
 
 
+def encoded(batches: Iterator[pa.RecordBatch], codec: Codec, keep_ids: bool) -> Iterator[pa.RecordBatch]:
+    """doc_id, count and digests (and, on request, the ids) of batches of doc_id and text, ``ROWS_AT_ONCE`` rows at a time."""
+    for batch in (whole.slice(at, ROWS_AT_ONCE) for whole in batches for at in range(0, whole.num_rows, ROWS_AT_ONCE)):
+        n, ids_hash, text_hash, kept = [], [], [], []
+        for text in batch.column("text"):
+            ids = codec.encode(text.as_py() or "")
+            n.append(len(ids) // 4)
+            ids_hash.append(hashlib.sha256(ids).hexdigest())
+            text_hash.append(hashlib.sha256(codec.decode(ids)).hexdigest())
+            if keep_ids:
+                kept.append(ids)
+        columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())]
+        names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+        if keep_ids:
+            borders = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
+            columns.append(pa.LargeListArray.from_arrays(borders, pa.array(np.frombuffer(b"".join(kept), np.int32))).cast(pa.list_(pa.int32())))
+            names.append("ids")
+        yield pa.RecordBatch.from_arrays(columns, names=names)
+
+
 def encode_documents(docs: DataFrame, rank_path: str, pattern: str, keep_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 (and, on request, the ids) of every whole text."""
     spark = docs.sparkSession
@@ -135,25 +157,9 @@ def encode_documents(docs: DataFrame, rank_path: str, pattern: str, keep_ids: bo
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(*shared.value, pattern)
-        for batch in batches:
-            n, ids_hash, text_hash, kept = [], [], [], []
-            for text in batch.column("text"):
-                ids = codec.encode(text.as_py() or "")
-                n.append(len(ids) // 4)
-                ids_hash.append(hashlib.sha256(ids).hexdigest())
-                text_hash.append(hashlib.sha256(codec.decode(ids)).hexdigest())
-                if keep_ids:
-                    kept.append(ids)
-            columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())]
-            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if keep_ids:
-                borders = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
-                columns.append(pa.LargeListArray.from_arrays(borders, pa.array(np.frombuffer(b"".join(kept), np.int32))).cast(pa.list_(pa.int32())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+        return encoded(batches, Codec(*shared.value, pattern), keep_ids)
 
-    return id_text(docs).mapInArrow(run, schema)
+    return id_text(docs).mapInArrow(lean(run), schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import uuid
 
@@ -61,6 +62,33 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def give_back() -> None:
+    """Memory that Arrow and the C library hold but do not use goes back to the system."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library
+
+
+def lean(run):
+    """``run`` of a map over batches, whose Python worker gives unused memory back.
+
+    Spark keeps workers for later tasks and steps: without this, an idle one
+    holds, and a busy one starts from, the most that an earlier task took.
+    """
+    def held(batches):
+        give_back()
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return held
+
+
 def annotate(df: DataFrame, prefix: str, fields: str, make) -> DataFrame:
     """``df`` with columns computed from its text, in one map without a shuffle.
 
@@ -82,4 +110,4 @@ def annotate(df: DataFrame, prefix: str, fields: str, make) -> DataFrame:
             text = batch.column(at).cast(pa.large_string())
             yield pa.RecordBatch.from_arrays([*batch.columns, *work(text)], names=[*batch.schema.names, *(f.name for f in added)])
 
-    return plain.mapInArrow(run, StructType([*plain.schema.fields, *added])).toDF(*names)
+    return plain.mapInArrow(lean(run), StructType([*plain.schema.fields, *added])).toDF(*names)

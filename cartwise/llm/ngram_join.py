@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartwise.llm import textvec
-from cartwise.llm.common import Scratch, annotate, id_text, shuffle_parts, ship, table
+from cartwise.llm.common import Scratch, annotate, id_text, lean, shuffle_parts, ship, table
 from cartwise.llm.components import components
 
 ship(__name__)
@@ -122,7 +122,7 @@ def hot_shingles(docs: DataFrame, most: int = MOST_HOT, in_task: int = HOT_IN_TA
         if size:
             yield flush(held)
 
-    counted = docs.select("text").mapInArrow(count, "token long, times long").groupBy("token").agg(F.sum("times").alias("times"))
+    counted = docs.select("text").mapInArrow(lean(count), "token long, times long").groupBy("token").agg(F.sum("times").alias("times"))
     top = counted.where(F.col("times") >= in_all).orderBy(F.desc("times"), "token").limit(most).select("token").toArrow()
     return np.sort(top["token"].to_numpy().astype(np.int64).view(np.uint64))
 
@@ -178,7 +178,7 @@ def describe(docs: DataFrame, hot: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(classes, pa.int64()),
                                               pa.array(prefixes, pa.list_(pa.int64()))], names=["doc_id", "n", "cls", "tokens"])
 
-    return docs.mapInArrow(run, "doc_id long, n int, cls long, tokens array<long>")
+    return docs.mapInArrow(lean(run), "doc_id long, n int, cls long, tokens array<long>")
 
 
 LISTED = "token long, cls long, n int, pos int"
@@ -224,7 +224,7 @@ def shared_lists(entries: DataFrame) -> DataFrame:
                 out[0] = number * parts + task
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], names=names)
 
-    return entries.repartition(parts, "token").sortWithinPartitions("token", "cls").mapInArrow(run, LISTED)
+    return entries.repartition(parts, "token").sortWithinPartitions("token", "cls").mapInArrow(lean(run), LISTED)
 
 
 def few(rows: DataFrame) -> DataFrame:
@@ -275,7 +275,7 @@ def compare(pairs: DataFrame, texts: DataFrame, scratch: Scratch, name: str) ->
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), *[pa.int32()] * 3), strict=True)],
                                                  names=["a", "b", "overlap", "a_n", "b_n"])
 
-    compared = scratch.write(sides.mapInArrow(run, COMPARED), name)
+    compared = scratch.write(sides.mapInArrow(lean(run), COMPARED), name)
     scratch.drop(f"{name}-pairs")
     return compared
 
@@ -399,7 +399,7 @@ def cross_pairs(rows: DataFrame) -> DataFrame:
             yield from pairs_of(*rest)
 
     parts = shuffle_parts(rows.sparkSession)
-    return rows.repartition(parts, "cell").sortWithinPartitions("cell", "n", "pos", "cls").mapInArrow(run, schema)
+    return rows.repartition(parts, "cell").sortWithinPartitions("cell", "n", "pos", "cls").mapInArrow(lean(run), schema)
 
 
 def cells(rows: DataFrame, split: int) -> DataFrame:

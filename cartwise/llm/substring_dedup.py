@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cartwise.llm import textvec
-from cartwise.llm.common import id_text, shuffle_parts, ship, table
+from cartwise.llm.common import id_text, lean, shuffle_parts, ship, table
 
 ship(__name__)
 
@@ -196,7 +196,7 @@ def digests(docs: DataFrame, units: str, parts: int) -> DataFrame:
         if size:
             yield packed(keys, ids, counts)
 
-    return id_text(docs).where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(run, "part int, keys binary, ids binary, counts binary")
+    return id_text(docs).where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(lean(run), "part int, keys binary, ids binary, counts binary")
 
 
 def seen_earlier(docs: DataFrame, units: str) -> DataFrame:
@@ -229,7 +229,7 @@ def seen_earlier(docs: DataFrame, units: str) -> DataFrame:
             yield from later(blocks)
 
     tasks = shuffle_parts(docs.sparkSession)
-    held = digests(docs, units, 2 * tasks).repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(run, "doc_id long, key long")
+    held = digests(docs, units, 2 * tasks).repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(lean(run), "doc_id long, key long")
     return held.groupBy(F.col("doc_id").alias(PREFIX + "key")).agg(F.collect_list("key").alias(PREFIX + "seen"))
 
 
@@ -338,7 +338,7 @@ def deduplicate(docs: DataFrame, units: str = "sentence", min_words: int | None
             yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, spans_type), pa.array(counts, pa.int32())],
                                              names=[*batch.schema.names[:seen_at], *added.names])
 
-    return plain.mapInArrow(run, StructType([*plain.schema.fields[:seen_at], *added.fields])).toDF(*docs.columns, *added.names)
+    return plain.mapInArrow(lean(run), StructType([*plain.schema.fields[:seen_at], *added.fields])).toDF(*docs.columns, *added.names)
 
 
 def clean_documents(docs: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.llm.common import annotate, id_text, remainder, ship, table
+from cartwise.llm.common import annotate, id_text, lean, remainder, ship, table
 
 ship(__name__)
 
@@ -186,7 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(marks, pa.int32()), pa.array([list(c) for c in bag], pa.list_(pa.string())),
                                               pa.array([list(c.values()) for c in bag], pa.list_(pa.int32()))], names=["doc_id", "toxic", "words", "counts"])
 
-    got = texts.mapInArrow(bags, "doc_id long, toxic int, words array<string>, counts array<int>").toArrow().sort_by("doc_id")
+    got = texts.mapInArrow(lean(bags), "doc_id long, toxic int, words array<string>, counts array<int>").toArrow().sort_by("doc_id")
     lists = got["words"].combine_chunks()
     named = lists.flatten().dictionary_encode()
     doc = np.repeat(np.arange(len(lists), dtype=np.int32), lists.value_lengths().to_numpy())
